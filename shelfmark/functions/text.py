@@ -24,8 +24,8 @@ _BLANK_RUN = rf"(?U)[{_BLANK_CLASS}]+"
 _JSON_TOKEN = r'"[^"]*+"\s*:?|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null'
 
 
-def strip(text: Column, chars: str = BLANKS) -> Column:
-    return F.btrim(text, F.lit(chars))
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def null_if_blank(text: Column) -> Column:

@@ -47,14 +47,12 @@ def _words(lowered: Column) -> Column:
 
 
 def _grams(word: Column) -> Column:
-    """Distinct pieces of ``GRAM`` characters; a shorter word is its own piece."""
-    chars = F.split(word, "")
-    size = F.length(word)
-    pieces = F.transform(
-        F.sequence(F.lit(1), F.greatest(size - (GRAM - 1), F.lit(1))),
-        lambda i: F.array_join(F.slice(chars, i, F.lit(GRAM)), ""),
-    )
-    return F.array_distinct(pieces)
+    """Distinct runs of 1 to ``GRAM`` characters; the lookahead lets them overlap."""
+    runs = [
+        F.regexp_extract_all(word, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1))
+        for n in range(1, GRAM + 1)
+    ]
+    return F.array_distinct(F.flatten(F.array(*runs)))
 
 
 def _term_anchors(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -72,7 +70,7 @@ def _term_anchors(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
             "phrase",
             F.explode(F.array_distinct(F.slice("_words", F.lit(2), F.size("_words") - 2))).alias("word"),
         )
-        .join(vocabulary, "word", "left")
+        .join(vocabulary.hint("merge"), "word", "left")
         .groupBy("term_id", "phrase")
         # an inner word the corpus lacks settles the matter: no text holds the term
         .agg(F.min_by("word", F.struct(F.coalesce("n_docs", F.lit(0)), "word")).alias("word"))
@@ -86,33 +84,19 @@ def _term_anchors(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
             lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best),
         ).alias("_piece"),
     )
-    # the term's gram is its anchor's first; a word shorter than a gram has to
-    # be compared with every shorter piece, so corpus grams come in all lengths
+    # an anchor shorter than a gram is looked up as it is, so the grams of the
+    # corpus words come in all lengths
     pieces = outer.withColumn("_gram", F.substring("_piece", 1, GRAM))
-    corpus = vocabulary.select("word", F.explode(_short_grams(F.col("word"))).alias("_gram"))
+    corpus = vocabulary.select("word", F.explode(_grams(F.col("word"))).alias("_gram"))
     grown = (
-        pieces.join(corpus, "_gram")
+        # exploding outgrows the size Spark expects, so no broadcast on a guess
+        pieces.join(corpus.hint("merge"), "_gram")
         .filter(F.contains(F.col("word"), F.col("_piece")))
         .select("term_id", "phrase", "word")
     )
     return inner.unionByName(grown)
 
 
-def _short_grams(word: Column) -> Column:
-    chars = F.split(word, "")
-    grams = _grams(word)
-    if GRAM == 1:
-        return grams
-    shorter = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(word) - (n - 1), F.lit(1))),
-            lambda i, n=n: F.array_join(F.slice(chars, i, F.lit(n)), ""),
-        )
-        for n in range(1, GRAM)
-    ]
-    return F.array_distinct(F.flatten(F.array(grams, *shorter)))
-
-
 def phrase_join(
     records: DataFrame,
     text: str,
@@ -136,11 +120,11 @@ def phrase_join(
     )
     vocabulary = doc_words.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
     anchors = _term_anchors(asked, vocabulary)
-    candidates = doc_words.join(anchors, "word").drop("word")
+    candidates = doc_words.join(anchors.hint("shuffle_hash"), "word").drop("word")
     # the text check is part of the join, so no (text, phrase) pair is built; its
     # output is already split by record, which serves the distinct as well
     return (
-        docs.join(
+        docs.hint("merge").join(
             candidates.withColumnRenamed("record_id", "_record_id"),
             (F.col("record_id") == F.col("_record_id")) & F.contains(F.col("_lowered"), F.col("phrase")),
         )

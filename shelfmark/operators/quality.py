@@ -22,12 +22,6 @@ STOP_WORDS: dict[str, list[str]] = {
 WORD_BREAK = r"[^\p{L}]+"
 
 
-def stop_word_votes(text: Column, stop_words: Sequence[str]) -> Column:
-    """How many words of the text are on the list, repetitions included."""
-    words = F.split(F.lower(text), WORD_BREAK)
-    return F.size(F.filter(words, lambda w: w.isin(list(stop_words))))
-
-
 def guess_language(
     df: DataFrame,
     text: str,
@@ -37,16 +31,20 @@ def guess_language(
     """Language with the most stop words; the first in order wins a tie and a
     text without any gets null. A row-local vote: no explode, no shuffle."""
     words = df.withColumn("_words", F.split(F.lower(text), WORD_BREAK))
+
+    def votes_for(listed: Sequence[str]) -> Column:
+        return F.size(F.filter("_words", lambda w: w.isin(list(listed))))
+
     votes = words.withColumn(
         "_votes",
         F.array(
             *[
                 F.struct(
-                    F.size(F.filter("_words", lambda w, ws=ws: w.isin(list(ws)))).alias("n"),
+                    votes_for(listed).alias("n"),
                     F.lit(-rank).alias("rank"),
                     F.lit(lang).alias("lang"),
                 )
-                for rank, (lang, ws) in enumerate(stop_words.items())
+                for rank, (lang, listed) in enumerate(stop_words.items())
             ]
         ),
     )

@@ -74,7 +74,7 @@ def main(argv: list[str]) -> int:
     if argv[:1] == ["--sf"]:
         folder, argv = argv[1], argv[2:]
     spark = get_session(
-        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        "oracle", "local[8]", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__driver__memory="16g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -86,21 +86,29 @@ def hits_per_term(spark, sf):
     return found.groupBy("term").agg(F.count(F.lit(1)).alias("n_hits"))
 
 
-_SENTENCES = r"[.!?]\s+"
+@query(
+    "benchmark_phrase_hits",
+    """SELECT d.doc_id, b.item_id FROM documents d
+       JOIN benchmark b ON contains(lower(d.text), lower(b.text))""",
+)
+def benchmark_phrase_hits(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    items = table(spark, sf, "benchmark").withColumnRenamed("text", "phrase")
+    return phrase_join(docs, "text", items, "doc_id", "item_id", "phrase")
 
 
 @query(
-    "benchmark_phrase_hits",
+    "benchmark_sentence_hits",
     """WITH phrases AS (
            SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[.!?]\\s+')) AS phrase FROM benchmark)
        SELECT d.doc_id, p.phrase FROM documents d
        JOIN phrases p ON p.phrase <> '' AND contains(lower(d.text), p.phrase)""",
 )
-def benchmark_phrase_hits(spark, sf):
+def benchmark_sentence_hits(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     phrases = (
         table(spark, sf, "benchmark")
-        .select(F.explode(F.split(F.lower("text"), _SENTENCES)).alias("phrase"))
+        .select(F.explode(F.split(F.lower("text"), r"[.!?]\s+")).alias("phrase"))
         .distinct()
         .withColumn("phrase_id", F.col("phrase"))
     )
