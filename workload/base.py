@@ -56,6 +56,26 @@ def sql_terms() -> str:
     return f"(VALUES {rows}) AS t(term_rank, term, is_strict)"
 
 
+def sql_walk(hits: str, n: int) -> str:
+    """The walk over the terms, written out: each takes up to ``n`` records that no
+    earlier one took. ``hits``: context_repository, recid, term_rank, place. The
+    result is the table ``taken``."""
+    steps = [f"hits AS ({hits})"]
+    for i in range(len(TERMS)):
+        gone = "".join(
+            f" AND NOT EXISTS (SELECT 1 FROM t{j} g WHERE"
+            f" g.context_repository = h.context_repository AND g.recid = h.recid)"
+            for j in range(i)
+        )
+        steps.append(
+            f"""t{i} AS (SELECT context_repository, recid, term_rank, place FROM (
+                SELECT h.*, row_number() OVER (PARTITION BY context_repository ORDER BY place) AS rn
+                FROM hits h WHERE term_rank = {i}{gone}) WHERE rn <= {n})"""
+        )
+    union = " UNION ALL ".join(f"SELECT * FROM t{i}" for i in range(len(TERMS)))
+    return "WITH " + ", ".join([*steps, f"taken AS ({union})"])
+
+
 # File names of the FILES stand-in: the part number picks the extension.
 EXTENSIONS = [
     ".qdpx", ".nvpx", ".mx24", ".qpd", ".hpr7", ".loa", ".zip", ".tar.gz",

@@ -82,7 +82,9 @@ def open_license(spark, sf):
        GROUP BY mapped""",
 )
 def license_map(spark, sf):
-    line = F.regexp_extract("text", r"[^\n]*[Ll]icense[^\n]*", 0)
+    # a look at each line; one regex over the text would back up at every character
+    lines = F.filter(F.split("text", "\n"), lambda t: t.rlike("[Ll]icense"))
+    line = F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit(""))
     line = F.replace(line, F.lit("CC BY"), F.lit("CC-BY"))
     docs = table(spark, sf, "documents").select(line.alias("line"))
     return docs.groupBy(map_license(F.col("line")).alias("mapped")).agg(

@@ -8,7 +8,7 @@ from shelfmark.operators import dedupe, limits
 from shelfmark.operators.filters import passes
 from shelfmark.operators.phrases import phrase_join, term_hits
 from shelfmark.operators.relevance import relevant, score_records
-from workload.base import STRICT, TERMS, WEIGHTS, query, sql_score, sql_terms, table
+from workload.base import STRICT, TERMS, WEIGHTS, query, sql_score, sql_terms, sql_walk, table
 
 _SCORE = sql_score("lower(text)")
 
@@ -169,31 +169,15 @@ def cap_per_source(spark, sf):
     return kept.select(*_KEY, (F.col("term_rank") * 1000000000000 + F.col("page")).alias("place"))
 
 
-def _walk_sql(n: int) -> str:
-    """The walk over the terms, written out: each takes what earlier ones left."""
-    steps = [
-        f"""hits AS (SELECT context_repository, recid, term_rank, min(page) AS page
-            FROM ({_SQL_HITS}) WHERE is_strict OR score >= 10 GROUP BY 1, 2, 3)"""
-    ]
-    for i in range(len(TERMS)):
-        gone = "".join(
-            f" AND NOT EXISTS (SELECT 1 FROM t{j} g WHERE g.context_repository = h.context_repository"
-            f" AND g.recid = h.recid)"
-            for j in range(i)
-        )
-        steps.append(
-            f"""t{i} AS (SELECT * FROM (
-                SELECT h.*, row_number() OVER (PARTITION BY context_repository ORDER BY page) AS rn
-                FROM hits h WHERE term_rank = {i}{gone}) WHERE rn <= {n})"""
-        )
-    union = " UNION ALL ".join(
-        f"SELECT context_repository, recid, term_rank::INT AS term_rank, page FROM t{i}"
-        for i in range(len(TERMS))
+@query(
+    "cap_per_term",
+    sql_walk(
+        f"""SELECT context_repository, recid, term_rank, min(page) AS place
+            FROM ({_SQL_HITS}) WHERE is_strict OR score >= 10 GROUP BY 1, 2, 3""",
+        3,
     )
-    return "WITH " + ", ".join(steps) + " " + union
-
-
-@query("cap_per_term", _walk_sql(3))
+    + " SELECT context_repository, recid, term_rank::INT AS term_rank, place AS page FROM taken",
+)
 def cap_per_term(spark, sf):
     ok = passes(F.col("score"), F.col("is_strict"))
     passing = scored_hits(spark, sf).filter(ok)
