@@ -241,20 +241,23 @@ def quarantine(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(ok), df.filter(~ok)
 
 
-def merge(current: Tables, batch: DataFrame, seq: str) -> Tables:
-    """The four tables after a batch of arrivals. Applying it twice changes nothing."""
-    good, _ = quarantine(batch.withColumn("version", F.coalesce("version", F.lit(""))), "projects")
-    folded = fold(good, seq)
+def merge_folded(current: Tables, folded: DataFrame) -> Tables:
+    """The four tables after arrivals that :func:`fold` has reduced."""
     touched = folded.select(project_id(F.col("project_url"), F.col("version")).alias("project_id"))
-    children = child_rows(folded)
-    kept_children = {
-        name: quarantine(
-            replace_children(getattr(current, name), touched, children[name]), name
-        )[0]
-        for name in children
+    children = {
+        name: replace_children(getattr(current, name), touched, quarantine(rows, name)[0])
+        for name, rows in child_rows(folded).items()
     }
     projects = conform(upsert(current.projects, folded), schemas.PROJECTS)
-    return Tables(projects, **kept_children)
+    return Tables(projects, **children)
+
+
+def merge(current: Tables, batch: DataFrame, seq: str) -> Tables:
+    """The four tables after a batch of arrivals; a second time changes nothing.
+
+    Lazy; to write the result use ``pipeline.merge_into``, which folds once."""
+    keyed = batch.withColumn("version", F.coalesce("version", F.lit("")))
+    return merge_folded(current, fold(quarantine(keyed, "projects")[0], seq))
 
 
 def empty_tables(spark: SparkSession) -> Tables:

@@ -1 +1,83 @@
-"""(to be filled)"""
+"""Repeated arrivals merged into the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfmark.plans.tables import child_rows, fold, upsert
+from workload.base import query, table
+
+_SPLIT = "2024-01-16"
+
+
+def arrivals(spark, sf):
+    """Events as arrivals: user and type name the project, the id orders them."""
+    events = table(spark, sf, "events")
+    label = F.concat(F.lit("t"), F.col("event_id").cast("string"))
+    return events.select(
+        F.concat(F.lit("https://r/"), F.col("user_id").cast("string")).alias("project_url"),
+        F.col("event_type").alias("version"),
+        label.alias("title"),
+        F.col("props").alias("description"),
+        F.lit(None).cast("string").alias("license"),
+        F.date_format("ts", "yyyy-MM-dd").alias("upload_date"),
+        F.date_format("ts", "yyyy-MM-dd").alias("download_date"),
+        F.lit("r").alias("download_repository_folder"),
+        label.alias("download_project_folder"),
+        F.col("event_type").alias("download_version_folder"),
+        label.alias("query_string"),
+        F.lit(1).alias("repository_id"),
+        F.lit("https://r").alias("repository_url"),
+        F.col("value").cast("string").alias("language"),
+        F.lit("").alias("doi"),
+        F.lit("SCRAPING | API").alias("download_method"),
+        F.array(
+            F.struct(
+                F.concat(label, F.lit(".qdpx")).alias("file_name"),
+                F.lit("qdpx").alias("file_type"),
+                F.lit("SUCCEEDED").alias("status"),
+                F.lit("").alias("failure_reason"),
+            )
+        ).alias("files"),
+        F.array(F.col("event_type"), label).alias("keywords"),
+        F.array(F.struct(label.alias("name"), F.lit("AUTHOR").alias("role"))).alias("persons"),
+        F.col("event_id").alias("seq"),
+    )
+
+
+@query(
+    "upsert_projects",
+    """SELECT 'https://r/' || user_id::VARCHAR AS project_url, event_type AS version,
+              't' || min(event_id)::VARCHAR AS query_string, 't' || max(event_id)::VARCHAR AS title,
+              arg_max(props, event_id) AS description,
+              strftime(arg_max(ts, event_id), '%Y-%m-%d') AS download_date
+       FROM events GROUP BY user_id, event_type""",
+)
+def upsert_projects(spark, sf):
+    rows = arrivals(spark, sf)
+    # the table holds what came before the split; the batch is the rest
+    early = F.col("download_date") < _SPLIT
+    current = fold(rows.filter(early), "seq").drop("files", "keywords", "persons")
+    after = upsert(current, fold(rows.filter(~early), "seq"))
+    return after.select(
+        "project_url", "version", "query_string", "title", "description", "download_date"
+    )
+
+
+@query(
+    "arrival_children",
+    """WITH last AS (SELECT user_id, event_type, max(event_id)::VARCHAR AS e FROM events GROUP BY 1, 2)
+       SELECT 'file' AS child, 't' || e || '.qdpx' AS name FROM last
+       UNION ALL SELECT 'keyword', 't' || e FROM last
+       UNION ALL SELECT 'keyword', event_type FROM last
+       UNION ALL SELECT 'person', 't' || e FROM last""",
+)
+def arrival_children(spark, sf):
+    children = child_rows(fold(arrivals(spark, sf), "seq"))
+    named = {
+        "file": children["files"].select(F.col("file_name").alias("name")),
+        "keyword": children["keywords"].select(F.col("keyword").alias("name")),
+        "person": children["person_role"].select("name"),
+    }
+    parts = [df.select(F.lit(kind).alias("child"), "name") for kind, df in named.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -1 +1,118 @@
-"""(to be filled)"""
+"""Accepted records and their transfers turned into table rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfmark.operators.filters import strict_records
+from shelfmark.plans.tables import arrivals, child_rows
+from shelfmark.schemas import RECORD, conform
+from shelfmark.sources.landing import entry
+from workload.base import query, table
+
+_DATE = "2024-06-01T00:00:00+00:00"
+
+
+def records(spark, sf):
+    """Documents as accepted records with a project file, a text and an archive."""
+    docs = table(spark, sf, "documents")
+    rec = F.col("doc_id").cast("string")
+    en, fr = F.col("lang") == "en", F.col("lang") == "fr"
+    files = F.array(
+        entry(F.when(en, "a.qdpx").otherwise("a.csv"), F.lit("https://f/a")),
+        entry(F.lit(" ..b.zip"), F.lit("https://f/b")),
+        entry(F.lit("c.pdf"), F.lit(""), restricted=F.lit(True), reason=F.when(fr, "Embargoed until 2030")),
+    )
+    rows = docs.select(
+        F.when(en, F.lit("zenodo")).otherwise(F.col("source")).alias("context_repository"),
+        rec.alias("recid"),
+        F.concat(F.lit("p-"), rec).alias("project_identifier"),
+        F.when(en, F.col("source")).alias("title"),
+        F.col("text").alias("description"),
+        F.when(fr, F.lit("v2")).alias("version"),
+        F.when(en, F.lit("")).otherwise("mit").alias("license"),
+        F.lit("cc0").alias("license_id"),
+        F.array(F.concat("lang", F.lit(", "), "source"), F.col("lang")).alias("keywords"),
+        F.array(F.struct(F.col("source").alias("name"), F.lit("producer").alias("role"))).alias("persons"),
+        # only French documents lack a project file once transferred
+        F.when(fr, F.slice(files, 2, 2)).otherwise(files).alias("files"),
+    )
+    return conform(rows, RECORD).withColumn("query_string", F.lit("q"))
+
+
+def outcomes(spark, sf):
+    """The transfer manifest: short documents failed to arrive."""
+    docs = table(spark, sf, "documents")
+    names = F.array(
+        F.when(F.col("lang") == "en", "a.qdpx").otherwise("a.csv"), F.lit("b.zip")
+    )
+    return docs.select(
+        F.when(F.col("lang") == "en", F.lit("zenodo")).otherwise(F.col("source")).alias("context_repository"),
+        F.concat(F.lit("p-"), F.col("doc_id").cast("string")).alias("project_identifier"),
+        F.when(F.col("lang") == "fr", "v2").otherwise("v1").alias("version"),
+        F.explode(names).alias("file_name"),
+        F.when(F.col("n_chars") > 400, F.col("n_chars")).otherwise(0).alias("bytes"),
+    )
+
+
+def members(spark, sf):
+    """Two members per archive of the German documents."""
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "de")
+    return docs.select(
+        F.col("source").alias("context_repository"),
+        F.concat(F.lit("p-"), F.col("doc_id").cast("string")).alias("project_identifier"),
+        F.lit("v1").alias("version"),
+        F.lit("b.zip").alias("archive"),
+        F.explode(F.array(F.lit("in/x.nvpx"), F.lit("in/y.txt"))).alias("member"),
+        F.col("n_chars").alias("size"),
+    )
+
+
+@query(
+    "project_rows",
+    """SELECT CASE WHEN lang = 'en' THEN 1 ELSE 99 END::INT AS repository_id,
+              'https://' || CASE WHEN lang = 'en' THEN 'zenodo' ELSE source END || '.org' AS repository_url,
+              'https://' || CASE WHEN lang = 'en' THEN 'zenodo' ELSE source END || '.org/record/p-' || doc_id::VARCHAR AS project_url,
+              CASE WHEN lang = 'fr' THEN 'v2' ELSE 'v1' END AS version,
+              CASE WHEN lang = 'en' THEN source ELSE 'Unknown Title' END AS title,
+              CASE WHEN lang = 'en' THEN 'cc0' ELSE 'mit' END AS license,
+              CASE WHEN n_chars <= 400 THEN '' WHEN lang = 'en' THEN 'a.qdpx:qdpx:SUCCEEDED: b.zip:zip:SUCCEEDED: '
+                   WHEN lang = 'fr' THEN 'b.zip:zip:SUCCEEDED: '
+                   WHEN lang = 'de' THEN 'a.csv:csv:SUCCEEDED: in/x.nvpx:nvpx:SUCCEEDED: in/y.txt:txt:SUCCEEDED: '
+                   ELSE 'a.csv:csv:SUCCEEDED: b.zip:zip:SUCCEEDED: ' END
+                || 'c.pdf:pdf:FAILED:' || CASE WHEN lang = 'fr' THEN 'Embargoed until 2030' ELSE 'Restricted access' END AS files,
+              lang || '|' || source AS keywords, source || ':OTHER' AS persons
+       FROM documents""",
+)
+def project_rows(spark, sf):
+    rows = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf))
+    files = F.transform(
+        "files", lambda f: F.concat_ws(":", f["file_name"], f["file_type"], f["status"], f["failure_reason"])
+    )
+    return rows.select(
+        "repository_id", "repository_url", "project_url", "version", "title", "license",
+        F.array_join(files, " ").alias("files"),
+        F.array_join("keywords", "|").alias("keywords"),
+        F.array_join(F.transform("persons", lambda p: F.concat_ws(":", p["name"], p["role"])), "|").alias("persons"),
+    )
+
+
+@query(
+    "strict_rows",
+    """SELECT 'a.qdpx' AS file_name, count(*)::BIGINT AS n FROM documents WHERE lang = 'en' AND n_chars > 400
+       UNION ALL SELECT 'in/x.nvpx', count(*)::BIGINT FROM documents WHERE lang = 'de' AND n_chars > 400
+       UNION ALL SELECT 'c.pdf', count(*)::BIGINT FROM documents WHERE lang IN ('en', 'de') AND n_chars > 400""",
+)
+def strict_rows(spark, sf):
+    rows = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf), strict=True)
+    files = child_rows(rows)["files"]
+    return files.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "strict_record_arrays",
+    """SELECT doc_id::VARCHAR AS recid, 'a.qdpx' AS files FROM documents WHERE lang = 'en'""",
+)
+def strict_record_arrays(spark, sf):
+    kept = strict_records(records(spark, sf))
+    return kept.select("recid", F.array_join("files.file_key", "|").alias("files"))

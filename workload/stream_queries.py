@@ -1 +1,46 @@
-"""(to be filled)"""
+"""The same answers from a stream that reads all there is and stops."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from shelfmark.session import shared_folder
+from shelfmark.streaming import drain, first_within, live_counts, read_stream, telemetry_query
+from workload.base import query, table
+
+
+def _events(spark, sf):
+    schema = table(spark, sf, "events").schema
+    return read_stream(spark, sf, schema, glob="events.parquet")
+
+
+@query(
+    "stream_dedupe",
+    """SELECT event_type, count(*)::BIGINT AS n, count(DISTINCT event_id)::BIGINT AS n_ids
+       FROM events GROUP BY 1""",
+)
+def stream_dedupe(spark, sf):
+    events = _events(spark, sf)
+    # every event arrives twice
+    twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    kept = drain(first_within(twice, ["event_id"], "ts", "40 days"), "dedupe")
+    return kept.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_ids")
+    )
+
+
+@query(
+    "stream_telemetry",
+    """SELECT event_type, count(*)::BIGINT AS n, sum((props::JSON->>'$.k')::BIGINT)::BIGINT AS total
+       FROM events GROUP BY 1""",
+)
+def stream_telemetry(spark, sf):
+    events = _events(spark, sf).withColumn("k", F.from_json("props", "struct<k bigint>")["k"])
+    name = f"telemetry_{uuid.uuid4().hex}"
+    running = telemetry_query(
+        live_counts(events, ["event_type"], "k"), name, shared_folder(spark, "telemetry"), once=True
+    )
+    running.awaitTermination()
+    return spark.table(name)
