@@ -45,8 +45,9 @@ def format_authors(authors: Column) -> Column:
 
 def keyword_set(keywords: Column) -> Column:
     """Distinct trimmed keywords; a list entry may itself hold several."""
-    parts = F.flatten(F.transform(keywords, lambda k: F.split(k, ",")))
-    trimmed = F.transform(F.filter(parts, lambda p: p.isNotNull()), strip)
+    given = F.filter(keywords, lambda k: k.isNotNull())
+    parts = F.flatten(F.transform(given, lambda k: F.split(k, ",")))
+    trimmed = F.transform(parts, strip)
     return F.array_distinct(F.filter(trimmed, lambda p: p != ""))
 
 

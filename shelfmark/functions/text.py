@@ -101,6 +101,11 @@ def xml_to_json(xml: Column, schema: str) -> Column:
     parsed = F.from_xml(
         xml,
         F.lit(schema),
-        {"ignoreNamespace": "true", "excludeAttribute": "true", "mode": "PERMISSIVE"},
+        {
+            "ignoreNamespace": "true",
+            "excludeAttribute": "true",
+            "nullValue": "",
+            "mode": "PERMISSIVE",
+        },
     )
     return F.to_json(parsed)
