@@ -1,13 +1,13 @@
 """File names, extensions, tiers and links.
 
-Extension sets are literals, so each test is a hash-set lookup inside codegen;
-no dimension join is needed for a few dozen values.
+Extension sets are literals, so a test is a lookup inside codegen; no dimension
+join is needed for a few dozen values.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,34 +24,47 @@ def file_ext(path: Column) -> Column:
     ).otherwise("")
 
 
+def _lookup(ext: Column, values: Mapping[str, object]) -> Column:
+    """Value of a literal map, null for an unknown key. Unlike a chain of CASE
+    branches it computes ``ext`` once. The map is one SQL text, since a literal
+    at a time takes a call into the JVM each."""
+    pairs = ", ".join(f"{_sql(k)}, {_sql(v)}" for k, v in values.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), ext)
+
+
+def _sql(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).lower()
+
+
+def _is_one_of(ext: Column, extensions: Iterable[str]) -> Column:
+    return F.coalesce(_lookup(ext, dict.fromkeys(extensions, True)), F.lit(False))
+
+
 def file_tier(ext: Column, types: FileTypes = FILE_TYPES) -> Column:
     """1 project file, 2 text or archive, 3 media, 0 anything else."""
-    return (
-        F.when(ext.isin(types.project), 1)
-        .when(ext.isin(*types.text, *types.archive), 2)
-        .when(ext.isin(*types.media), 3)
-        .otherwise(0)
-    )
+    tiers = dict.fromkeys(types.media, 3)
+    tiers |= dict.fromkeys([*types.text, *types.archive], 2)
+    tiers |= dict.fromkeys(types.project, 1)
+    return F.coalesce(_lookup(ext, tiers), F.lit(0))
 
 
 def is_project_file(ext: Column, types: FileTypes = FILE_TYPES) -> Column:
-    return F.coalesce(ext.isin(types.project), F.lit(False))
+    return _is_one_of(ext, types.project)
 
 
 def is_required_file(ext: Column, types: FileTypes = FILE_TYPES) -> Column:
-    return F.coalesce(F.lower(ext).isin(types.required), F.lit(False))
+    return _is_one_of(F.lower(ext), types.required)
 
 
 def is_archive(ext: Column, types: FileTypes = FILE_TYPES) -> Column:
-    return F.coalesce(ext.isin(*types.archive), F.lit(False))
+    return _is_one_of(ext, types.archive)
 
 
 def software_name(ext: Column, types: FileTypes = FILE_TYPES) -> Column:
     """Analysis software that owns the extension, null when none does."""
-    name = F.lit(None).cast("string")
-    for software, exts in types.software.items():
-        name = F.when(ext.isin(exts), F.lit(software)).otherwise(name)
-    return name
+    return _lookup(ext, {e: name for name, exts in types.software.items() for e in exts})
 
 
 def safe_filename(name: Column) -> Column:

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import strip
 from shelfmark.taxonomy import PERSON_ROLES
 
-# What counts as an open license, after lower-casing and hyphenating blanks.
+# What counts as an open license in a lower-cased text.
 OPEN_LICENSE = (
-    r"cc-?0|cc-zero|cc-by|creativecommons\.org/(?:licenses/by|publicdomain)"
-    r"|creative-commons-attribution|public-?domain|odbl|pddl"
+    r"cc[\s_-]*0|cc[\s_-]zero|cc[\s_-]by|creativecommons\.org/(?:licenses/by|publicdomain)"
+    r"|creative[\s_-]commons[\s_-]attribution|public[\s_-]*domain|odbl|pddl"
 )
 
 
@@ -27,8 +27,7 @@ def map_license(license: Column) -> Column:
 
 
 def is_open_license(license: Column) -> Column:
-    normal = F.regexp_replace(F.lower(license), r"[\s_]+", "-")
-    return F.coalesce(normal.rlike(OPEN_LICENSE), F.lit(False))
+    return F.coalesce(F.lower(license).rlike(OPEN_LICENSE), F.lit(False))
 
 
 def format_authors(authors: Column) -> Column:

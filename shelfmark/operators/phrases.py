@@ -1,24 +1,41 @@
 """Which search term occurs in which record: the phrase (theta) join.
 
-Two ways, both exact:
-
-* :func:`term_hits` takes a vocabulary known to the program. The terms fold
-  into one expression per row; there is no join and the text stays put.
-* :func:`phrase_join` takes the terms as a DataFrame of any size. Every term
-  gets an anchor, a word of the corpus that must be present for the term to
-  occur, so the join becomes an equi-join on words; a last look at the text
-  confirms each candidate. No nested loop at any size.
+:func:`term_hits` takes a vocabulary known to the program and folds it into one
+expression per row. :func:`phrase_join` takes terms as a DataFrame of any size
+and picks, by counting them, among ways that all give the same rows:
+
+* short terms, few: folded into one expression, like a known vocabulary;
+* short terms, many: looked up in the words of the corpus, whose number grows
+  far slower than the corpus;
+* phrases of three or more words, of bounded size: broadcast. An inner word of
+  the phrase stands alone in any text that holds it, so the text's words meet
+  the phrases by an equi-join and the text is checked on the spot. One pass,
+  nothing is shuffled;
+* phrases beyond that bound: the same join shuffled by word, with the rarest
+  inner word as the meeting point, and the candidates checked against the texts.
+
+No way compares every text with every phrase.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 3
-_BLANKS = r"(?U)\s+"
+MAX_FOLDED = 200
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW_OVERHEAD = 100
+_BLANKS = r"\s+"
+
+
+def _folded(docs: DataFrame, found: Sequence[tuple[str, Column]], keep: Sequence[str]) -> DataFrame:
+    """``keep`` + the fields of each struct whose phrase the text holds."""
+    hits = [F.when(F.contains(F.col("_lowered"), F.lit(p)), struct) for p, struct in found]
+    return docs.select(*keep, F.inline(F.array_compact(F.array(*hits))))
 
 
 def term_hits(
@@ -30,22 +47,75 @@ def term_hits(
 ) -> DataFrame:
     """One row per (record, term in its text): ``keep`` + ``term_rank, term``."""
     lowered = records.select(*keep, F.lower(text).alias("_lowered"))
-    found = [
-        F.when(
-            F.contains(F.col("_lowered"), F.lit(term.lower())),
-            F.struct(
-                F.lit(first_rank + rank).alias("term_rank"), F.lit(term).alias("term")
-            ),
-        )
-        for rank, term in enumerate(terms)
+    ranked = [
+        (t.lower(), F.struct(F.lit(first_rank + i).alias("term_rank"), F.lit(t).alias("term")))
+        for i, t in enumerate(terms)
     ]
-    return lowered.select(*keep, F.inline(F.array_compact(F.array(*found))))
+    return _folded(lowered, ranked, keep)
 
 
 def _words(lowered: Column) -> Column:
     return F.filter(F.split(lowered, _BLANKS), lambda w: w != "")
 
 
+def _doc_words(docs: DataFrame, *more: str) -> DataFrame:
+    return docs.select(
+        "record_id", *more, F.explode(F.array_distinct(_words(F.col("_lowered")))).alias("word")
+    )
+
+
+def _longest(words: Column) -> Column:
+    return F.aggregate(
+        words, F.lit(""), lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best)
+    )
+
+
+def _inner(words: str) -> Column:
+    """The words between the first and the last, which may be cut ones."""
+    return F.slice(words, F.lit(2), F.size(words) - 2)
+
+
+def _by_broadcast(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Phrases whose total size has been checked: each meets the texts at its
+    longest inner word. The text is only referred to, not copied, per word."""
+    anchored = phrases.select("term_id", "phrase", _longest(_inner("_words")).alias("word"))
+    return (
+        _doc_words(docs, "_lowered")
+        .join(F.broadcast(anchored), "word")
+        .filter(F.contains(F.col("_lowered"), F.col("phrase")))
+        .select("record_id", "term_id")
+    )
+
+
+def _confirmed(docs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Candidates whose text does hold the phrase. The check is part of the join,
+    so no (text, phrase) pair is built; the join has already split its output by
+    record, which serves the distinct as well."""
+    asked = candidates.withColumnRenamed("record_id", "_record_id")
+    holds = F.contains(F.col("_lowered"), F.col("phrase"))
+    return (
+        docs.join(asked, (F.col("record_id") == F.col("_record_id")) & holds)
+        .select("record_id", "term_id")
+        .distinct()
+    )
+
+
+def _by_rarest_word(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    inner = phrases.select("term_id", "phrase", F.explode(F.array_distinct(_inner("_words"))).alias("word"))
+    needed = inner.select("word").distinct()
+    # hints: exploded sides outgrow the size Spark expects of them
+    present = _doc_words(docs).join(needed.hint("shuffle_hash"), "word", "left_semi")
+    counts = present.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
+    anchors = (
+        inner.join(counts.hint("merge"), "word", "left")
+        .groupBy("term_id", "phrase")
+        # an inner word the corpus lacks settles the matter: no text holds the phrase
+        .agg(F.min_by("word", F.struct(F.coalesce("n_docs", F.lit(0)), "word")).alias("word"))
+    )
+    candidates = present.join(anchors.hint("shuffle_hash"), "word").drop("word")
+    return _confirmed(docs, candidates)
+
+
 def _grams(word: Column) -> Column:
     """Distinct runs of 1 to ``GRAM`` characters; the lookahead lets them overlap."""
     runs = [
@@ -55,46 +125,22 @@ def _grams(word: Column) -> Column:
     return F.array_distinct(F.flatten(F.array(*runs)))
 
 
-def _term_anchors(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(term_id, phrase, word): the corpus words that may hold the term's anchor.
-
-    The inner words of a phrase stand alone in any text that holds the phrase.
-    Its first and last word may be the tail or head of a longer one, so for
-    phrases of one or two words the anchor is looked up inside corpus words.
-    """
-    words = terms.withColumn("_words", _words(F.col("phrase")))
-    inner = (
-        words.filter(F.size("_words") >= 3)
-        .select(
-            "term_id",
-            "phrase",
-            F.explode(F.array_distinct(F.slice("_words", F.lit(2), F.size("_words") - 2))).alias("word"),
-        )
-        .join(vocabulary.hint("merge"), "word", "left")
-        .groupBy("term_id", "phrase")
-        # an inner word the corpus lacks settles the matter: no text holds the term
-        .agg(F.min_by("word", F.struct(F.coalesce("n_docs", F.lit(0)), "word")).alias("word"))
-    )
-    outer = words.filter(F.size("_words").between(1, 2)).select(
-        "term_id",
-        "phrase",
-        F.aggregate(
-            "_words",
-            F.lit(""),
-            lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best),
-        ).alias("_piece"),
-    )
-    # an anchor shorter than a gram is looked up as it is, so the grams of the
+def _by_vocabulary(docs: DataFrame, short: DataFrame) -> DataFrame:
+    """Terms of one or two words: the longer word lies inside a word of the text.
+    Which corpus words hold it is found once per distinct word."""
+    vocabulary = _doc_words(docs).select("word").distinct()
+    # a piece shorter than a gram is looked up as it is, so the grams of the
     # corpus words come in all lengths
-    pieces = outer.withColumn("_gram", F.substring("_piece", 1, GRAM))
+    pieces = short.select("term_id", "phrase", _longest(F.col("_words")).alias("_piece")).withColumn(
+        "_gram", F.substring("_piece", 1, GRAM)
+    )
     corpus = vocabulary.select("word", F.explode(_grams(F.col("word"))).alias("_gram"))
-    grown = (
-        # exploding outgrows the size Spark expects, so no broadcast on a guess
+    holders = (
         pieces.join(corpus.hint("merge"), "_gram")
         .filter(F.contains(F.col("word"), F.col("_piece")))
         .select("term_id", "phrase", "word")
     )
-    return inner.unionByName(grown)
+    return _confirmed(docs, _doc_words(docs).join(holders.hint("shuffle_hash"), "word").drop("word"))
 
 
 def phrase_join(
@@ -104,31 +150,39 @@ def phrase_join(
     record_id: str,
     term_id: str,
     phrase: str,
+    max_folded: int = MAX_FOLDED,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(record_id, term_id) wherever the lower-cased text contains the phrase.
 
-    ``record_id`` and ``term_id`` must be unique; a blank phrase is no phrase.
-    Only ids and words are exploded and shuffled; the texts move once, to
-    confirm the candidates.
+    Ids must be unique on both sides; a blank phrase is no phrase. The terms are
+    measured when this is called, the texts are not touched before an action.
     """
     docs = records.select(F.col(record_id).alias("record_id"), F.lower(text).alias("_lowered"))
-    asked = terms.select(
-        F.col(term_id).alias("term_id"), F.lower(phrase).alias("phrase")
-    ).filter(F.col("phrase") != "")
-    doc_words = docs.select(
-        "record_id", F.explode(F.array_distinct(_words(F.col("_lowered")))).alias("word")
-    )
-    vocabulary = doc_words.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
-    anchors = _term_anchors(asked, vocabulary)
-    candidates = doc_words.join(anchors.hint("shuffle_hash"), "word").drop("word")
-    # the text check is part of the join, so no (text, phrase) pair is built; its
-    # output is already split by record, which serves the distinct as well
-    return (
-        docs.hint("merge").join(
-            candidates.withColumnRenamed("record_id", "_record_id"),
-            (F.col("record_id") == F.col("_record_id")) & F.contains(F.col("_lowered"), F.col("phrase")),
-        )
-        .select("record_id", "term_id")
-        .distinct()
-        .toDF(record_id, term_id)
+    asked = (
+        terms.select(F.col(term_id).alias("term_id"), F.lower(phrase).alias("phrase"))
+        .withColumn("_words", _words(F.col("phrase")))
+        .filter(F.size("_words") > 0)
     )
+    short, long = asked.filter(F.size("_words") <= 2), asked.filter(F.size("_words") > 2)
+    id_type = asked.schema["term_id"].dataType
+    parts = []
+
+    few = short.select("term_id", "phrase").limit(max_folded + 1).collect()
+    if len(few) > max_folded:
+        parts.append(_by_vocabulary(docs, short))
+    elif few:
+        known = [(r.phrase, F.struct(F.lit(r.term_id).cast(id_type).alias("term_id"))) for r in few]
+        parts.append(_folded(docs, known, ["record_id"]))
+
+    size = long.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0)).alias("bytes")
+    ).first()
+    if size.n and 2 * size.bytes + size.n * _ROW_OVERHEAD <= max_broadcast_bytes:
+        parts.append(_by_broadcast(docs, long))
+    elif size.n:
+        parts.append(_by_rarest_word(docs, long))
+
+    if not parts:
+        parts.append(docs.select("record_id", F.lit(None).cast(id_type).alias("term_id")).limit(0))
+    return reduce(DataFrame.unionByName, parts).toDF(record_id, term_id)

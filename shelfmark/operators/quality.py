@@ -30,7 +30,11 @@ def guess_language(
 ) -> DataFrame:
     """Language with the most stop words; the first in order wins a tie and a
     text without any gets null. A row-local vote: no explode, no shuffle."""
-    words = df.withColumn("_words", F.split(F.lower(text), WORD_BREAK))
+    # one pass over all words, then one per language over the few that count
+    known = sorted({w for listed in stop_words.values() for w in listed})
+    words = df.withColumn(
+        "_words", F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w.isin(known))
+    )
 
     def votes_for(listed: Sequence[str]) -> Column:
         return F.size(F.filter("_words", lambda w: w.isin(list(listed))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -119,13 +119,18 @@ def accept(
     threshold: int = RELEVANCE_THRESHOLD,
     strict_terms: Collection[str] = STRICT_TERMS,
     n_terms: int | None = None,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Accepted records: conformed columns + ``score``, place and ``query_string``.
 
-    ``n_terms`` is the number of search terms; a cap per term needs it.
+    ``n_terms`` is the number of search terms; a cap per term needs it. ``store``
+    keeps an intermediate result that is used more than once, such as
+    ``pipeline.stored``; without it Spark computes that result again.
     """
+    keep = store or (lambda df: df)
     hits = mark_strict(harvest.hits, policy, strict_terms)
-    candidates = score_records(with_files(harvest.records), "score_text", weights)
+    records = keep(harvest.records) if policy.by_license else harvest.records
+    candidates = score_records(with_files(records), "score_text", weights)
     placed = candidates.join(first_places(hits), ["context_repository", "recid"])
     accepted = _decide(placed, policy, threshold)
     if policy.by_license:
@@ -136,7 +141,7 @@ def accept(
         return cap_per_source(accepted, max_records)
     if n_terms is None:
         raise ValueError("a cap per term needs n_terms")
-    return _capped_by_term(hits, accepted, max_records, n_terms)
+    return _capped_by_term(hits, keep(accepted), max_records, n_terms)
 
 
 def _capped_by_term(

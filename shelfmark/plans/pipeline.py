@@ -6,24 +6,22 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfmark.plans.acquire import accept, policy_for
 from shelfmark.plans.tables import (
+    Arrivals,
     Tables,
     arrivals,
-    fold,
     merge_folded,
-    quarantine,
     read_tables,
+    split_batch,
     write_tables,
 )
 from shelfmark.session import shared_folder
-from shelfmark.sources.landing import Harvest
 from shelfmark.sources.registry import read_source
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str = "stored") -> DataFrame:
     """Write to the shared folder and read back: what several later jobs use is
     computed once and survives the loss of an executor."""
     folder = shared_folder(df.sparkSession, purpose)
@@ -45,23 +43,18 @@ def acquire(
     for source in sources:
         policy = policy_for(source, user_query)
         harvest = read_source(spark, source, f"{landing}/{source}", format)
-        if policy.by_license:
-            # the URL comparison reads the records several times
-            harvest = Harvest(harvest.hits, stored(harvest.records, f"records-{source}"))
-        accepted.append(accept(harvest, policy, max_records, n_terms=n_terms))
+        accepted.append(accept(harvest, policy, max_records, n_terms=n_terms, store=stored))
     return reduce(DataFrame.unionByName, accepted)
 
 
-def merge_into(current: Tables, batch: DataFrame, seq: str, folder: str) -> None:
+def merge_into(current: Tables, arrived: Arrivals, folder: str) -> None:
     """Merge arrivals into ``current`` and write the result as snapshot ``folder``.
 
-    The folded batch feeds the four writes, so it is stored once before them.
+    The folded projects feed the four writes, so they are stored before them.
     """
-    keyed = batch.withColumn("version", F.coalesce("version", F.lit("")))
-    good, bad = quarantine(keyed, "projects")
-    bad.write.mode("append").parquet(f"{folder}/quarantine")
-    folded = stored(fold(good, seq), "folded")
-    write_tables(merge_folded(current, folded), folder)
+    folded, rejected = split_batch(arrived)
+    rejected.write.mode("append").parquet(f"{folder}/quarantine")
+    write_tables(merge_folded(current, stored(folded), arrived), folder)
 
 
 def run(
@@ -77,10 +70,7 @@ def run(
     **acquire_options: object,
 ) -> Tables:
     """Landing to snapshot ``next_tables``, starting from snapshot ``tables``."""
-    accepted = stored(acquire(spark, landing, sources, **acquire_options), "accepted")
-    arrived = arrivals(accepted, outcomes, download_date, members, strict)
-    # within a run a project comes once per source record; should two records
-    # share a URL, the order of their folders settles which one is last
-    batch = arrived.withColumn("seq", F.struct("download_repository_folder", "download_project_folder"))
-    merge_into(read_tables(spark, tables), batch, "seq", next_tables)
+    accepted = stored(acquire(spark, landing, sources, **acquire_options))
+    arrived = arrivals(accepted, outcomes, download_date, members, strict, store=stored)
+    merge_into(read_tables(spark, tables), arrived, next_tables)
     return read_tables(spark, next_tables)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,8 +38,15 @@ SCHEMAS = {
 
 DOWNLOAD_METHOD = "SCRAPING | API"
 
-# an arrival: one row per project and arrival, children as arrays
-CHILDREN = ["files", "keywords", "persons"]
+
+class Arrivals(NamedTuple):
+    """A batch of arrivals: project rows and child rows, all with ``project_url``,
+    ``version`` and ``seq``. Children stay rows, however many a project has."""
+
+    projects: DataFrame
+    files: DataFrame
+    keywords: DataFrame
+    person_role: DataFrame
 
 
 def project_id(url: Column, version: Column) -> Column:
@@ -50,56 +58,35 @@ def _file_type(name: Column) -> Column:
     return F.ltrim(file_ext(name), F.lit("."))
 
 
-def _file_row(name: Column, status: str, reason: Column) -> Column:
-    return F.struct(
-        name.alias("file_name"),
-        _file_type(name).alias("file_type"),
-        F.lit(status).alias("status"),
-        reason.alias("failure_reason"),
-    )
+ARRIVAL_KEY = [*PROJECT_KEY, "seq"]
+_RECORD_KEY = ["context_repository", "project_identifier", "version"]
 
 
-def transferred_files(records: DataFrame, outcomes: DataFrame, members: DataFrame | None = None) -> DataFrame:
-    """(context_repository, project_identifier, version, file_name, size) that arrived.
+def transferred_files(
+    wanted: DataFrame, outcomes: DataFrame, members: DataFrame | None = None
+) -> DataFrame:
+    """The files of ``wanted`` that arrived: its columns, one row per file name.
 
-    ``outcomes`` is the transfer manifest: the three keys, ``file_name`` and
-    ``bytes``. A readable archive gives way to its ``members`` (the same keys,
-    ``archive`` = its file name, ``member``, ``size``).
+    ``wanted`` has the record key and ``file_name``. ``outcomes`` is the transfer
+    manifest: the same and ``bytes``. A readable archive gives way to its
+    ``members`` (the record key, ``archive`` = its file name, ``member``).
     """
-    key = ["context_repository", "project_identifier", "version"]
-    wanted = (
-        records.select(*key, F.explode("files").alias("f"))
-        .filter(~F.coalesce(F.col("f.restricted"), F.lit(False)))
-        .filter(F.coalesce(F.col("f.file_url"), F.lit("")) != "")
-        .select(*key, safe_filename(F.col("f.file_key")).alias("file_name"))
-        .distinct()
-    )
-    arrived = wanted.join(
-        outcomes.filter(F.col("bytes") > 0)
-        .groupBy(*key, "file_name")
-        .agg(F.max("bytes").alias("size")),
-        [*key, "file_name"],
-    )
+    moved = outcomes.filter(F.col("bytes") > 0).select(*_RECORD_KEY, "file_name").distinct()
+    arrived = wanted.join(moved, [*_RECORD_KEY, "file_name"], "left_semi")
     if members is None:
         return arrived
     packed = F.col("_inner").isNotNull() & is_archive(file_ext(F.col("file_name")))
     inner = members.filter(F.col("member").isNotNull()).select(
-        *key,
-        F.col("archive").alias("file_name"),
-        F.col("member").alias("_inner"),
-        F.col("size").alias("_size"),
+        *_RECORD_KEY, F.col("archive").alias("file_name"), F.col("member").alias("_inner")
     )
-    # a file of the same name out of two archives is one file on disk
-    return (
-        arrived.join(inner, [*key, "file_name"], "left")
-        .select(
-            *key,
-            F.when(packed, F.col("_inner")).otherwise(F.col("file_name")).alias("file_name"),
-            F.when(packed, F.col("_size")).otherwise(F.col("size")).alias("size"),
-        )
-        .groupBy(*key, "file_name")
-        .agg(F.max("size").alias("size"))
+    unpacked = arrived.join(inner, [*_RECORD_KEY, "file_name"], "left").select(
+        *[
+            F.when(packed, F.col("_inner")).otherwise(F.col(c)).alias(c) if c == "file_name" else c
+            for c in wanted.columns
+        ]
     )
+    # a file of the same name out of two archives is one file on disk
+    return unpacked.distinct()
 
 
 def arrivals(
@@ -109,78 +96,94 @@ def arrivals(
     members: DataFrame | None = None,
     strict: bool = False,
     legacy: bool = False,
-) -> DataFrame:
-    """One row per record that has a file to show, ready to be merged.
+    store: Callable[[DataFrame], DataFrame] | None = None,
+) -> Arrivals:
+    """Records that have a file to show, ready to be merged.
 
     A record counts with a transferred or a restricted file; in strict mode
     only with a transferred analysis-project file, and only those are listed.
     ``legacy`` ignores the license and people that some sources deliver under
-    other names.
+    other names. ``store`` keeps the file rows, which are used twice.
     """
     when = download_date.isoformat() if isinstance(download_date, dt.datetime) else download_date
-    key = ["context_repository", "project_identifier", "version"]
-    records = records.withColumn("version", F.coalesce("version", F.lit("v1")))
-    there = transferred_files(records, outcomes, members)
+    repo, ident = F.col("context_repository"), F.col("project_identifier")
+    records = records.withColumn("version", F.coalesce("version", F.lit("v1"))).withColumns(
+        {
+            "project_url": F.coalesce(
+                "project_url", F.concat(F.lit("https://"), repo, F.lit(".org/record/"), ident)
+            ),
+            # should two records of a batch share a URL, the order of their
+            # folders settles which of them is the last
+            "seq": F.concat_ws("/", repo, ident),
+        }
+    )
+    listed = records.select(*_RECORD_KEY, "project_url", "seq", F.explode("files").alias("f"))
+    restricted = F.coalesce(F.col("f.restricted"), F.lit(False))
+    wanted = (
+        listed.filter(~restricted & (F.coalesce(F.col("f.file_url"), F.lit("")) != ""))
+        .select(*_RECORD_KEY, "project_url", "seq", safe_filename(F.col("f.file_key")).alias("file_name"))
+        .distinct()
+    )
+    there = transferred_files(wanted, outcomes, members)
     if strict:
         there = there.filter(is_project_file(file_ext(F.col("file_name"))))
-    # what comes back into an array is one record's own list of files
-    lists = there.groupBy(*key).agg(F.array_sort(F.collect_list("file_name")).alias("_names"))
-    joined = records.join(lists, key, "inner" if strict else "left")
-
-    done = F.transform(
-        F.coalesce("_names", F.array().cast("array<string>")),
-        lambda n: _file_row(n, "SUCCEEDED", F.lit("")),
+    done = there.select(
+        *ARRIVAL_KEY, "file_name", F.lit("SUCCEEDED").alias("status"), F.lit("").alias("failure_reason")
     )
-    failed = F.transform(
-        F.filter("files", lambda f: F.coalesce(f["restricted"], F.lit(False))),
-        lambda f: _file_row(
-            f["file_key"], "FAILED", F.coalesce(f["failure_reason"], F.lit("Restricted access"))
-        ),
+    failed = listed.filter(restricted).select(
+        *ARRIVAL_KEY,
+        F.col("f.file_key").alias("file_name"),
+        F.lit("FAILED").alias("status"),
+        F.coalesce("f.failure_reason", F.lit("Restricted access")).alias("failure_reason"),
     )
-    license = F.col("license") if legacy else F.coalesce(F.when(F.col("license") != "", F.col("license")), F.col("license_id"))
-    people = F.col("creators") if legacy else F.coalesce("creators", "persons")
-    repo, ident = F.col("context_repository"), F.col("project_identifier")
-    shown = joined.withColumn("_files", F.concat(done, failed)).filter(F.size("_files") > 0)
-    return shown.select(
+    files = done.unionByName(failed).withColumn("file_type", _file_type(F.col("file_name")))
+    if store:
+        files = store(files)
+    evidence = files.filter(F.col("status") == "SUCCEEDED") if strict else files
+    shown = records.join(evidence.select(*ARRIVAL_KEY).distinct(), ARRIVAL_KEY, "left_semi")
+    if strict:
+        files = files.join(evidence.select(*ARRIVAL_KEY).distinct(), ARRIVAL_KEY, "left_semi")
+
+    given = F.when(F.col("license") != "", F.col("license"))
+    projects = shown.select(
+        *ARRIVAL_KEY,
         F.coalesce("query_string", F.lit("")).alias("query_string"),
         repository_id(repo).alias("repository_id"),
         F.coalesce("repository_url", F.concat(F.lit("https://"), repo, F.lit(".org"))).alias("repository_url"),
-        F.coalesce(
-            "project_url", F.concat(F.lit("https://"), repo, F.lit(".org/record/"), ident)
-        ).alias("project_url"),
-        "version",
         F.coalesce("title", F.lit("Unknown Title")).alias("title"),
         F.coalesce("description", F.lit("")).alias("description"),
         F.coalesce("language", F.lit("")).alias("language"),
         F.coalesce("doi", F.lit("")).alias("doi"),
-        license.alias("license"),
+        (F.col("license") if legacy else F.coalesce(given, "license_id")).alias("license"),
         F.coalesce("upload_date", F.lit("")).alias("upload_date"),
         F.lit(when).alias("download_date"),
         repo.alias("download_repository_folder"),
         ident.alias("download_project_folder"),
         F.col("version").alias("download_version_folder"),
         F.lit(DOWNLOAD_METHOD).alias("download_method"),
-        F.col("_files").alias("files"),
-        F.coalesce(keyword_set(F.col("keywords")), F.array().cast("array<string>")).alias("keywords"),
-        F.coalesce(person_roles(people), F.array().cast("array<struct<name string, role string>>")).alias("persons"),
+    )
+    people = F.col("creators") if legacy else F.coalesce("creators", "persons")
+    return Arrivals(
+        projects,
+        files,
+        shown.select(*ARRIVAL_KEY, F.explode(keyword_set(F.col("keywords"))).alias("keyword")),
+        shown.select(*ARRIVAL_KEY, F.inline(person_roles(people))),
     )
 
 
-def fold(batch: DataFrame, seq: str) -> DataFrame:
-    """Arrivals of one project to one row, as if applied in ``seq`` order.
-
-    Kept columns come from the first arrival; refreshed ones and the children,
-    which every arrival replaces as a whole, from the last.
-    """
-    updated = [c for c in [*PROJECT_UPDATED, *CHILDREN] if c in batch.columns]
-    kept = [c for c in PROJECT_KEPT if c in batch.columns]
+def fold(projects: DataFrame, seq: str = "seq") -> DataFrame:
+    """Arrivals of one project to one row, as if applied in ``seq`` order: kept
+    columns from the first arrival, refreshed ones and ``seq`` from the last."""
+    updated = [c for c in PROJECT_UPDATED if c in projects.columns]
+    kept = [c for c in PROJECT_KEPT if c in projects.columns]
     return (
-        batch.groupBy(*PROJECT_KEY)
+        projects.groupBy(*PROJECT_KEY)
         .agg(
             F.min_by(F.struct(*kept), F.col(seq)).alias("_kept"),
             F.max_by(F.struct(*updated), F.col(seq)).alias("_updated"),
+            F.max(seq).alias(seq),
         )
-        .select(*PROJECT_KEY, "_kept.*", "_updated.*")
+        .select(*PROJECT_KEY, seq, "_kept.*", "_updated.*")
     )
 
 
@@ -210,16 +213,21 @@ def replace_children(current: DataFrame, touched: DataFrame, fresh: DataFrame) -
     return current.join(ids, "project_id", "left_anti").unionByName(fresh)
 
 
-def child_rows(folded: DataFrame) -> dict[str, DataFrame]:
-    base = folded.withColumn("project_id", project_id(F.col("project_url"), F.col("version")))
-    files = base.select("project_id", F.inline("files"))
-    keywords = base.select("project_id", F.explode("keywords").alias("keyword"))
-    people = base.select("project_id", F.inline("persons"))
-    return {
-        "files": _with_id(files, "files"),
-        "keywords": _with_id(keywords, "keywords"),
-        "person_role": _with_id(people, "person_role"),
-    }
+def child_rows(folded: DataFrame, arrived: Arrivals) -> dict[str, DataFrame]:
+    """Children of the last arrival of every folded project; those of earlier
+    arrivals and of rejected projects drop out."""
+    last = folded.select(*ARRIVAL_KEY)
+    rows = {}
+    for name in ("files", "keywords", "person_role"):
+        kept = _null_safe(getattr(arrived, name)).join(last, ARRIVAL_KEY, "left_semi")
+        ids = kept.withColumn("project_id", project_id(F.col("project_url"), F.col("version")))
+        rows[name] = _with_id(ids, name)
+    return rows
+
+
+def _null_safe(df: DataFrame) -> DataFrame:
+    """The version is part of the key, so it is never null there."""
+    return df.withColumn("version", F.coalesce("version", F.lit("")))
 
 
 def _with_id(rows: DataFrame, table: str) -> DataFrame:
@@ -241,23 +249,28 @@ def quarantine(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(ok), df.filter(~ok)
 
 
-def merge_folded(current: Tables, folded: DataFrame) -> Tables:
-    """The four tables after arrivals that :func:`fold` has reduced."""
+def split_batch(arrived: Arrivals) -> tuple[DataFrame, DataFrame]:
+    """(folded good projects, rejected ones) of a batch."""
+    good, bad = quarantine(_null_safe(arrived.projects), "projects")
+    return fold(good), bad
+
+
+def merge_folded(current: Tables, folded: DataFrame, arrived: Arrivals) -> Tables:
+    """The four tables after arrivals whose projects :func:`fold` has reduced."""
     touched = folded.select(project_id(F.col("project_url"), F.col("version")).alias("project_id"))
     children = {
         name: replace_children(getattr(current, name), touched, quarantine(rows, name)[0])
-        for name, rows in child_rows(folded).items()
+        for name, rows in child_rows(folded, arrived).items()
     }
-    projects = conform(upsert(current.projects, folded), schemas.PROJECTS)
+    projects = conform(upsert(current.projects, folded.drop("seq")), schemas.PROJECTS)
     return Tables(projects, **children)
 
 
-def merge(current: Tables, batch: DataFrame, seq: str) -> Tables:
+def merge(current: Tables, arrived: Arrivals) -> Tables:
     """The four tables after a batch of arrivals; a second time changes nothing.
 
     Lazy; to write the result use ``pipeline.merge_into``, which folds once."""
-    keyed = batch.withColumn("version", F.coalesce("version", F.lit("")))
-    return merge_folded(current, fold(quarantine(keyed, "projects")[0], seq))
+    return merge_folded(current, split_batch(arrived)[0], arrived)
 
 
 def empty_tables(spark: SparkSession) -> Tables:

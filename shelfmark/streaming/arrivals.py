@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfmark.plans.tables import Tables, merge
+from shelfmark.plans.tables import Arrivals, Tables, merge
 from shelfmark.session import shared_folder
 
 
@@ -69,9 +69,11 @@ def drain(stream: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
-def merge_log(current: Tables, log: DataFrame, seq: str, since: str | None = None, date: str = "ingest_date") -> Tables:
-    """The tables after the arrivals in the log. With ``since`` only the log
+def merge_log(
+    current: Tables, log: Arrivals, since: str | None = None, date: str = "ingest_date"
+) -> Tables:
+    """The tables after the arrivals in the logs. With ``since`` only the log
     partitions from that date on are opened; going back too far does no harm."""
     if since is not None:
-        log = log.filter(F.col(date) >= since)
-    return merge(current, log, seq)
+        log = Arrivals(*[df.filter(F.col(date) >= since) for df in log])
+    return merge(current, log)

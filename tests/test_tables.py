@@ -10,6 +10,8 @@ from shelfmark.operators import joins
 from shelfmark.plans import telemetry
 from shelfmark.plans.pipeline import merge_into, run
 from shelfmark.plans.tables import (
+    ARRIVAL_KEY,
+    Arrivals,
     Tables,
     arrivals,
     create_tables,
@@ -23,26 +25,39 @@ from shelfmark.schemas import LANDING, RECORD
 from shelfmark.session import shared_folder
 from shelfmark.streaming import append_log, drain, first_within, merge_log, read_stream
 
-BATCH = (
+PROJECT = (
     "query_string string, repository_id int, repository_url string, project_url string, version string, "
     "title string, description string, language string, doi string, license string, upload_date string, "
     "download_date string, download_repository_folder string, download_project_folder string, "
-    "download_version_folder string, download_method string, "
-    "files array<struct<file_name string, file_type string, status string, failure_reason string>>, "
-    "keywords array<string>, persons array<struct<name string, role string>>, seq bigint"
+    "download_version_folder string, download_method string, seq bigint, names array<string>"
 )
 
 
 def arrival(url, seq, title, language="en", version="v1", files=("a.qdpx",), repo=1):
-    rows = [(f, f.rsplit(".", 1)[-1], "SUCCEEDED", "") for f in files]
     return (
         f"q{seq}", repo, "https://r", url, version, title, "d", language, "", "cc0", "", f"2024-01-{seq:02d}",
-        "r", f"f{seq}", "v1", "SCRAPING | API", rows, [f"k{seq}"], [("A", "AUTHOR")], seq,
+        "r", f"f{seq}", "v1", "SCRAPING | API", seq, list(files),
     )
 
 
+def rows_of(spark, *rows):
+    return spark.createDataFrame(list(rows), PROJECT)
+
+
+def arrived(df):
+    """Project rows with their children; other columns such as a date go along."""
+    extra = [c for c in df.columns if c in ("at", "ingest_date")]
+    key = [*ARRIVAL_KEY, *extra]
+    files = df.select(*key, F.explode("names").alias("file_name")).withColumns(
+        {"file_type": F.substring_index("file_name", ".", -1), "status": F.lit("SUCCEEDED"), "failure_reason": F.lit("")}
+    )
+    keywords = df.select(*key, F.concat(F.lit("k"), F.col("seq").cast("string")).alias("keyword"))
+    people = df.select(*key, F.lit("A").alias("name"), F.lit("AUTHOR").alias("role"))
+    return Arrivals(df.drop("names"), files, keywords, people)
+
+
 def batch(spark, *rows):
-    return spark.createDataFrame(list(rows), BATCH)
+    return arrived(rows_of(spark, *rows))
 
 
 def content(tables: Tables):
@@ -50,8 +65,8 @@ def content(tables: Tables):
 
 
 def test_upsert_keeps_and_refreshes(spark):
-    first = merge(empty_tables(spark), batch(spark, arrival("u", 1, "old", "de", files=("a.qdpx", "b.txt"))), "seq")
-    after = merge(first, batch(spark, arrival("u", 3, "new", "fr"), arrival("u", 2, "mid", "it"), arrival("w", 2, "w")), "seq")
+    first = merge(empty_tables(spark), batch(spark, arrival("u", 1, "old", "de", files=("a.qdpx", "b.txt"))))
+    after = merge(first, batch(spark, arrival("u", 3, "new", "fr"), arrival("u", 2, "mid", "it"), arrival("w", 2, "w")))
     rows = {r.project_url: r for r in after.projects.collect()}
     assert (rows["u"].title, rows["u"].language, rows["u"].query_string) == ("new", "de", "q1")
     assert rows["u"].download_project_folder == "f3" and rows["w"].title == "w"
@@ -64,16 +79,16 @@ def test_upsert_keeps_and_refreshes(spark):
 
 def test_upsert_twice_is_once(spark):
     rows = batch(spark, arrival("u", 1, "a"), arrival("u", 2, "b", version=None), arrival("v", 3, "c"))
-    once = merge(empty_tables(spark), rows, "seq")
-    assert content(merge(once, rows, "seq")) == content(once)
+    once = merge(empty_tables(spark), rows)
+    assert content(merge(once, rows)) == content(once)
     assert {(r.project_url, r.version) for r in once.projects.collect()} == {("u", "v1"), ("u", ""), ("v", "v1")}
 
 
 def test_two_batches_are_one(spark):
     early = [arrival("u", 1, "a", "de"), arrival("v", 2, "b")]
     late = [arrival("u", 4, "c", "fr", files=("x.txt",)), arrival("w", 3, "d")]
-    apart = merge(merge(empty_tables(spark), batch(spark, *early), "seq"), batch(spark, *late), "seq")
-    assert content(apart) == content(merge(empty_tables(spark), batch(spark, *early, *late), "seq"))
+    apart = merge(merge(empty_tables(spark), batch(spark, *early)), batch(spark, *late))
+    assert content(apart) == content(merge(empty_tables(spark), batch(spark, *early, *late)))
 
 
 def test_quarantine_and_snapshots(spark, tmp_path):
@@ -81,8 +96,8 @@ def test_quarantine_and_snapshots(spark, tmp_path):
     create_tables(spark, old)
     create_tables(spark, old)
     rows = batch(spark, arrival("u", 1, "a"), arrival("v", 2, None), arrival("w", 3, "c", repo=None))
-    assert [df.count() for df in quarantine(rows, "projects")] == [1, 2]
-    merge_into(read_tables(spark, old), rows, "seq", new)
+    assert [df.count() for df in quarantine(rows.projects, "projects")] == [1, 2]
+    merge_into(read_tables(spark, old), rows, new)
     after = read_tables(spark, new)
     assert [r.project_url for r in after.projects.collect()] == ["u"]
     assert spark.read.parquet(new + "/quarantine").count() == 2
@@ -109,20 +124,25 @@ def test_arrivals(spark):
     done = spark.createDataFrame(
         [("zenodo", "p", "v1", n, b) for n, b in [("a.qdpx", 5), ("b.txt", 2), ("lost.txt", 0), ("nourl.txt", 9)]], OUTCOMES
     )
-    row = arrivals(rec, done, "2024").first()
-    assert [(f.file_name, f.file_type, f.status, f.failure_reason) for f in row.files] == [
+    got = arrivals(rec, done, "2024")
+    named = lambda batch: sorted((f.file_name, f.file_type, f.status, f.failure_reason) for f in batch.files.collect())
+    assert named(got) == [
         ("a.qdpx", "qdpx", "SUCCEEDED", ""), ("b.txt", "txt", "SUCCEEDED", ""),
         ("r.qdpx", "qdpx", "FAILED", "Restricted access"),
     ]
-    assert (row.license, [tuple(p) for p in row.persons], row.keywords) == ("odd", [("P", "OTHER")], ["a", "b"])
+    row = got.projects.first()
     assert (row.repository_id, row.repository_url, row.project_url) == (1, "https://zenodo.org", "https://zenodo.org/record/p")
-    old = arrivals(rec, done, "2024", legacy=True).first()
-    assert (old.license, old.persons) == (None, [])
-    strict = arrivals(rec, done, "2024", strict=True).first()
-    assert [f.file_name for f in strict.files] == ["a.qdpx", "r.qdpx"]
+    assert row.license == "odd"
+    assert [(p.name, p.role) for p in got.person_role.collect()] == [("P", "OTHER")]
+    assert sorted(k.keyword for k in got.keywords.collect()) == ["a", "b"]
+    old = arrivals(rec, done, "2024", legacy=True)
+    assert (old.projects.first().license, old.person_role.count()) == (None, 0)
+    strict = arrivals(rec, done, "2024", strict=True)
+    assert [f[0] for f in named(strict)] == ["a.qdpx", "r.qdpx"]
     none = done.withColumn("bytes", F.lit(0).cast("bigint"))
-    assert arrivals(rec, none, "2024", strict=True).count() == 0
-    assert [f.status for f in arrivals(rec, none, "2024").first().files] == ["FAILED"]
+    lost = arrivals(rec, none, "2024", strict=True)
+    assert (lost.projects.count(), lost.files.count(), lost.keywords.count()) == (0, 0, 0)
+    assert [f[2] for f in named(arrivals(rec, none, "2024"))] == ["FAILED"]
 
 
 def test_run_from_landing_to_tables(spark, tmp_path):
@@ -193,18 +213,18 @@ def test_stream_equals_batch(spark, tmp_path):
     """Arrivals that trickle in, one file at a time, end as one merge would."""
     rows = [arrival("u", 1, "a"), arrival("u", 2, "b"), arrival("v", 3, "c"), arrival("u", 2, "b")]
     landing = str(tmp_path / "landing")
-    whole = batch(spark, *rows).withColumn("at", F.to_timestamp("download_date"))
+    whole = rows_of(spark, *rows).withColumn("at", F.to_timestamp("download_date"))
     for i, row in enumerate(rows):
-        batch(spark, row).withColumn("at", F.to_timestamp("download_date")).coalesce(1).write.parquet(f"{landing}/f{i}")
+        rows_of(spark, row).withColumn("at", F.to_timestamp("download_date")).coalesce(1).write.parquet(f"{landing}/f{i}")
     stream = read_stream(spark, f"{landing}/*", whole.schema, files_per_trigger=1)
     kept = first_within(stream, ["seq"], "at", "30 days")
     log = drain(kept.withColumn("ingest_date", F.date_format("at", "yyyy-MM-dd")), "log")
     assert log.count() == 3
-    expected = content(merge(empty_tables(spark), whole, "seq"))
-    assert content(merge_log(empty_tables(spark), log, "seq")) == expected
+    expected = content(merge(empty_tables(spark), arrived(rows_of(spark, *rows[:3]))))
+    assert content(merge_log(empty_tables(spark), arrived(log))) == expected
     # starting over from some earlier date repeats arrivals and changes nothing
-    done = merge_log(empty_tables(spark), log, "seq")
-    assert content(merge_log(done, log, "seq", since="2024-01-02")) == expected
+    done = merge_log(empty_tables(spark), arrived(log))
+    assert content(merge_log(done, arrived(log), since="2024-01-02")) == expected
 
 
 def test_log_continues(spark, tmp_path):
@@ -218,7 +238,7 @@ def test_log_continues(spark, tmp_path):
 
 def test_fold_is_partial(spark):
     """One key in every row still needs no more than a partial aggregate."""
-    plan = fold(batch(spark, arrival("u", 1, "a")), "seq")._jdf.queryExecution().executedPlan().toString()
+    plan = fold(rows_of(spark, arrival("u", 1, "a")))._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "Window" not in plan
 
 

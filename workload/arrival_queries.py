@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfmark.plans.tables import child_rows, fold, upsert
+from shelfmark.plans.tables import ARRIVAL_KEY, Arrivals, child_rows, fold, upsert
 from workload.base import query, table
 
 _SPLIT = "2024-01-16"
@@ -31,20 +31,24 @@ def arrivals(spark, sf):
         F.col("value").cast("string").alias("language"),
         F.lit("").alias("doi"),
         F.lit("SCRAPING | API").alias("download_method"),
-        F.array(
-            F.struct(
-                F.concat(label, F.lit(".qdpx")).alias("file_name"),
-                F.lit("qdpx").alias("file_type"),
-                F.lit("SUCCEEDED").alias("status"),
-                F.lit("").alias("failure_reason"),
-            )
-        ).alias("files"),
-        F.array(F.col("event_type"), label).alias("keywords"),
-        F.array(F.struct(label.alias("name"), F.lit("AUTHOR").alias("role"))).alias("persons"),
         F.col("event_id").alias("seq"),
     )
 
 
+def arrived(spark, sf):
+    rows = arrivals(spark, sf)
+    files = rows.select(
+        *ARRIVAL_KEY,
+        F.concat("title", F.lit(".qdpx")).alias("file_name"),
+        F.lit("qdpx").alias("file_type"),
+        F.lit("SUCCEEDED").alias("status"),
+        F.lit("").alias("failure_reason"),
+    )
+    keywords = rows.select(*ARRIVAL_KEY, F.explode(F.array("version", "title")).alias("keyword"))
+    people = rows.select(*ARRIVAL_KEY, F.col("title").alias("name"), F.lit("AUTHOR").alias("role"))
+    return Arrivals(rows, files, keywords, people)
+
+
 @query(
     "upsert_projects",
     """SELECT 'https://r/' || user_id::VARCHAR AS project_url, event_type AS version,
@@ -57,8 +61,8 @@ def upsert_projects(spark, sf):
     rows = arrivals(spark, sf)
     # the table holds what came before the split; the batch is the rest
     early = F.col("download_date") < _SPLIT
-    current = fold(rows.filter(early), "seq").drop("files", "keywords", "persons")
-    after = upsert(current, fold(rows.filter(~early), "seq"))
+    current = fold(rows.filter(early))
+    after = upsert(current, fold(rows.filter(~early)))
     return after.select(
         "project_url", "version", "query_string", "title", "description", "download_date"
     )
@@ -73,7 +77,8 @@ def upsert_projects(spark, sf):
        UNION ALL SELECT 'person', 't' || e FROM last""",
 )
 def arrival_children(spark, sf):
-    children = child_rows(fold(arrivals(spark, sf), "seq"))
+    batch = arrived(spark, sf)
+    children = child_rows(fold(batch.projects), batch)
     named = {
         "file": children["files"].select(F.col("file_name").alias("name")),
         "keyword": children["keywords"].select(F.col("keyword").alias("name")),

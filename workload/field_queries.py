@@ -59,12 +59,9 @@ def project_identifiers(spark, sf):
     )
 
 
-_OPEN_RE2 = OPEN_LICENSE
-
-
 @query(
     "open_license",
-    f"""SELECT doc_id, coalesce(regexp_matches(regexp_replace(lower(text), '[\\s_]+', '-', 'g'), '{_OPEN_RE2}'), false) AS is_open
+    f"""SELECT doc_id, coalesce(regexp_matches(lower(text), '{OPEN_LICENSE}'), false) AS is_open
         FROM documents""",
 )
 def open_license(spark, sf):

@@ -59,13 +59,14 @@ def file_classes(spark, sf):
         FROM {SQL_FILES} WHERE {SQL_SOFTWARE} IS NOT NULL GROUP BY 1""",
 )
 def software_counts(spark, sf):
-    files = files_table(spark, sf).select(
-        software_name(file_ext(F.col("file_name"))).alias("software"), "bytes"
+    per_ext = files_table(spark, sf).groupBy(file_ext(F.col("file_name")).alias("ext")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("bytes").alias("bytes")
     )
+    named = per_ext.withColumn("software", software_name(F.col("ext")))
     return (
-        files.filter(F.col("software").isNotNull())
+        named.filter(F.col("software").isNotNull())
         .groupBy("software")
-        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("bytes").alias("bytes"))
+        .agg(F.sum("n_files").alias("n_files"), F.sum("bytes").alias("bytes"))
     )
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.phrases import term_hits
 from shelfmark.plans.acquire import accept, accepted_per_source, policy_for
+from shelfmark.plans.pipeline import stored
 from shelfmark.schemas import LANDING, conform
 from shelfmark.sources import READERS, archive_members
 from shelfmark.sources.oai import read_oai
@@ -53,7 +54,8 @@ def _json(**fields):
 def _accepted(landing, source, max_records=None):
     harvest = READERS[source](landing, source)
     return accept(
-        harvest, policy_for(source), max_records, WEIGHTS, strict_terms=STRICT, n_terms=len(TERMS)
+        harvest, policy_for(source), max_records, WEIGHTS, strict_terms=STRICT,
+        n_terms=len(TERMS), store=stored,
     )
 
 
@@ -441,7 +443,7 @@ def read_oai_datacite(spark, sf):
 )
 def read_oai_dc(spark, sf):
     harvest = read_oai(oai_landing(spark, sf, "oai_dc"), "archive", "oai_dc")
-    kept = accept(harvest, policy_for("odum"))
+    kept = accept(harvest, policy_for("odum"), store=stored)
     return kept.select(
         "recid", "title", "creators_text", "license_id", _names().alias("files"),
         F.array_join("files.file_url", "|").alias("urls"),

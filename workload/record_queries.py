@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfmark.operators.filters import strict_records
-from shelfmark.plans.tables import arrivals, child_rows
+from shelfmark.plans.tables import arrivals, child_rows, fold
 from shelfmark.schemas import RECORD, conform
 from shelfmark.sources.landing import entry
 from workload.base import query, table
@@ -75,26 +75,40 @@ def members(spark, sf):
               'https://' || CASE WHEN lang = 'en' THEN 'zenodo' ELSE source END || '.org/record/p-' || doc_id::VARCHAR AS project_url,
               CASE WHEN lang = 'fr' THEN 'v2' ELSE 'v1' END AS version,
               CASE WHEN lang = 'en' THEN source ELSE 'Unknown Title' END AS title,
-              CASE WHEN lang = 'en' THEN 'cc0' ELSE 'mit' END AS license,
-              CASE WHEN n_chars <= 400 THEN '' WHEN lang = 'en' THEN 'a.qdpx:qdpx:SUCCEEDED: b.zip:zip:SUCCEEDED: '
-                   WHEN lang = 'fr' THEN 'b.zip:zip:SUCCEEDED: '
-                   WHEN lang = 'de' THEN 'a.csv:csv:SUCCEEDED: in/x.nvpx:nvpx:SUCCEEDED: in/y.txt:txt:SUCCEEDED: '
-                   ELSE 'a.csv:csv:SUCCEEDED: b.zip:zip:SUCCEEDED: ' END
-                || 'c.pdf:pdf:FAILED:' || CASE WHEN lang = 'fr' THEN 'Embargoed until 2030' ELSE 'Restricted access' END AS files,
-              lang || '|' || source AS keywords, source || ':OTHER' AS persons
+              CASE WHEN lang = 'en' THEN 'cc0' ELSE 'mit' END AS license
        FROM documents""",
 )
 def project_rows(spark, sf):
-    rows = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf))
-    files = F.transform(
-        "files", lambda f: F.concat_ws(":", f["file_name"], f["file_type"], f["status"], f["failure_reason"])
+    batch = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf))
+    return batch.projects.select(
+        "repository_id", "repository_url", "project_url", "version", "title", "license"
     )
-    return rows.select(
-        "repository_id", "repository_url", "project_url", "version", "title", "license",
-        F.array_join(files, " ").alias("files"),
-        F.array_join("keywords", "|").alias("keywords"),
-        F.array_join(F.transform("persons", lambda p: F.concat_ws(":", p["name"], p["role"])), "|").alias("persons"),
+
+
+@query(
+    "project_children",
+    """SELECT doc_id::VARCHAR AS recid, kind, value FROM (
+           SELECT doc_id, 'failed' AS kind, 'c.pdf:pdf:' || CASE WHEN lang = 'fr' THEN 'Embargoed until 2030' ELSE 'Restricted access' END AS value FROM documents
+           UNION ALL SELECT doc_id, 'arrived', 'a.qdpx:qdpx:' FROM documents WHERE n_chars > 400 AND lang = 'en'
+           UNION ALL SELECT doc_id, 'arrived', 'a.csv:csv:' FROM documents WHERE n_chars > 400 AND lang NOT IN ('en', 'fr')
+           UNION ALL SELECT doc_id, 'arrived', 'b.zip:zip:' FROM documents WHERE n_chars > 400 AND lang <> 'de'
+           UNION ALL SELECT doc_id, 'arrived', unnest(['in/x.nvpx:nvpx:', 'in/y.txt:txt:']) FROM documents WHERE n_chars > 400 AND lang = 'de'
+           UNION ALL SELECT doc_id, 'keyword', unnest([lang, source]) FROM documents
+           UNION ALL SELECT doc_id, 'person', source || ':OTHER' FROM documents)""",
+)
+def project_children(spark, sf):
+    batch = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf))
+    recid = F.substring_index("project_url", "p-", -1).alias("recid")
+    files = batch.files.select(
+        recid,
+        F.when(F.col("status") == "FAILED", "failed").otherwise("arrived").alias("kind"),
+        F.concat_ws(":", "file_name", "file_type", "failure_reason").alias("value"),
+    )
+    keywords = batch.keywords.select(recid, F.lit("keyword").alias("kind"), F.col("keyword").alias("value"))
+    people = batch.person_role.select(
+        recid, F.lit("person").alias("kind"), F.concat_ws(":", "name", "role").alias("value")
     )
+    return files.unionByName(keywords).unionByName(people)
 
 
 @query(
@@ -104,8 +118,8 @@ def project_rows(spark, sf):
        UNION ALL SELECT 'c.pdf', count(*)::BIGINT FROM documents WHERE lang IN ('en', 'de') AND n_chars > 400""",
 )
 def strict_rows(spark, sf):
-    rows = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf), strict=True)
-    files = child_rows(rows)["files"]
+    batch = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf), strict=True)
+    files = child_rows(fold(batch.projects), batch)["files"]
     return files.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
 
 
