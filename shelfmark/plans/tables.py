@@ -75,18 +75,15 @@ def transferred_files(
     arrived = wanted.join(moved, [*_RECORD_KEY, "file_name"], "left_semi")
     if members is None:
         return arrived
-    packed = F.col("_inner").isNotNull() & is_archive(file_ext(F.col("file_name")))
-    inner = members.filter(F.col("member").isNotNull()).select(
-        *_RECORD_KEY, F.col("archive").alias("file_name"), F.col("member").alias("_inner")
-    )
-    unpacked = arrived.join(inner, [*_RECORD_KEY, "file_name"], "left").select(
-        *[
-            F.when(packed, F.col("_inner")).otherwise(F.col(c)).alias(c) if c == "file_name" else c
-            for c in wanted.columns
-        ]
-    )
+    inner = members.filter(
+        F.col("member").isNotNull() & is_archive(file_ext(F.col("archive")))
+    ).select(*_RECORD_KEY, F.col("archive").alias("file_name"), "member")
+    at = [*_RECORD_KEY, "file_name"]
+    closed = arrived.join(inner.select(*at).distinct(), at, "left_anti")
+    # an inner join, so that the members of one huge archive can be split up
+    opened = arrived.join(inner, at).withColumn("file_name", F.col("member")).drop("member")
     # a file of the same name out of two archives is one file on disk
-    return unpacked.distinct()
+    return closed.unionByName(opened).distinct()
 
 
 def arrivals(
