@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.once import once
 from shelfmark.taxonomy import PHRASE_WEIGHTS, RELEVANCE_THRESHOLD
 
 
@@ -50,15 +51,21 @@ def score_records(
 ) -> DataFrame:
     """Add ``score`` and, if named, the array of matched phrases.
 
-    The lower-cased text is its own projection, so it is computed once per row
-    however many phrases there are.
+    The text is lower-cased once and searched once per phrase, also when the
+    result is filtered by the score.
     """
     text = F.col(text) if isinstance(text, str) else text
     lowered = records.withColumn("_lowered", F.lower(text))
-    out = lowered.withColumn(score, relevance_score(F.col("_lowered"), weights))
-    if matched:
-        out = out.withColumn(matched, matched_phrases(F.col("_lowered"), list(weights)))
-    return out.drop("_lowered")
+    if not matched:
+        return once(lowered, **{score: relevance_score(F.col("_lowered"), weights)}).drop("_lowered")
+    found = matched_phrases(F.col("_lowered"), list(weights))
+    listed = once(lowered, **{matched: F.coalesce(found, F.array().cast("array<string>"))})
+    # the few phrases found carry the score
+    weight_of = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
+    total = F.aggregate(
+        matched, F.lit(0), lambda sum_, phrase: sum_ + F.try_element_at(weight_of, phrase)
+    )
+    return listed.withColumn(score, total).drop("_lowered")
 
 
 def relevant(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.once import once
 from shelfmark.sources.landing import (
     Harvest,
     as_records,
@@ -53,9 +54,7 @@ def read_cessda(landing: DataFrame, source: str = "cessda") -> Harvest:
         F.lit(True).alias("restricted"),
         F.concat(F.lit(NOTICE), url).alias("failure_reason"),
     )
-    records = first_items(items).select(
-        "recid", "item", parse(F.col("item"), _STUDY).alias("s")
-    ).select(
+    records = once(first_items(items), s=parse(F.col("item"), _STUDY)).select(
         "recid",
         title.alias("title"),
         abstract.alias("description"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.files import file_ext, file_tier
+from shelfmark.functions.once import once
 from shelfmark.functions.records import failure_reason
 from shelfmark.functions.text import project_identifier
 from shelfmark.operators.filters import MIGRATION_FILE_PARTS, is_administrative
@@ -78,12 +79,12 @@ def read_dataverse(landing: DataFrame, source: str, host: str | None = None) ->
         parse(F.col("body"), _PAGE)["data"]["items"],
         F.get_json_object("item", "$.global_id"),
     )
-    listed = first_items(items).select("recid", "item", parse(F.col("item"), _ITEM).alias("i"))
+    listed = once(first_items(items), i=parse(F.col("item"), _ITEM))
     # an answer without ``data`` or ``latestVersion`` stands for an empty file list
-    detail = by_key(landing, "detail").select(
-        F.col("key").alias("recid"),
-        parse(F.col("body"), _DETAIL)["data"].alias("data"),
-    ).filter(F.col("data").isNotNull())
+    detail = once(
+        by_key(landing, "detail").withColumnRenamed("key", "recid"),
+        data=parse(F.col("body"), _DETAIL)["data"],
+    ).drop("body").filter(F.col("data").isNotNull())
     raw = F.col("i.description")
     description = F.when(
         is_json(raw, "[") & F.from_json(raw, "array<string>").isNotNull(),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.files import absolute_href
+from shelfmark.functions.once import once
 from shelfmark.functions.records import format_authors, map_license
 from shelfmark.functions.text import project_identifier
 from shelfmark.sources.landing import (
@@ -65,16 +66,15 @@ def read_dryad(landing: DataFrame, source: str = "dryad") -> Harvest:
     items = search_items(
         landing, source, parse(F.col("body"), _PAGE)["_embedded"]["stash:datasets"], item_id
     )
-    datasets = first_items(items).select(
-        "recid", "item", parse(F.col("item"), _DATASET).alias("ds")
-    ).withColumn("version_href", absolute_href(F.col("ds._links")["stash:version"]["href"], HOST))
-    versions = by_key(landing, "version").select(
-        F.col("key").alias("version_href"), parse(F.col("body"), _VERSION).alias("v")
-    ).withColumn("files_href", absolute_href(F.col("v._links")["stash:files"]["href"], HOST))
-    files = by_key(landing, "files").select(
-        F.col("key").alias("files_href"),
-        _entries(parse(F.col("body"), _FILES)["_embedded"]["stash:files"]).alias("files"),
-    )
+    datasets = once(first_items(items), ds=parse(F.col("item"), _DATASET)).withColumn("version_href", absolute_href(F.col("ds._links")["stash:version"]["href"], HOST))
+    versions = once(
+        by_key(landing, "version").withColumnRenamed("key", "version_href"),
+        v=parse(F.col("body"), _VERSION),
+    ).drop("body").withColumn("files_href", absolute_href(F.col("v._links")["stash:files"]["href"], HOST))
+    files = once(
+        by_key(landing, "files").withColumnRenamed("key", "files_href"),
+        files=_entries(parse(F.col("body"), _FILES)["_embedded"]["stash:files"]),
+    ).drop("body")
     title = F.coalesce(F.col("v.title"), F.col("ds.title"), F.lit("Untitled"))
     license = F.coalesce(F.when(F.col("ds.license") != "", F.col("ds.license")), F.col("v.license"))
     short_id = F.substring(

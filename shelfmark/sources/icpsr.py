@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.dates import date_part
+from shelfmark.functions.once import once
 from shelfmark.functions.text import project_identifier
 from shelfmark.sources.landing import (
     Harvest,
@@ -46,9 +47,7 @@ def read_icpsr(landing: DataFrame, source: str = "icpsr") -> Harvest:
     landing_url = F.coalesce(
         F.when(study["URL"] != "", study["URL"]), F.concat(F.lit(STUDY_URL), "recid")
     )
-    records = first_items(items).select(
-        "recid", "item", parse(F.col("item"), _STUDY).alias("s")
-    ).select(
+    records = once(first_items(items), s=parse(F.col("item"), _STUDY)).select(
         "recid",
         title.alias("title"),
         or_default(F.array_join(study["AUTHOR"], ", "), "").alias("creators_text"),

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.files import file_ext, file_tier, is_project_file, is_required_file
+from shelfmark.functions.once import once
 from shelfmark.operators.joins import latest_by_key
 from shelfmark.schemas import HITS, LANDING, RECORD, conform
 
@@ -78,10 +79,9 @@ def search_items(landing: DataFrame, source: str, items: Column, item_id: Column
     listed = of_kind(landing, "search").select(
         "term", "term_rank", "page", F.posexplode(items).alias("pos", "item")
     )
-    return listed.select(
+    return once(listed, recid=item_id).select(
         F.lit(source).alias("context_repository"),
-        item_id.alias("recid"),
-        "term", "term_rank", "page", "pos", "item",
+        "recid", "term", "term_rank", "page", "pos", "item",
     ).filter(F.col("recid") != "")
 
 
@@ -124,4 +124,5 @@ def people(names: Column, role: str | None) -> Column:
 
 
 def as_records(df: DataFrame, source: str) -> DataFrame:
+    df = once(df, files=F.col("files"))
     return conform(df.withColumn("context_repository", F.lit(source)), RECORD)

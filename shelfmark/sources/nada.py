@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.once import once
 from shelfmark.functions.text import project_identifier
 from shelfmark.sources.landing import (
     Harvest,
@@ -50,13 +51,15 @@ def read_nada(landing: DataFrame, source: str) -> Harvest:
         parse(F.col("body"), _PAGE)["result"]["rows"],
         F.get_json_object("item", "$.idno"),
     )
-    rows = first_items(items).select("recid", parse(F.col("item"), _ROW).alias("r"))
-    detail = by_key(landing, "detail").select(
-        F.col("key").alias("recid"), "body", parse(F.col("body"), _DETAIL)["dataset"].alias("d")
-    ).filter(is_object(F.col("body")))
-    resources = by_key(landing, "resources").select(
-        F.col("key").alias("recid"), parse(F.col("body"), _RESOURCES)["resources"].alias("res")
+    rows = once(first_items(items), r=parse(F.col("item"), _ROW)).drop("item")
+    detail = once(
+        by_key(landing, "detail").withColumnRenamed("key", "recid").filter(is_object(F.col("body"))),
+        d=parse(F.col("body"), _DETAIL)["dataset"],
     )
+    resources = once(
+        by_key(landing, "resources").withColumnRenamed("key", "recid"),
+        res=parse(F.col("body"), _RESOURCES)["resources"],
+    ).drop("body")
     none = F.array().cast("array<struct<title string, filename string, url string>>")
     joined = (
         rows.join(detail, "recid")

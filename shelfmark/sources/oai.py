@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.files import link_file_name
+from shelfmark.functions.once import once
 from shelfmark.functions.text import slugify, strip
 from shelfmark.sources.landing import Harvest, as_records, entry, of_kind, or_default, slim_hits
 
@@ -30,9 +31,9 @@ def parse_records(landing: DataFrame) -> DataFrame:
     parsed = F.from_xml(
         F.col("body"), F.lit(_PAGE), {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
     )
+    pages = of_kind(landing, "search").select(F.coalesce("page", F.lit(0)).alias("page"), "body")
     return (
-        of_kind(landing, "search")
-        .select(F.coalesce("page", F.lit(0)).alias("page"), parsed["ListRecords"]["record"].alias("_r"))
+        once(pages, _r=parsed["ListRecords"]["record"])
         .select("page", F.posexplode("_r").alias("pos", "record"))
         .select(
             strip(or_default(F.col("record.header.identifier"), "")).alias("recid"),

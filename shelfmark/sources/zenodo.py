@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.files import file_ext
+from shelfmark.functions.once import once
 from shelfmark.functions.text import project_identifier
 from shelfmark.operators.filters import is_administrative
 from shelfmark.sources.landing import (
@@ -74,8 +75,9 @@ def read_zenodo(landing: DataFrame, source: str = "zenodo") -> Harvest:
     items = search_items(
         landing, source, parse(F.col("body"), _PAGE)["hits"]["hits"], F.get_json_object("item", "$.id")
     )
-    detail = by_key(landing, "detail").select(
-        F.col("key").alias("recid"), "body", parse(F.col("body"), _DETAIL).alias("d")
+    detail = once(
+        by_key(landing, "detail").withColumnRenamed("key", "recid"),
+        d=parse(F.col("body"), _DETAIL),
     )
     meta = F.col("d.metadata")
     names = F.transform(
