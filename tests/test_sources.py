@@ -292,3 +292,12 @@ def test_archives(spark, tmp_path):
     }
     plain = {r.member for r in archive_members(blobs, flatten=False).collect()}
     assert "root/a.qdpx" in plain and "d/e.txt" in plain
+
+
+def test_bodies_are_parsed_once(spark):
+    """No filter carries a parse or a score along."""
+    harvest = READERS["zenodo"](landing(spark, zenodo_hits(1), zenodo_record(1, [FILE])), "zenodo")
+    kept = accept(harvest, policy_for("zenodo")).filter("score > 20 AND title <> ''")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line.split("[")[0]]
+    assert filters and not any("from_json" in line or "Contains(" in line for line in filters)
