@@ -33,18 +33,6 @@ def read_landing(spark: SparkSession, path: str, format: str = "parquet") -> Dat
     return conform(spark.read.schema(LANDING).format(format).load(path), LANDING)
 
 
-def stream_landing(
-    spark: SparkSession, path: str, format: str = "parquet", files_per_trigger: int = 100
-) -> DataFrame:
-    """The same as an unbounded table: files that arrive later are read later."""
-    return (
-        spark.readStream.schema(LANDING)
-        .format(format)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .load(path)
-    )
-
-
 def of_kind(landing: DataFrame, kind: str) -> DataFrame:
     return landing.filter(F.col("kind") == kind)
 

@@ -301,3 +301,10 @@ def test_bodies_are_parsed_once(spark):
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter" in line.split("[")[0]]
     assert filters and not any("from_json" in line or "Contains(" in line for line in filters)
+
+
+def test_only_the_needed_responses_are_opened(spark, tmp_path):
+    folder = str(tmp_path / "landing")
+    landing(spark, zenodo_hits(1), zenodo_record(1, [FILE])).write.partitionBy("kind").parquet(folder)
+    plan = read_source(spark, "zenodo", folder).hits._jdf.queryExecution().executedPlan().toString()
+    assert "(kind#" in plan.split("PartitionFilters")[1].split("]")[0] and "key" not in plan.split("ReadSchema")[1]

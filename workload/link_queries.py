@@ -89,10 +89,10 @@ def seen_url_dedupe(spark, sf):
 
 
 @query(
-    "page_script_block",
+    "page_embedded_json",
     r"""SELECT page_id, regexp_extract(html, '(?s)track\s*\(\s*(.*?)\s*\)\s*;</script>', 1) AS block FROM pages""",
 )
-def page_script_block(spark, sf):
+def page_embedded_json(spark, sf):
     pages = table(spark, sf, "pages")
     block = embedded_json(F.col("html"), r"(?s)track\s*\(\s*(.*?)\s*\)\s*;</script>")
     return pages.select("page_id", F.coalesce(block, F.lit("")).alias("block"))
