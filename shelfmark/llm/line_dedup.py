@@ -19,7 +19,7 @@ same ``doc_id`` are one document. Extra columns are not looked at.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import chunks, map_chunks, record_batch, stored, utf8
+from shelfmark.llm.common import chunks, map_chunks, map_rows, record_batch, stored, utf8
 
 MIN_CHARS = 10
 FILTER_BITS = 27
@@ -167,16 +167,17 @@ def drop_shared_lines(
     documents: DataFrame,
     min_chars: int = MIN_CHARS,
     bits: int = FILTER_BITS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``doc_id, text, n_lines, n_dropped, kept_sha256`` for every row of ``documents``;
-    ``text`` is what is left of it."""
+    ``text`` is what is left of it. Columns named in ``carry`` follow unchanged."""
     lost = (
         shared_lines(documents, min_chars, bits)
         .distinct()
         .groupBy("doc_id")
         .agg(F.collect_list("hash").alias("lost"))
     )
-    rows = documents.select("doc_id", "text").join(lost, "doc_id", "left")
+    rows = documents.select("doc_id", "text", *carry).join(lost, "doc_id", "left")
     schema = "doc_id long, text string, n_lines long, n_dropped long, kept_sha256 string"
 
     def apply(ids, texts, lost):
@@ -196,4 +197,5 @@ def drop_shared_lines(
             ))
         return record_batch(schema, *zip(*out))
 
-    return map_chunks(rows.select("doc_id", utf8("text").alias("text"), "lost"), apply, schema, text=1)
+    rows = rows.select("doc_id", utf8("text").alias("text"), "lost", *carry)
+    return map_rows(rows, apply, schema, text=1, carry=carry)

@@ -50,3 +50,58 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_shared_lines(table(spark, folder, "documents")).select(
         "doc_id", "n_lines", "n_dropped", "kept_sha256"
     )
+
+
+@query(
+    "op2_substring_dedup",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                   lambda w: w <> '') AS words
+        FROM documents),
+    windows AS (
+        SELECT doc_id, p, list_aggregate(words[p : p + 19], 'string_agg', ' ') AS w
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS p FROM docs)),
+    later AS (
+        SELECT doc_id, p FROM (
+            SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS k
+            FROM windows) WHERE k > 1),
+    gone AS (SELECT DISTINCT doc_id, p + unnest(range(0, 20)) AS i FROM later),
+    words AS (
+        SELECT doc_id, words[i] AS word, i
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM docs)),
+    kept AS (
+        SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS rest
+        FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+           sha256(coalesce(rest, '')) AS kept_sha256
+    FROM docs LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.substring_dedup import drop_repeated_passages
+
+    return drop_repeated_passages(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
+@query("op4_simhash_dups")
+def op4_simhash_dups(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.simhash_dups import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.packing import pack
+
+    return pack(table(spark, folder, "documents"))
+
+
+@query("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.decontaminate import leaked_items
+
+    return leaked_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
