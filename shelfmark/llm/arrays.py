@@ -18,10 +18,16 @@ _LONG = 4096  # a word of more bytes is hashed on its own
 _BLOCK = 1 << 20
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
-_POWER = np.cumprod(np.concatenate([[1], np.full(_BLOCK, _BASE, U)]).astype(U))
-_INVERSE = np.cumprod(
-    np.concatenate([[1], np.full(_BLOCK, pow(_BASE, -1, 1 << 64), U)]).astype(U)
-)
+
+
+def _powers(base: int) -> np.ndarray:
+    factors = np.full(_BLOCK + 1, base, U)
+    factors[0] = 1
+    return np.cumprod(factors)
+
+
+_POWER = _powers(_BASE)
+_INVERSE = _powers(pow(_BASE, -1, 1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
