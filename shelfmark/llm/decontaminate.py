@@ -38,29 +38,33 @@ Q = 8
 RATE = 0.1
 BLOCK_CHARS = 4_000_000
 SLICE = 1 << 20
-_BITS = 22
+_BITS = 20
+_LOW = np.uint32((1 << _BITS) - 1)
+_SPREAD = 1 << 20
 
 SCHEMA = "doc_id long, item_id long, start long, end long, edits int, item_chars int"
 
 
+#: Stands between documents that are folded together; no item holds it.
+_GAP = chr(sys.maxunicode)
+_table: np.ndarray | None = None
+
+
 def _fold_table() -> np.ndarray:
     """Folded character of every code point; 32 for what separates."""
     table = np.full(sys.maxunicode + 1, 32, np.uint32)
-    for c in range(sys.maxunicode + 1):
+    for c in range(sys.maxunicode):
         if 0xD800 <= c < 0xE000:
             continue
         s = chr(c)
         if s.isalnum():
-            low = s.lower()
-            table[c] = ord(low) if len(low) == 1 else ord(low[0])
+            table[c] = ord(s.lower()[0])
         elif unicodedata.category(s)[0] == "M":
             table[c] = c
+    table[sys.maxunicode] = sys.maxunicode
     return table
 
 
-_table: np.ndarray | None = None
-
-
 def fold(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Folded characters, and where each stands in ``text``."""
     global _table
@@ -70,7 +74,6 @@ def fold(text: str) -> tuple[np.ndarray, np.ndarray]:
     keep = codes != 32
     if len(codes):
         keep[1:] |= codes[:-1] != 32
-        keep[0] = codes[0] != 32
     where = np.flatnonzero(keep)
     if len(where) and codes[where[-1]] == 32:
         where = where[:-1]
@@ -92,13 +95,13 @@ def grams(codes: np.ndarray, q: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """The q-grams of a block of items, sorted by hash."""
+    """The q-grams of a block of items, in the order of the low bits of their hash."""
 
     ids: list[list[int]]  # item ids with this folded text
     texts: list[np.ndarray]
     budget: np.ndarray
     needed: np.ndarray
-    known: np.ndarray  # flags by the low bits of a hash
+    first: np.ndarray  # where the grams with these low bits begin
     hashes: np.ndarray
     item: np.ndarray
     position: np.ndarray
@@ -123,126 +126,119 @@ def build_index(items: list[tuple[int, str]], q: int = Q, rate: float = RATE) ->
     hashes = np.concatenate(found)
     item = np.repeat(np.arange(len(texts)), [len(g) for g in found])
     position = np.concatenate([np.arange(len(g)) for g in found])
-    order = np.argsort(hashes, kind="stable")
-    known = np.zeros(1 << _BITS, bool)
-    known[hashes & np.uint32((1 << _BITS) - 1)] = True
+    low = hashes & _LOW
+    order = np.argsort(low, kind="stable")
+    first = np.searchsorted(low[order], np.arange((1 << _BITS) + 1)).astype(np.int32)
     budget = np.array([edit_budget(len(t), q, rate) for t in texts])
     needed = np.array([len(t) for t in texts]) - q + 1 - q * budget
-    return Index(list(by_text.values()), texts, budget, needed, known,
+    return Index(list(by_text.values()), texts, budget, needed, first,
                  hashes[order], item[order], position[order], q)
 
 
-def banded_distance(
-    item: np.ndarray, codes: np.ndarray, low: int, high: int
-) -> tuple[int, int]:
-    """Fewest edits that turn ``item`` into a part of ``codes`` over the diagonals from
-    ``low`` to ``high``, and where that part ends. The part may begin anywhere."""
-    width = high - low + 1
+def banded_distances(
+    item: np.ndarray, codes: np.ndarray, low: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each band of ``width`` diagonals from ``low[i]``: the fewest edits that turn
+    ``item`` into a part of ``codes``, and where that part ends. It may begin anywhere."""
     far = len(item) + width
-    row = np.zeros(width, np.int64)  # entry t: diagonal low + t
-    diagonal = np.arange(low, high + 1)
-    row[(diagonal < 0) | (diagonal > len(codes))] = far
     steps = np.arange(width)
+    diagonal = low[:, None] + steps
+    # what lies outside the text is no part of it
+    lead = max(0, -int(low.min()))
+    tail = max(0, int(low.max()) + width + len(item) - len(codes))
+    padded = np.concatenate([np.zeros(lead, np.uint32), codes, np.zeros(tail + 1, np.uint32)])
+    row = np.where((diagonal < 0) | (diagonal > len(codes)), far, 0)
+    edge = np.full((len(low), 1), far)
     for j, c in enumerate(item):
-        at = diagonal + j  # character of the document met by this row
-        inside = (at >= 0) & (at < len(codes))
-        same = inside.copy()
-        same[inside] = codes[at[inside]] == c
-        turn = np.where(inside, row + ~same, far)
-        up = np.append(row[1:] + 1, far)
-        # the cell after the row's character must lie inside the document
-        up[(at + 1 < 0) | (at + 1 > len(codes))] = far
-        row = np.minimum(turn, up)
-        row = np.minimum.accumulate(row - steps) + steps
-        row[(at + 1 < 0) | (at + 1 > len(codes))] = far
-    best = int(np.argmin(row))
-    return int(row[best]), int(diagonal[best] + len(item))
-
-
-def _bands(codes: np.ndarray, index: Index) -> list[tuple[int, int, int]]:
-    """``item, low, high`` diagonals of every band that shares enough q-grams."""
+        turn = row + (padded[diagonal + (j + lead)] != c)
+        row = np.minimum(turn, np.concatenate([row[:, 1:] + 1, edge], axis=1))
+        row = np.minimum.accumulate(row - steps, axis=1) + steps
+    row = np.where((diagonal + len(item) < 0) | (diagonal + len(item) > len(codes)), far, row)
+    best = np.argmin(row, axis=1)
+    at = np.arange(len(low))
+    return row[at, best], diagonal[at, best] + len(item)
+
+
+def _begins(item: np.ndarray, codes: np.ndarray, end: int, edits: int) -> int:
+    """Where a region of ``edits`` edits that ends at ``end`` begins: the longest of
+    the best alignments read backwards from its end."""
+    back = codes[max(0, end - len(item) - edits) : end][::-1]
+    row = np.arange(len(back) + 1)
+    for j, c in enumerate(item[::-1]):
+        turn = row[:-1] + (back != c)
+        new = np.empty_like(row)
+        new[0] = j + 1
+        new[1:] = np.minimum(turn, row[1:] + 1)
+        steps = np.arange(len(row))
+        row = np.minimum.accumulate(new - steps) + steps
+    return end - int(np.flatnonzero(row == row.min())[-1])
+
+
+def _bands(codes: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Items and band numbers of every band that shares enough q-grams; band ``b`` of an
+    item with budget ``e`` holds the diagonals from ``b * (e + 1)``, ``2 * (e + 1)`` of them."""
+    none = np.empty(0, np.int64)
     hashed = grams(codes, index.q)
-    at = np.flatnonzero(index.known[hashed & np.uint32((1 << _BITS) - 1)])
+    low = hashed & _LOW
+    left = index.first[low]
+    size = index.first[low + np.uint32(1)] - left
+    at = np.flatnonzero(size)
     if not len(at):
-        return []
-    left = np.searchsorted(index.hashes, hashed[at], "left")
-    size = np.searchsorted(index.hashes, hashed[at], "right") - left
-    full = size > 0
-    at, left, size = at[full], left[full], size[full]
-    if not len(at):
-        return []
+        return none, none
+    left, size = left[at], size[at]
     ends = np.cumsum(size)
     rows = np.repeat(left - (ends - size), size) + np.arange(ends[-1])
+    at = np.repeat(at, size)
+    same = index.hashes[rows] == hashed[at]
+    rows, at = rows[same], at[same]
     item = index.item[rows]
-    diagonal = np.repeat(at, size) - index.position[rows]
-    step = index.budget[item] + 1
-    band = np.floor_divide(diagonal, step)
-    span = len(codes) + max(len(t) for t in index.texts) + 2
-    shift = span // 1 + 1
-    key = item * (2 * shift + 2) + band + shift
-    key = np.concatenate([key, key - 1])  # band b covers steps b and b + 1
-    keys, counts = np.unique(key, return_counts=True)
-    item = keys // (2 * shift + 2)
-    band = keys % (2 * shift + 2) - shift
-    kept = counts >= index.needed[item]
-    return [
-        (int(i), int(b * (index.budget[i] + 1)), int((b + 2) * (index.budget[i] + 1) - 1))
-        for i, b in zip(item[kept], band[kept])
-    ]
-
-
-def find_items(text: str, index: Index, slice_chars: int = SLICE) -> list[tuple]:
-    """``item, start, end, edits`` of the best region of each item in ``text``."""
-    codes, where = fold(text)
-    overlap = 2 * max(len(t) for t in index.texts) + 2
-    best: dict[int, tuple[int, int, int]] = {}
-    for base in range(0, max(1, len(codes)), slice_chars):
-        part = codes[base : base + slice_chars + overlap]
+    band = (at - index.position[rows]) // (index.budget[item] + 1)
+    # most bands hold a few grams only: drop them by a count over mixed keys
+    spread = ((item * 0x9E3779B1 + band) * 0x85EBCA6B) & (_SPREAD - 1)
+    near = ((item * 0x9E3779B1 + band - 1) * 0x85EBCA6B) & (_SPREAD - 1)
+    counts = np.bincount(spread, minlength=_SPREAD) + np.bincount(near, minlength=_SPREAD)
+    out = []
+    for b, key in ((band, spread), (band - 1, near)):
+        full = counts[key] >= index.needed[item]
+        out.append(np.stack([item[full], b[full]], axis=1))
+    keys, counts = np.unique(np.concatenate(out), axis=0, return_counts=True)
+    kept = counts >= index.needed[keys[:, 0]]
+    return keys[kept, 0], keys[kept, 1]
+
+
+def find_items(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int]]:
+    """``text number, item, start, end, edits`` of the best region of each item in
+    each text."""
+    gap = int(index.budget.max()) + 1  # no region bridges it
+    found = [fold(t) for t in texts]
+    bar = np.full(gap, sys.maxunicode, np.uint32)
+    codes = np.concatenate([x for c, _ in found for x in (c, bar)])
+    offsets = np.cumsum([0] + [len(c) + gap for c, _ in found])
+    overlap = 2 * max(map(len, index.texts)) + 2
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for base in range(0, len(codes), SLICE):
+        part = codes[base : base + SLICE + overlap]
         if len(part) < index.q:
             continue
-        for i, low, high in _bands(part, index):
+        items, bands = _bands(part, index)
+        for i in np.unique(items).tolist():
             item, budget = index.texts[i], int(index.budget[i])
-            # edits may leave the band's diagonals by the budget
-            edits, end = banded_distance(item, part, low - budget, high + budget)
-            if edits <= budget and (i not in best or (edits, base + end) < best[i][::2]):
-                begin = _begin(item, part, end, edits)
-                best[i] = (edits, base + begin, base + end)
-    return [
-        (i, int(where[begin]), int(where[end - 1]) + 1, edits)
-        for i, (edits, begin, end) in sorted(best.items())
-        if end > begin
-    ]
-
-
-def _begin(item: np.ndarray, codes: np.ndarray, end: int, edits: int) -> int:
-    """Where the region that ends at ``end`` begins: the same alignment backwards."""
-    back = codes[max(0, end - len(item) - edits) : end][::-1]
-    _, length = banded_distance_from_start(item[::-1], back, edits)
-    return end - length
-
-
-def banded_distance_from_start(item: np.ndarray, codes: np.ndarray, edits: int) -> tuple[int, int]:
-    """As ``banded_distance`` for a part that begins at the first character."""
-    width = 2 * edits + 1
-    far = len(item) + width
-    diagonal = np.arange(-edits, edits + 1)
-    steps = np.arange(width)
-    row = np.where(diagonal >= 0, diagonal, far)
-    row[diagonal > len(codes)] = far
-    for j, c in enumerate(item):
-        at = diagonal + j
-        inside = (at >= 0) & (at < len(codes))
-        same = inside.copy()
-        same[inside] = codes[at[inside]] == c
-        row = np.minimum(np.where(inside, row + ~same, far), np.append(row[1:] + 1, far))
-        out = (at + 1 < 0) | (at + 1 > len(codes))
-        row[out] = far
-        if (at + 1 == 0).any():
-            row[at + 1 == 0] = j + 1
-        row = np.minimum.accumulate(row - steps) + steps
-        row[out] = far
-    best = int(np.argmin(row))
-    return int(row[best]), int(diagonal[best] + len(item))
+            low = bands[items == i] * (budget + 1) - budget  # edits may leave the band
+            for k in range(0, len(low), 256):
+                some = low[k : k + 256]
+                edits, ends = banded_distances(item, part, some, 4 * budget + 2)
+                for d, end in zip(edits.tolist(), ends.tolist()):
+                    if d > budget:
+                        continue
+                    text = int(np.searchsorted(offsets, base + end - 1, "right")) - 1
+                    if (text, i) not in best or (d, base + end) < best[text, i][:2]:
+                        best[text, i] = (d, base + end, _begins(item, part, end, d) + base)
+    out = []
+    for (text, i), (edits, end, begin) in sorted(best.items()):
+        where = found[text][1]
+        begin, end = begin - offsets[text], min(end - offsets[text], len(where))
+        out.append((text, i, int(where[max(0, begin)]), int(where[end - 1]) + 1, edits))
+    return out
 
 
 def _blocks(benchmark: DataFrame, block_chars: int) -> DataFrame:
@@ -282,10 +278,10 @@ def leaked_items(
 
         def run(ids, texts, shared=shared):
             index = shared.value
+            texts = [t.decode("utf-8", "replace") for t in texts]
             rows = [
-                (doc, item, start, end, edits, len(index.texts[i]))
-                for doc, text in zip(ids, texts)
-                for i, start, end, edits in find_items(text.decode("utf-8", "replace"), index)
+                (ids[text], item, start, end, edits, len(index.texts[i]))
+                for text, i, start, end, edits in find_items(texts, index)
                 for item in index.ids[i]
             ]
             return record_batch(SCHEMA, *zip(*rows)) if rows else None
