@@ -25,7 +25,6 @@ at.
 from __future__ import annotations
 
 import sys
-import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import map_chunks, record_batch, utf8
+from shelfmark.llm.folding import fold
 
 Q = 8
 RATE = 0.1
@@ -45,41 +45,6 @@ _SPREAD = 1 << 20
 SCHEMA = "doc_id long, item_id long, start long, end long, edits int, item_chars int"
 
 
-#: Stands between documents that are folded together; no item holds it.
-_GAP = chr(sys.maxunicode)
-_table: np.ndarray | None = None
-
-
-def _fold_table() -> np.ndarray:
-    """Folded character of every code point; 32 for what separates."""
-    table = np.full(sys.maxunicode + 1, 32, np.uint32)
-    for c in range(sys.maxunicode):
-        if 0xD800 <= c < 0xE000:
-            continue
-        s = chr(c)
-        if s.isalnum():
-            table[c] = ord(s.lower()[0])
-        elif unicodedata.category(s)[0] == "M":
-            table[c] = c
-    table[sys.maxunicode] = sys.maxunicode
-    return table
-
-
-def fold(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Folded characters, and where each stands in ``text``."""
-    global _table
-    if _table is None:
-        _table = _fold_table()
-    codes = _table[np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")]
-    keep = codes != 32
-    if len(codes):
-        keep[1:] |= codes[:-1] != 32
-    where = np.flatnonzero(keep)
-    if len(where) and codes[where[-1]] == 32:
-        where = where[:-1]
-    return codes[where], where
-
-
 def grams(codes: np.ndarray, q: int) -> np.ndarray:
     """A 32-bit hash of every ``q`` consecutive characters (``q`` a power of two)."""
     h = codes.astype(np.uint32) * np.uint32(0x9E3779B1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.llm.common import table
 
@@ -105,3 +106,14 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     from shelfmark.llm.decontaminate import leaked_items
 
     return leaked_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.toxicity import held_out, score, train
+
+    documents = table(spark, folder, "documents")
+    model = train(documents, table(spark, folder, "labels"))
+    return score(documents, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
