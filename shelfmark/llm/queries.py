@@ -117,3 +117,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score(documents, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
     )
+
+
+@query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, folder, "documents"))
