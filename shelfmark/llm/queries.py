@@ -124,3 +124,10 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     from shelfmark.llm.licenses import scan_licenses
 
     return scan_licenses(table(spark, folder, "documents"))
+
+
+@query("op6_sharding")
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.sharding import shard
+
+    return shard(table(spark, folder, "documents"))
