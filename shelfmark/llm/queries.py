@@ -131,3 +131,10 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     from shelfmark.llm.sharding import shard
 
     return shard(table(spark, folder, "documents"))
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.fingerprints import edited_fingerprints
+
+    return edited_fingerprints(table(spark, folder, "documents"))
