@@ -8,8 +8,10 @@ from shelfmark.functions.dates import (
 )
 from shelfmark.functions.files import (
     absolute_href,
+    base_name,
     file_ext,
     file_tier,
+    file_type,
     has_project_link,
     is_archive,
     is_project_file,
@@ -38,9 +40,9 @@ from shelfmark.functions.text import (
 )
 
 __all__ = [
-    "absolute_href", "chunk_start", "clean_term", "date_part",
+    "absolute_href", "base_name", "chunk_start", "clean_term", "date_part",
     "date_range_chunks", "date_range_slices", "failure_reason", "file_ext",
-    "file_tier", "flatten_json", "format_authors", "has_project_link",
+    "file_tier", "file_type", "flatten_json", "format_authors", "has_project_link",
     "is_archive", "is_open_license", "is_project_file", "is_required_file",
     "keyword_set", "link_file_name", "map_license", "person_roles",
     "project_identifier", "safe_filename", "slugify", "software_name",

@@ -24,6 +24,15 @@ def file_ext(path: Column) -> Column:
     ).otherwise("")
 
 
+def base_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
+
+
+def file_type(path: Column) -> Column:
+    """Extension of the last part of a path without its dot, ``''`` if it has none."""
+    return F.ltrim(file_ext(base_name(path)), F.lit("."))
+
+
 def _lookup(ext: Column, values: Mapping[str, object]) -> Column:
     """Value of a literal map, null for an unknown key. Unlike a chain of CASE
     branches it computes ``ext`` once. The map is one SQL text, since a literal

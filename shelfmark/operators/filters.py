@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.files import file_ext, is_project_file
+from shelfmark.functions.files import base_name, file_ext, is_project_file
 from shelfmark.functions.records import is_open_license
 from shelfmark.taxonomy import FILE_TYPES, RELEVANCE_THRESHOLD, FileTypes
 
@@ -67,12 +67,12 @@ def project_files_only(
     files: DataFrame, name: str = "file_name", types: FileTypes = FILE_TYPES
 ) -> DataFrame:
     """Strict mode: only analysis-project files, and so only projects with one."""
-    return files.filter(is_project_file(file_ext(F.col(name)), types))
+    return files.filter(is_project_file(file_ext(base_name(F.col(name))), types))
 
 
 def strict_records(
     records: DataFrame, files: str = "files", types: FileTypes = FILE_TYPES
 ) -> DataFrame:
     """Strict mode on records that carry their files as an array."""
-    kept = F.filter(files, lambda f: is_project_file(file_ext(f["file_key"]), types))
+    kept = F.filter(files, lambda f: is_project_file(file_ext(base_name(f["file_key"])), types))
     return with_files(records.withColumn(files, kept), files)

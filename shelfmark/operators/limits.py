@@ -3,49 +3,68 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.session import stored
+
 # Up to this many rows per group Spark limits every group before the shuffle
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
 
 
-def cap_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], n: int, rank: str | None = None
-) -> DataFrame:
-    """First ``n`` rows of every group by ``order``, which must be unique there.
+def _same(columns: Sequence[str], left: str, right: str) -> Column:
+    """Equal columns, null being equal to null."""
+    tests = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+    return reduce(lambda a, b: a & b, tests)
+
+
+def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """First ``n`` rows of every group by ``order``, which must be unique there. Nulls
+    come first in the order, and rows with a null group are a group.
 
-    A small ``n`` is cut before the shuffle, whatever the group sizes. For a
-    large one the rows are counted per (group, all but the last order column);
-    a running total of those counts tells which blocks lie wholly inside the
-    cap, so that only the block on the border is ranked row by row.
+    A small ``n`` is cut before the shuffle, whatever the group sizes. For a large one
+    the places alone are dealt to ranges of (group, order), so a large group lies in
+    many ranges; the rows of each range are counted, running totals over the ranges tell
+    where the cap falls, and only that range is ranked row by row. The rows themselves
+    are compared with the last place inside the cap.
     """
-    if n <= GROUP_LIMIT or len(order) == 1:
-        name = rank or "_rank"
-        ranked = df.withColumn(
-            name, F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-        ).filter(F.col(name) <= n)
-        return ranked if rank else ranked.drop(name)
-    block = list(order[:-1])
-    sizes = df.groupBy(*group, *block).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*group).orderBy(*block).rowsBetween(
-        Window.unboundedPreceding, -1
+    if n <= GROUP_LIMIT:
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    last = last_places(df, group, order, n)
+    joined = df.alias("d").join(last.alias("l"), _same(group, "d", "l"), "left")
+    place = F.struct(*[F.col(f"d.{c}") for c in order])
+    return joined.filter(F.col("l._last").isNull() | (place <= F.col("l._last"))).select("d.*")
+
+
+def last_places(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The ``n``-th place of every group that has more rows: the group columns and the
+    order columns as the struct ``_last``."""
+    places = stored(
+        df.select(*group, *order)
+        .repartitionByRange(*group, *order)
+        .withColumn("_range", F.spark_partition_id()),
+        "places",
     )
-    starts = (
+    sizes = places.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    # one row per range that the group touches
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    border = (
         sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .filter(F.col("_before") < n)
-        .drop("_size")
+        .filter((F.col("_before") < n) & (F.col("_before") + F.col("_size") >= n))
+        .select(*group, "_range", "_before")
+    )
+    inside = places.alias("p").join(border.alias("b"), _same([*group, "_range"], "p", "b"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return (
+        inside.select("p.*", "b._before")
+        .withColumn("_rank", F.col("_before") + rank)
+        .filter(F.col("_rank") == n)
+        .select(*group, F.struct(*order).alias("_last"))
     )
-    inside = df.join(starts, [*group, *block])
-    name = rank or "_rank"
-    within = Window.partitionBy(*group, *block).orderBy(order[-1])
-    ranked = inside.withColumn(name, F.col("_before") + F.row_number().over(within))
-    kept = ranked.filter(F.col(name) <= n).drop("_before")
-    kept = kept.select(*df.columns, name)
-    return kept if rank else kept.drop(name)
 
 
 def cap_per_source(
@@ -61,7 +80,6 @@ def cap_per_source(
 def cap_per_term(
     hits: DataFrame,
     n: int,
-    n_terms: int,
     source: str = "context_repository",
     record: str = "recid",
     order: Sequence[str] = ("page", "pos"),
@@ -69,26 +87,24 @@ def cap_per_term(
     """Walk the terms in rank order and take up to ``n`` records under each that no
     earlier term took.
 
-    A record beyond the cap of one term may still enter under a later one, so
-    this is not a plain rank. Under the t-th term at most ``n * (t - 1)`` records
-    are gone already, hence its first ``n * t`` hits decide. Those are cut out in
-    parallel; the walk itself then sees at most ``n * n_terms * (n_terms + 1) / 2``
-    ids per source, a bound that does not grow with the data.
+    A record beyond the cap of one term may still enter under a later one, so this is
+    not a plain rank. There is one round per term, over the hits of that term only: those
+    taken before are left out by an anti join, the rest is capped. The ranks are those in
+    the hits, with whatever gaps they have; hits without a rank come first.
     """
-    slim = hits.select(source, record, "term_rank", *order)
-    heads = cap_per_group(
-        slim, [source, "term_rank"], list(order), n * n_terms, rank="_hit"
-    ).filter(F.col("_hit") <= F.lit(n) * (F.col("term_rank") + 1))
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["term_rank", "_hit"], kind="stable")
-        taken: set = set()
-        kept = []
-        for _, under in rows.groupby("term_rank", sort=True):
-            new = under[~under[record].isin(taken)].head(n)
-            taken.update(new[record])
-            kept.append(new)
-        return pd.concat(kept)
-
-    chosen = heads.groupBy(source).applyInPandas(walk, heads.schema).drop("_hit")
-    return hits.join(chosen.select(source, record, "term_rank"), [source, record, "term_rank"], "left_semi")
+    slim = stored(hits.select(source, record, "term_rank", *order), "hits")
+    ranks = [r[0] for r in slim.select("term_rank").distinct().collect()]  # search terms
+    taken: list[DataFrame] = []
+    for rank in sorted(ranks, key=lambda r: (r is not None, r)):
+        under = slim.filter(F.col("term_rank").eqNullSafe(F.lit(rank)))
+        if taken:
+            gone = reduce(DataFrame.unionByName, taken).select(source, record)
+            under = under.alias("u").join(
+                gone.alias("g"), _same([source, record], "u", "g"), "left_anti"
+            )
+        taken.append(stored(cap_per_group(under, [source], list(order), n), "taken"))
+    if not taken:
+        return hits.limit(0)
+    chosen = reduce(DataFrame.unionByName, taken).select(source, record, "term_rank")
+    same = _same([source, record, "term_rank"], "h", "c")
+    return hits.alias("h").join(chosen.alias("c"), same, "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.files import file_ext
+from shelfmark.functions.files import file_type
 from shelfmark.functions.text import null_if_blank
 
 # Frequent function words that tell the languages of the test texts apart; a
@@ -146,4 +146,4 @@ def profile(
 
 def repair_file_types(files: DataFrame) -> DataFrame:
     """Derive ``file_type`` from the name again."""
-    return files.withColumn("file_type", F.ltrim(file_ext(F.col("file_name")), F.lit(".")))
+    return files.withColumn("file_type", file_type(F.col("file_name")))

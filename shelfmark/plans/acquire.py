@@ -118,13 +118,11 @@ def accept(
     weights: Mapping[str, int] = PHRASE_WEIGHTS,
     threshold: int = RELEVANCE_THRESHOLD,
     strict_terms: Collection[str] = STRICT_TERMS,
-    n_terms: int | None = None,
     store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Accepted records: conformed columns + ``score``, place and ``query_string``.
 
-    ``n_terms`` is the number of search terms; a cap per term needs it. ``store``
-    keeps an intermediate result that is used more than once, such as
+    ``store`` keeps an intermediate result that is used more than once, such as
     ``pipeline.stored``; without it Spark computes that result again.
     """
     keep = store or (lambda df: df)
@@ -139,13 +137,11 @@ def accept(
         return accepted
     if policy.cap == "source":
         return cap_per_source(accepted, max_records)
-    if n_terms is None:
-        raise ValueError("a cap per term needs n_terms")
-    return _capped_by_term(hits, keep(accepted), max_records, n_terms)
+    return _capped_by_term(hits, keep(accepted), max_records)
 
 
 def _capped_by_term(
-    hits: DataFrame, accepted: DataFrame, max_records: int, n_terms: int
+    hits: DataFrame, accepted: DataFrame, max_records: int
 ) -> DataFrame:
     """With a cap per term the term that takes a record need not be its first."""
     key = ["context_repository", "recid"]
@@ -153,7 +149,7 @@ def _capped_by_term(
     per_term = passing.groupBy(*key, "term_rank").agg(
         F.min(F.struct("page", "pos", "term")).alias("_at")
     ).select(*key, "term_rank", "_at.*")
-    taken = cap_per_term(per_term, max_records, n_terms)
+    taken = cap_per_term(per_term, max_records)
     places = taken.select(*key, *ORDER, clean_term(F.col("term")).alias("query_string"))
     return (
         accepted.drop(*ORDER, "query_string").join(places, key).select(*accepted.columns)

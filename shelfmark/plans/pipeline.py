@@ -14,27 +14,19 @@ from shelfmark.plans.tables import (
     arrivals,
     merge_folded,
     read_tables,
+    rejected_children,
     split_batch,
     write_tables,
 )
-from shelfmark.session import shared_folder
+from shelfmark.session import stored
 from shelfmark.sources.registry import read_source
 
 
-def stored(df: DataFrame, purpose: str = "stored") -> DataFrame:
-    """Write to the shared folder and read back: what several later jobs use is
-    computed once and survives the loss of an executor."""
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def acquire(
     spark: SparkSession,
     landing: str,
     sources: Sequence[str],
     max_records: int | None = None,
-    n_terms: int | None = None,
     user_query: bool = False,
     format: str = "parquet",
 ) -> DataFrame:
@@ -43,18 +35,22 @@ def acquire(
     for source in sources:
         policy = policy_for(source, user_query)
         harvest = read_source(spark, source, f"{landing}/{source}", format)
-        accepted.append(accept(harvest, policy, max_records, n_terms=n_terms, store=stored))
+        accepted.append(accept(harvest, policy, max_records, store=stored))
     return reduce(DataFrame.unionByName, accepted)
 
 
 def merge_into(current: Tables, arrived: Arrivals, folder: str) -> None:
     """Merge arrivals into ``current`` and write the result as snapshot ``folder``.
 
-    The folded projects feed the four writes, so they are stored before them.
+    The folded projects feed all writes, so they are stored before them. Rows that
+    lack a required column go to ``quarantine``, those of children as well.
     """
     folded, rejected = split_batch(arrived)
-    rejected.write.mode("append").parquet(f"{folder}/quarantine")
-    write_tables(merge_folded(current, stored(folded), arrived), folder)
+    folded = stored(folded)
+    rejected.write.mode("append").parquet(f"{folder}/quarantine/projects")
+    for name, rows in rejected_children(folded, arrived).items():
+        rows.write.mode("append").parquet(f"{folder}/quarantine/{name}")
+    write_tables(merge_folded(current, folded, arrived), folder)
 
 
 def run(

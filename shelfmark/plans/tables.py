@@ -6,11 +6,18 @@ import datetime as dt
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
-from shelfmark.functions.files import file_ext, is_archive, is_project_file, safe_filename
+from shelfmark.functions.files import (
+    base_name,
+    file_ext,
+    file_type,
+    is_archive,
+    is_project_file,
+    safe_filename,
+)
 from shelfmark.functions.records import keyword_set, person_roles
 from shelfmark.operators.joins import repository_id
 from shelfmark.schemas import (
@@ -37,11 +44,13 @@ SCHEMAS = {
 }
 
 DOWNLOAD_METHOD = "SCRAPING | API"
+NAMELESS_FILE = "unknown"
 
 
 class Arrivals(NamedTuple):
     """A batch of arrivals: project rows and child rows, all with ``project_url``,
-    ``version`` and ``seq``. Children stay rows, however many a project has."""
+    ``version``, ``seq`` and ``ingest_date``. ``seq`` orders the arrivals of a project by
+    time. Children stay rows, however many a project has."""
 
     projects: DataFrame
     files: DataFrame
@@ -54,11 +63,8 @@ def project_id(url: Column, version: Column) -> Column:
     return F.xxhash64(url, F.coalesce(version, F.lit("")))
 
 
-def _file_type(name: Column) -> Column:
-    return F.ltrim(file_ext(name), F.lit("."))
-
-
 ARRIVAL_KEY = [*PROJECT_KEY, "seq"]
+_ARRIVED = ["project_url", "seq", "ingest_date"]
 _RECORD_KEY = ["context_repository", "project_identifier", "version"]
 
 
@@ -89,7 +95,7 @@ def transferred_files(
 def arrivals(
     records: DataFrame,
     outcomes: DataFrame,
-    download_date: str | dt.datetime,
+    download_date: str | dt.datetime | Column,
     members: DataFrame | None = None,
     strict: bool = False,
     legacy: bool = False,
@@ -100,40 +106,47 @@ def arrivals(
     A record counts with a transferred or a restricted file; in strict mode
     only with a transferred analysis-project file, and only those are listed.
     ``legacy`` ignores the license and people that some sources deliver under
-    other names. ``store`` keeps the file rows, which are used twice.
+    other names. ``store`` keeps the file rows, which are used twice. ``download_date``
+    is the time of the whole batch, or a column with that of each record (as ISO text):
+    a log may hold several arrivals of one project.
     """
-    when = download_date.isoformat() if isinstance(download_date, dt.datetime) else download_date
+    if isinstance(download_date, dt.datetime):
+        download_date = download_date.isoformat()
+    when = download_date if isinstance(download_date, Column) else F.lit(download_date)
     repo, ident = F.col("context_repository"), F.col("project_identifier")
     records = records.withColumn("version", F.coalesce("version", F.lit("v1"))).withColumns(
         {
             "project_url": F.coalesce(
-                "project_url", F.concat(F.lit("https://"), repo, F.lit(".org/record/"), ident)
+                F.when(F.trim("project_url") != "", F.col("project_url")), F.concat(F.lit("https://"), repo, F.lit(".org/record/"), ident)
             ),
-            # should two records of a batch share a URL, the order of their
-            # folders settles which of them is the last
-            "seq": F.concat_ws("/", repo, ident),
+            "_when": when,
+            # later arrivals come last; should two records of one time share a URL,
+            # the order of their folders settles which of them does
+            "seq": F.concat_ws("/", when, repo, ident),
         }
     )
-    listed = records.select(*_RECORD_KEY, "project_url", "seq", F.explode("files").alias("f"))
+    records = records.withColumn("ingest_date", F.substring("_when", 1, 10))
+    listed = records.select(*_RECORD_KEY, *_ARRIVED, F.explode("files").alias("f"))
     restricted = F.coalesce(F.col("f.restricted"), F.lit(False))
     wanted = (
         listed.filter(~restricted & (F.coalesce(F.col("f.file_url"), F.lit("")) != ""))
-        .select(*_RECORD_KEY, "project_url", "seq", safe_filename(F.col("f.file_key")).alias("file_name"))
+        .select(*_RECORD_KEY, *_ARRIVED, safe_filename(F.col("f.file_key")).alias("file_name"))
         .distinct()
     )
     there = transferred_files(wanted, outcomes, members)
     if strict:
-        there = there.filter(is_project_file(file_ext(F.col("file_name"))))
+        there = there.filter(is_project_file(file_ext(base_name(F.col("file_name")))))
     done = there.select(
-        *ARRIVAL_KEY, "file_name", F.lit("SUCCEEDED").alias("status"), F.lit("").alias("failure_reason")
+        *ARRIVAL_KEY, "ingest_date", "file_name", F.lit("SUCCEEDED").alias("status"), F.lit("").alias("failure_reason")
     )
     failed = listed.filter(restricted).select(
         *ARRIVAL_KEY,
-        F.col("f.file_key").alias("file_name"),
+        "ingest_date",
+        F.coalesce(F.when(F.trim("f.file_key") != "", F.col("f.file_key")), F.lit(NAMELESS_FILE)).alias("file_name"),
         F.lit("FAILED").alias("status"),
         F.coalesce("f.failure_reason", F.lit("Restricted access")).alias("failure_reason"),
     )
-    files = done.unionByName(failed).withColumn("file_type", _file_type(F.col("file_name")))
+    files = done.unionByName(failed).withColumn("file_type", file_type(F.col("file_name")))
     if store:
         files = store(files)
     evidence = files.filter(F.col("status") == "SUCCEEDED") if strict else files
@@ -144,6 +157,7 @@ def arrivals(
     given = F.when(F.col("license") != "", F.col("license"))
     projects = shown.select(
         *ARRIVAL_KEY,
+        "ingest_date",
         F.coalesce("query_string", F.lit("")).alias("query_string"),
         repository_id(repo).alias("repository_id"),
         F.coalesce("repository_url", F.concat(F.lit("https://"), repo, F.lit(".org"))).alias("repository_url"),
@@ -153,7 +167,7 @@ def arrivals(
         F.coalesce("doi", F.lit("")).alias("doi"),
         (F.col("license") if legacy else F.coalesce(given, "license_id")).alias("license"),
         F.coalesce("upload_date", F.lit("")).alias("upload_date"),
-        F.lit(when).alias("download_date"),
+        F.col("_when").alias("download_date"),
         repo.alias("download_repository_folder"),
         ident.alias("download_project_folder"),
         F.col("version").alias("download_version_folder"),
@@ -163,8 +177,8 @@ def arrivals(
     return Arrivals(
         projects,
         files,
-        shown.select(*ARRIVAL_KEY, F.explode(keyword_set(F.col("keywords"))).alias("keyword")),
-        shown.select(*ARRIVAL_KEY, F.inline(person_roles(people))),
+        shown.select(*ARRIVAL_KEY, "ingest_date", F.explode(keyword_set(F.col("keywords"))).alias("keyword")),
+        shown.select(*ARRIVAL_KEY, "ingest_date", F.inline(person_roles(people))),
     )
 
 
@@ -228,8 +242,11 @@ def _null_safe(df: DataFrame) -> DataFrame:
 
 
 def _with_id(rows: DataFrame, table: str) -> DataFrame:
+    """Ids from the natural columns and, for equal rows, their number."""
     natural = [c for c in SCHEMAS[table].names if c != "id"]
-    return conform(rows.withColumn("id", F.xxhash64(*natural)), SCHEMAS[table])
+    copy = F.row_number().over(Window.partitionBy(*natural).orderBy(F.lit(0)))
+    numbered = rows.withColumn("_copy", copy)
+    return conform(numbered.withColumn("id", F.xxhash64(*natural, "_copy")), SCHEMAS[table])
 
 
 def required_present(df: DataFrame, table: str) -> Column:
@@ -252,6 +269,11 @@ def split_batch(arrived: Arrivals) -> tuple[DataFrame, DataFrame]:
     return fold(good), bad
 
 
+def rejected_children(folded: DataFrame, arrived: Arrivals) -> dict[str, DataFrame]:
+    """Child rows of accepted projects that lack a required column."""
+    return {name: quarantine(rows, name)[1] for name, rows in child_rows(folded, arrived).items()}
+
+
 def merge_folded(current: Tables, folded: DataFrame, arrived: Arrivals) -> Tables:
     """The four tables after arrivals whose projects :func:`fold` has reduced."""
     touched = folded.select(project_id(F.col("project_url"), F.col("version")).alias("project_id"))
@@ -275,19 +297,32 @@ def empty_tables(spark: SparkSession) -> Tables:
 
 
 def read_tables(spark: SparkSession, folder: str) -> Tables:
+    """The snapshot in ``folder``; one whose last table was not written is refused."""
+    spark.read.text(f"{folder}/{_COMPLETE}").head()
     return Tables(
         *[spark.read.schema(SCHEMAS[n]).parquet(f"{folder}/{n}") for n in Tables._fields]
     )
 
 
+#: Written after all tables of a snapshot.
+_COMPLETE = "complete"
+
+
+def _mark(spark: SparkSession, folder: str, mode: str) -> None:
+    spark.sql("SELECT 'complete' AS value").write.mode(mode).text(f"{folder}/{_COMPLETE}")
+
+
 def write_tables(tables: Tables, folder: str) -> None:
     """Write a snapshot into a new folder; never the one being read. Parquet has
-    no row update, so a merge writes the next snapshot and readers move on."""
+    no row update, so a merge writes the next snapshot and readers move on. A mark
+    comes last, so half a snapshot is never read."""
     for name, df in tables._asdict().items():
         df.write.mode("errorifexists").parquet(f"{folder}/{name}")
+    _mark(tables.projects.sparkSession, folder, "errorifexists")
 
 
 def create_tables(spark: SparkSession, folder: str) -> None:
     """Empty tables where there are none; existing ones stay as they are."""
     for name, df in empty_tables(spark)._asdict().items():
         df.write.mode("ignore").parquet(f"{folder}/{name}")
+    _mark(spark, folder, "ignore")

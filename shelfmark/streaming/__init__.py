@@ -3,13 +3,13 @@
 from shelfmark.streaming.arrivals import (
     append_log,
     drain,
-    first_within,
+    first_in_log,
     merge_log,
     read_stream,
 )
 from shelfmark.streaming.live import live_counts, telemetry_query
 
 __all__ = [
-    "append_log", "drain", "first_within", "live_counts", "merge_log", "read_stream",
+    "append_log", "drain", "first_in_log", "live_counts", "merge_log", "read_stream",
     "telemetry_query",
 ]

@@ -1,18 +1,23 @@
 """From a landing folder to the tables, as a stream.
 
-The stream itself only appends: it reads new files, drops repeated ids and adds
-the rest to a log with exactly-once file commits. The log is merged into the
-tables by a batch job, every so often. Merging once per micro-batch would
-rewrite a table snapshot each time, and a merge that ran twice changes nothing.
+The stream itself only appends: it reads new files and adds their rows to a log with
+exactly-once file commits. Repeated ids are dropped when the log is read, by an
+aggregate, so a row counts however late it comes and no state grows with the ids. The
+log is merged into the tables by a batch job, every so often. Merging once per
+micro-batch would rewrite a table snapshot each time, and a merge that ran twice
+changes nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfmark.operators.dedupe import first_rows
 from shelfmark.plans.tables import Arrivals, Tables, merge
 from shelfmark.session import shared_folder
 
@@ -36,14 +41,9 @@ def read_stream(
     return reader.load(path)
 
 
-def first_within(
-    stream: DataFrame, key: list[str], event_time: str, delay: str = "1 day"
-) -> DataFrame:
-    """Drop repetitions of a key. Ids are remembered for ``delay`` of event time
-    and no longer, so the state does not grow for ever; what slips through later
-    is settled by the merge, which is keyed as well."""
-    timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(key)
+def first_in_log(log: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of every key, also where it arrived after later ones."""
+    return first_rows(log, list(key), list(order))
 
 
 def append_log(

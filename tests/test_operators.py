@@ -117,7 +117,7 @@ def test_cap_per_term_is_the_sequential_walk(spark, n):
             fresh = [r for r in under if r[1] not in taken][:n]
             taken |= {r[1] for r in fresh}
             want |= set(fresh)
-    assert {tuple(r) for r in limits.cap_per_term(df, n, 4).collect()} == want
+    assert {tuple(r) for r in limits.cap_per_term(df, n).collect()} == want
 
 
 @pytest.mark.parametrize("limit", [0, 1000])
@@ -125,11 +125,14 @@ def test_cap_per_group_both_ways(spark, monkeypatch, limit):
     """The block-wise way, forced for small numbers, keeps what a plain rank keeps."""
     monkeypatch.setattr(limits, "GROUP_LIMIT", limit)
     rows = [("a" if i % 3 else "b", i % 4, i // 10, i, i) for i in range(200)]
+    rows += [(None, None, None, i, 200 + i) for i in range(40)]
     df = spark.createDataFrame(rows, "g string, term_rank int, page int, pos int, i int")
     got = {r.i for r in limits.cap_per_group(df, ["g"], ["term_rank", "page", "pos"], 25).collect()}
     want = set()
-    for g in "ab":
-        want |= {r[4] for r in sorted((r for r in rows if r[0] == g), key=lambda r: r[1:4])[:25]}
+    for g in ("a", "b", None):
+        mine = [r for r in rows if r[0] == g]
+        mine.sort(key=lambda r: tuple((v is not None, v) for v in r[1:4]))
+        want |= {r[4] for r in mine[:25]}
     assert got == want
 
 

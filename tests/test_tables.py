@@ -23,7 +23,7 @@ from shelfmark.plans.tables import (
 )
 from shelfmark.schemas import LANDING, RECORD
 from shelfmark.session import shared_folder
-from shelfmark.streaming import append_log, drain, first_within, merge_log, read_stream
+from shelfmark.streaming import append_log, drain, first_in_log, merge_log, read_stream
 
 PROJECT = (
     "query_string string, repository_id int, repository_url string, project_url string, version string, "
@@ -100,7 +100,7 @@ def test_quarantine_and_snapshots(spark, tmp_path):
     merge_into(read_tables(spark, old), rows, new)
     after = read_tables(spark, new)
     assert [r.project_url for r in after.projects.collect()] == ["u"]
-    assert spark.read.parquet(new + "/quarantine").count() == 2
+    assert spark.read.parquet(new + "/quarantine/projects").count() == 2
     assert joins.known_project_urls(after.projects).count() == 1
 
 
@@ -217,8 +217,8 @@ def test_stream_equals_batch(spark, tmp_path):
     for i, row in enumerate(rows):
         rows_of(spark, row).withColumn("at", F.to_timestamp("download_date")).coalesce(1).write.parquet(f"{landing}/f{i}")
     stream = read_stream(spark, f"{landing}/*", whole.schema, files_per_trigger=1)
-    kept = first_within(stream, ["seq"], "at", "30 days")
-    log = drain(kept.withColumn("ingest_date", F.date_format("at", "yyyy-MM-dd")), "log")
+    log = drain(stream.withColumn("ingest_date", F.date_format("at", "yyyy-MM-dd")), "log")
+    log = first_in_log(log, ["seq"], ["at"])
     assert log.count() == 3
     expected = content(merge(empty_tables(spark), arrived(rows_of(spark, *rows[:3]))))
     assert content(merge_log(empty_tables(spark), arrived(log))) == expected

@@ -55,7 +55,7 @@ def _accepted(landing, source, max_records=None):
     harvest = READERS[source](landing, source)
     return accept(
         harvest, policy_for(source), max_records, WEIGHTS, strict_terms=STRICT,
-        n_terms=len(TERMS), store=stored,
+        store=stored,
     )
 
 

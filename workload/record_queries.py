@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfmark.operators.filters import strict_records
-from shelfmark.plans.tables import arrivals, child_rows, fold
+from shelfmark.plans.pipeline import merge_into
+from shelfmark.plans.tables import (
+    arrivals,
+    child_rows,
+    create_tables,
+    fold,
+    project_id,
+    read_tables,
+    rejected_children,
+    split_batch,
+)
 from shelfmark.schemas import RECORD, conform
+from shelfmark.session import shared_folder
 from shelfmark.sources.landing import entry
 from workload.base import query, table
 
@@ -17,7 +28,8 @@ def records(spark, sf):
     """Documents as accepted records with a project file, a text and an archive."""
     docs = table(spark, sf, "documents")
     rec = F.col("doc_id").cast("string")
-    en, fr = F.col("lang") == "en", F.col("lang") == "fr"
+    en, fr, es = F.col("lang") == "en", F.col("lang") == "fr", F.col("lang") == "es"
+    nameless = entry(F.lit(None).cast("string"), F.lit(""), restricted=F.lit(True))
     files = F.array(
         entry(F.when(en, "a.qdpx").otherwise("a.csv"), F.lit("https://f/a")),
         entry(F.lit(" ..b.zip"), F.lit("https://f/b")),
@@ -34,8 +46,12 @@ def records(spark, sf):
         F.lit("cc0").alias("license_id"),
         F.array(F.concat("lang", F.lit(", "), "source"), F.col("lang")).alias("keywords"),
         F.array(F.struct(F.col("source").alias("name"), F.lit("producer").alias("role"))).alias("persons"),
+        # a blank URL is none; the built one takes its place
+        F.when(es, F.lit(" ")).alias("project_url"),
         # only French documents lack a project file once transferred
-        F.when(fr, F.slice(files, 2, 2)).otherwise(files).alias("files"),
+        F.when(fr, F.slice(files, 2, 2))
+        .when(es, F.concat(files, F.array(nameless)))
+        .otherwise(files).alias("files"),
     )
     return conform(rows, RECORD).withColumn("query_string", F.lit("q"))
 
@@ -56,14 +72,14 @@ def outcomes(spark, sf):
 
 
 def members(spark, sf):
-    """Two members per archive of the German documents."""
+    """Three members per archive of the German documents; one has its dot in a folder."""
     docs = table(spark, sf, "documents").filter(F.col("lang") == "de")
     return docs.select(
         F.col("source").alias("context_repository"),
         F.concat(F.lit("p-"), F.col("doc_id").cast("string")).alias("project_identifier"),
         F.lit("v1").alias("version"),
         F.lit("b.zip").alias("archive"),
-        F.explode(F.array(F.lit("in/x.nvpx"), F.lit("in/y.txt"))).alias("member"),
+        F.explode(F.array(F.lit("in/x.nvpx"), F.lit("in/y.txt"), F.lit("data.v1/README"))).alias("member"),
         F.col("n_chars").alias("size"),
     )
 
@@ -89,10 +105,11 @@ def project_rows(spark, sf):
     "project_children",
     """SELECT doc_id::VARCHAR AS recid, kind, value FROM (
            SELECT doc_id, 'failed' AS kind, 'c.pdf:pdf:' || CASE WHEN lang = 'fr' THEN 'Embargoed until 2030' ELSE 'Restricted access' END AS value FROM documents
+           UNION ALL SELECT doc_id, 'failed', 'unknown::Restricted access' FROM documents WHERE lang = 'es'
            UNION ALL SELECT doc_id, 'arrived', 'a.qdpx:qdpx:' FROM documents WHERE n_chars > 400 AND lang = 'en'
            UNION ALL SELECT doc_id, 'arrived', 'a.csv:csv:' FROM documents WHERE n_chars > 400 AND lang NOT IN ('en', 'fr')
            UNION ALL SELECT doc_id, 'arrived', 'b.zip:zip:' FROM documents WHERE n_chars > 400 AND lang <> 'de'
-           UNION ALL SELECT doc_id, 'arrived', unnest(['in/x.nvpx:nvpx:', 'in/y.txt:txt:']) FROM documents WHERE n_chars > 400 AND lang = 'de'
+           UNION ALL SELECT doc_id, 'arrived', unnest(['in/x.nvpx:nvpx:', 'in/y.txt:txt:', 'data.v1/README::']) FROM documents WHERE n_chars > 400 AND lang = 'de'
            UNION ALL SELECT doc_id, 'keyword', unnest([lang, source]) FROM documents
            UNION ALL SELECT doc_id, 'person', source || ':OTHER' FROM documents)""",
 )
@@ -111,6 +128,81 @@ def project_children(spark, sf):
     return files.unionByName(keywords).unionByName(people)
 
 
+@query(
+    "quarantine_children",
+    """SELECT 'keywords' AS kind, lang AS language, count(*)::BIGINT AS n FROM documents WHERE lang = 'fr' GROUP BY 2
+       UNION ALL SELECT 'person_role', lang, count(*)::BIGINT FROM documents WHERE source = 'src3' GROUP BY 2""",
+)
+def quarantine_children(spark, sf):
+    """Children without a required value go aside, their projects stay."""
+    batch = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf))
+    batch = batch._replace(
+        keywords=batch.keywords.withColumn("keyword", F.when(F.col("keyword") != "fr", F.col("keyword"))),
+        person_role=batch.person_role.withColumn("name", F.when(F.col("name") != "src3", F.col("name"))),
+    )
+    folded, _ = split_batch(batch)
+    docs = table(spark, sf, "documents").select(
+        F.col("lang").alias("language"),
+        project_id(
+            F.concat(
+                F.lit("https://"), F.when(F.col("lang") == "en", "zenodo").otherwise(F.col("source")),
+                F.lit(".org/record/p-"), F.col("doc_id").cast("string"),
+            ),
+            F.when(F.col("lang") == "fr", "v2").otherwise("v1"),
+        ).alias("project_id"),
+    )
+    parts = [
+        rows.join(docs, "project_id").groupBy(F.lit(name).alias("kind"), "language").agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        for name, rows in rejected_children(folded, batch).items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "child_ids",
+    """SELECT 'files' AS kind, (SELECT count(*) FROM documents WHERE n_chars > 400 AND lang IN ('en', 'es')) * 2
+              + (SELECT count(*) FROM documents WHERE n_chars > 400 AND lang = 'fr')
+              + (SELECT count(*) FROM documents WHERE n_chars > 400 AND lang = 'de') * 4
+              + (SELECT count(*) FROM documents) * 2
+              + (SELECT count(*) FROM documents WHERE lang = 'es') * 2 AS n_ids""",
+)
+def child_ids(spark, sf):
+    """Every child row has an id of its own, equal rows too: restricted files twice."""
+    batch = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf))
+    failed = batch.files.filter("status = 'FAILED'")
+    batch = batch._replace(files=batch.files.unionByName(failed))
+    files = child_rows(split_batch(batch)[0], batch)["files"]
+    return files.agg(F.count_distinct("id").alias("n_ids")).select(F.lit("files").alias("kind"), "n_ids")
+
+
+@query(
+    "created_tables",
+    """SELECT t.name, t.n_columns::INT AS n_columns, 0::BIGINT AS n_rows
+       FROM (VALUES ('projects', 17), ('files', 6), ('keywords', 3), ('person_role', 4)) AS t(name, n_columns)
+       WHERE (SELECT count(*) FROM documents) > 0""",
+)
+def created_tables(spark, sf):
+    """Tables are made once; a second call leaves a merged snapshot as it is."""
+    folder = shared_folder(spark, "tables")
+    create_tables(spark, folder)
+    empty = read_tables(spark, folder)
+    batch = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf))
+    merged = shared_folder(spark, "tables")
+    merge_into(empty, batch, merged)
+    create_tables(spark, merged)
+    if read_tables(spark, merged).projects.isEmpty():
+        raise AssertionError("a second call emptied the tables")
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("name"), F.lit(len(df.columns)).alias("n_columns"), "n_rows"
+        )
+        for name, df in empty._asdict().items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @query(
     "strict_rows",
     """SELECT 'a.qdpx' AS file_name, count(*)::BIGINT AS n FROM documents WHERE lang = 'en' AND n_chars > 400

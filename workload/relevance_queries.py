@@ -182,10 +182,68 @@ def cap_per_term(spark, sf):
     ok = passes(F.col("score"), F.col("is_strict"))
     passing = scored_hits(spark, sf).filter(ok)
     hits = dedupe.first_rows(passing, [*_KEY, "term_rank"], ["page", "pos"])
-    kept = limits.cap_per_term(hits, 3, len(TERMS))
+    kept = limits.cap_per_term(hits, 3)
     return kept.select(*_KEY, "term_rank", "page")
 
 
+# A cap above the number that Spark itself limits before a shuffle, over all
+# pairs of item and quantity place; some places are null and the ranks have gaps.
+_SQL_LINES = """
+    SELECT l_returnflag AS context_repository, l_orderkey * 10 + l_linenumber AS recid,
+           CASE WHEN l_partkey % 11 > 0 THEN (l_partkey % 5) * 7 END AS term_rank,
+           CASE WHEN l_orderkey % 13 > 0 THEN l_orderkey END AS page,
+           l_orderkey * 10 + l_linenumber AS pos
+    FROM lineitem"""
+
+
+def _lines(spark, sf):
+    key = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("context_repository"),
+        key.alias("recid"),
+        F.when(F.col("l_partkey") % 11 > 0, (F.col("l_partkey") % 5) * 7).alias("term_rank"),
+        F.when(F.col("l_orderkey") % 13 > 0, F.col("l_orderkey")).alias("page"),
+        key.alias("pos"),
+    )
+
+
+@query(
+    "cap_per_source_large",
+    f"""SELECT context_repository, recid, term_rank, page FROM (
+            SELECT *, row_number() OVER (PARTITION BY context_repository
+                ORDER BY term_rank NULLS FIRST, page NULLS FIRST, pos) AS rn FROM ({_SQL_LINES}))
+        WHERE rn <= 1500""",
+)
+def cap_per_source_large(spark, sf):
+    return limits.cap_per_source(_lines(spark, sf), 1500).drop("pos")
+
+
+def _sql_walk_large(n: int) -> str:
+    """The rounds of the walk, written out for the ranks in the lines."""
+    steps = [f"hits AS ({_SQL_LINES} UNION ALL SELECT context_repository, recid, 35, page, pos FROM ({_SQL_LINES}) WHERE term_rank < 14)"]
+    names = []
+    for rank in ("IS NULL", "= 0", "= 7", "= 14", "= 21", "= 28", "= 35"):
+        gone = "".join(
+            f" AND NOT EXISTS (SELECT 1 FROM {t} g WHERE"
+            f" g.context_repository = h.context_repository AND g.recid = h.recid)"
+            for t in names
+        )
+        names.append(f"t{len(names)}")
+        steps.append(f"""{names[-1]} AS (SELECT * EXCLUDE (rn) FROM (
+            SELECT h.*, row_number() OVER (PARTITION BY context_repository
+                ORDER BY page NULLS FIRST, pos) AS rn
+            FROM hits h WHERE term_rank {rank}{gone}) WHERE rn <= {n})""")
+    union = " UNION ALL ".join(f"SELECT * FROM {t}" for t in names)
+    return "WITH " + ", ".join(steps) + f" SELECT context_repository, recid, term_rank, page FROM ({union})"
+
+
+@query("cap_per_term_large", _sql_walk_large(1100))
+def cap_per_term_large(spark, sf):
+    lines = _lines(spark, sf)
+    again = lines.filter("term_rank < 14").withColumn("term_rank", F.lit(35).cast("bigint"))
+    return limits.cap_per_term(lines.unionByName(again), 1100).drop("pos")
+
+
 @query(
     "search_terms",
     """SELECT term, len(string_split(term, ' '))::INT AS n_words, min(rank)::INT AS rank FROM (

@@ -6,31 +6,108 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from shelfmark.session import shared_folder
-from shelfmark.streaming import drain, first_within, live_counts, read_stream, telemetry_query
+from shelfmark.plans.tables import arrivals, empty_tables
+from shelfmark.schemas import RECORD, conform
+from shelfmark.session import shared_folder, stored
+from shelfmark.sources.landing import entry
+from shelfmark.streaming import (
+    drain,
+    first_in_log,
+    live_counts,
+    merge_log,
+    read_stream,
+    telemetry_query,
+)
 from workload.base import query, table
 
 
+OUTCOMES = "context_repository string, project_identifier string, version string, file_name string, bytes bigint"
+
+
 def _events(spark, sf):
     schema = table(spark, sf, "events").schema
     return read_stream(spark, sf, schema, glob="events.parquet")
 
 
+def _landed(spark, sf, twice=False):
+    """The events as a stream over several files, the latest days first, so most rows
+    arrive after far later ones; one file per trigger."""
+    events = table(spark, sf, "events")
+    folder = shared_folder(spark, "landed")
+    week = F.pmod(F.weekofyear("ts"), F.lit(3))
+    for part in (2, 1, 0):
+        events.filter(week == part).write.mode("append").parquet(folder)
+        if twice:
+            events.filter(week == part).write.mode("append").parquet(folder)
+    return read_stream(spark, folder, events.schema, files_per_trigger=1)
+
+
 @query(
     "stream_dedupe",
     """SELECT event_type, count(*)::BIGINT AS n, count(DISTINCT event_id)::BIGINT AS n_ids
        FROM events GROUP BY 1""",
 )
 def stream_dedupe(spark, sf):
-    events = _events(spark, sf)
-    # every event arrives twice
-    twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    kept = drain(first_within(twice, ["event_id"], "ts", "40 days"), "dedupe")
+    """Every event arrives twice, out of order; none is lost and none is counted again."""
+    log = drain(_landed(spark, sf, twice=True), "dedupe")
+    kept = first_in_log(log, ["event_id"], ["ts"])
     return kept.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_ids")
     )
 
 
+@query(
+    "stream_upsert",
+    """WITH ranked AS (
+            SELECT *, 'https://zenodo.org/record/user-' || user_id::VARCHAR AS url,
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS a,
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS z
+            FROM events)
+        SELECT f.url AS project_url, l.event_id::VARCHAR AS title, f.event_type AS language,
+               CASE WHEN l.event_type = 'click' THEN 'file.csv' ELSE 'file.qdpx' END AS files,
+               l.event_type AS keywords
+        FROM ranked f JOIN ranked l USING (user_id) WHERE f.a = 1 AND l.z = 1""",
+)
+def stream_upsert(spark, sf):
+    """Many arrivals of a project in one log, out of order: the table holds what the
+    first gave for good and the last gave anew, and the children of the last alone.
+    The merge runs twice, which changes nothing."""
+    log = first_in_log(drain(_landed(spark, sf), "upsert"), ["event_id"], ["ts"])
+    name = F.when(F.col("event_type") == "click", "file.csv").otherwise("file.qdpx")
+    # two events of one moment follow each other by id
+    moment = F.concat(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("#"),
+        F.lpad(F.col("event_id").cast("string"), 12, "0"),
+    )
+    found = conform(
+        log.select(
+            F.lit("zenodo").alias("context_repository"),
+            F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("project_identifier"),
+            F.col("event_id").cast("string").alias("title"),
+            F.col("event_type").alias("language"),
+            moment.alias("description"),
+            F.array("event_type").alias("keywords"),
+            F.array(entry(name, F.lit(""), restricted=F.lit(True))).alias("files"),
+        ),
+        RECORD,
+    ).withColumn("query_string", F.lit(""))
+    none = spark.createDataFrame([], OUTCOMES)
+    batch = arrivals(stored(found, "log"), none, F.col("description"))
+    once = merge_log(empty_tables(spark), batch)
+    again = merge_log(once, batch, since="1970-01-01")
+    children = again.files.groupBy("project_id").agg(
+        F.array_join(F.array_sort(F.collect_list("file_name")), "|").alias("files")
+    ).join(
+        again.keywords.groupBy("project_id").agg(
+            F.array_join(F.array_sort(F.collect_list("keyword")), "|").alias("keywords")
+        ),
+        "project_id",
+    )
+    return again.projects.join(children, F.col("id") == F.col("project_id")).select(
+        "project_url", "title", "language", "files", "keywords"
+    )
+
+
 @query(
     "stream_telemetry",
     """SELECT event_type, count(*)::BIGINT AS n, sum((props::JSON->>'$.k')::BIGINT)::BIGINT AS total
