@@ -26,6 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 3
+# Parts that the documents of one word are spread over, so that a word most texts
+# hold fills no single task; the terms are repeated for each part.
+SPREAD = 16
 MAX_FOLDED = 200
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 100
@@ -64,6 +67,15 @@ def _doc_words(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """(document, word) rows with the part their document belongs to."""
+    return rows.withColumn("_part", F.pmod(F.xxhash64("record_id"), F.lit(SPREAD)).cast("int"))
+
+
+def _in_all_parts(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+
+
 def _longest(words: Column) -> Column:
     return F.aggregate(
         words, F.lit(""), lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best)
@@ -104,7 +116,10 @@ def _by_rarest_word(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     inner = phrases.select("term_id", "phrase", F.explode(F.array_distinct(_inner("_words"))).alias("word"))
     needed = inner.select("word").distinct()
     # hints: exploded sides outgrow the size Spark expects of them
-    present = _doc_words(docs).join(needed.hint("shuffle_hash"), "word", "left_semi")
+    at = ["word", "_part"]
+    present = _spread(_doc_words(docs)).join(
+        _in_all_parts(needed).hint("shuffle_hash"), at, "left_semi"
+    )
     counts = present.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
     anchors = (
         inner.join(counts.hint("merge"), "word", "left")
@@ -112,7 +127,7 @@ def _by_rarest_word(docs: DataFrame, phrases: DataFrame) -> DataFrame:
         # an inner word the corpus lacks settles the matter: no text holds the phrase
         .agg(F.min_by("word", F.struct(F.coalesce("n_docs", F.lit(0)), "word")).alias("word"))
     )
-    candidates = present.join(anchors.hint("shuffle_hash"), "word").drop("word")
+    candidates = present.join(_in_all_parts(anchors).hint("shuffle_hash"), at).drop(*at)
     return _confirmed(docs, candidates)
 
 
@@ -140,7 +155,10 @@ def _by_vocabulary(docs: DataFrame, short: DataFrame) -> DataFrame:
         .filter(F.contains(F.col("word"), F.col("_piece")))
         .select("term_id", "phrase", "word")
     )
-    return _confirmed(docs, _doc_words(docs).join(holders.hint("shuffle_hash"), "word").drop("word"))
+    at = ["word", "_part"]
+    found = _spread(_doc_words(docs)).join(_in_all_parts(holders).hint("shuffle_hash"), at)
+    # many words of a text may hold one short term: it is one candidate
+    return _confirmed(docs, found.select("record_id", "term_id", "phrase").distinct())
 
 
 def phrase_join(
@@ -155,14 +173,17 @@ def phrase_join(
 ) -> DataFrame:
     """(record_id, term_id) wherever the lower-cased text contains the phrase.
 
-    Ids must be unique on both sides; a blank phrase is no phrase. The terms are
-    measured when this is called, the texts are not touched before an action.
+    Rows are distinct whichever way is taken, also where ids repeat; rows and terms
+    without an id are left out, and a blank phrase is no phrase. The terms are measured
+    when this is called, the texts are not touched before an action.
     """
-    docs = records.select(F.col(record_id).alias("record_id"), F.lower(text).alias("_lowered"))
+    docs = records.select(
+        F.col(record_id).alias("record_id"), F.lower(text).alias("_lowered")
+    ).filter(F.col("record_id").isNotNull())
     asked = (
         terms.select(F.col(term_id).alias("term_id"), F.lower(phrase).alias("phrase"))
         .withColumn("_words", _words(F.col("phrase")))
-        .filter(F.size("_words") > 0)
+        .filter((F.size("_words") > 0) & F.col("term_id").isNotNull())
     )
     short, long = asked.filter(F.size("_words") <= 2), asked.filter(F.size("_words") > 2)
     id_type = asked.schema["term_id"].dataType
@@ -176,13 +197,15 @@ def phrase_join(
         parts.append(_folded(docs, known, ["record_id"]))
 
     size = long.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0)).alias("bytes")
+        F.count(F.lit(1)).alias("n"), F.coalesce(
+            F.sum(2 * F.octet_length("phrase") + F.octet_length(F.col("term_id").cast("string"))), F.lit(0)
+        ).alias("bytes"),
     ).first()
-    if size.n and 2 * size.bytes + size.n * _ROW_OVERHEAD <= max_broadcast_bytes:
+    if size.n and size.bytes + size.n * _ROW_OVERHEAD <= max_broadcast_bytes:
         parts.append(_by_broadcast(docs, long))
     elif size.n:
         parts.append(_by_rarest_word(docs, long))
 
     if not parts:
         parts.append(docs.select("record_id", F.lit(None).cast(id_type).alias("term_id")).limit(0))
-    return reduce(DataFrame.unionByName, parts).toDF(record_id, term_id)
+    return reduce(DataFrame.unionByName, parts).distinct().toDF(record_id, term_id)

@@ -48,7 +48,7 @@ def compare(spark, con, name: str, folder: str) -> tuple[bool, str]:
     mine = _sorted(df.columns, [tuple(r) for r in df.collect()])
     took = time.time() - start
     if name not in workload.ORACLE:
-        return True, f"{len(mine[1])} rows, no SQL, {took:.1f}s"
+        return False, f"{len(mine[1])} rows, no SQL to compare with, {took:.1f}s"
     rel = con.execute(workload.ORACLE[name])
     columns = [d[0] for d in rel.description]
     theirs = _sorted(columns, rel.fetchall())

@@ -71,22 +71,20 @@ def open_license(spark, sf):
 
 @query(
     "license_map",
-    """SELECT mapped, count(*)::BIGINT AS n_docs FROM (
-           SELECT CASE WHEN line = '' THEN NULL
-                       WHEN contains(lower(line), 'cc0') OR contains(lower(line), 'cc-zero') THEN 'cc0'
+    """SELECT mapped, count(*)::BIGINT AS n_lines FROM (
+           SELECT CASE WHEN contains(lower(line), 'cc0') OR contains(lower(line), 'cc-zero') THEN 'cc0'
                        WHEN contains(lower(line), 'cc-by') THEN 'cc-by' ELSE line END AS mapped
-           FROM (SELECT replace(regexp_extract(text, '[^\\n]*[Ll]icense[^\\n]*'), 'CC BY', 'CC-BY') AS line FROM documents))
+           FROM (SELECT replace(line, 'CC BY', 'CC-BY') AS line
+                 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+                 WHERE regexp_matches(line, '[Ll]icense')))
        GROUP BY mapped""",
 )
 def license_map(spark, sf):
     # a look at each line; one regex over the text would back up at every character
     lines = F.filter(F.split("text", "\n"), lambda t: t.rlike("[Ll]icense"))
-    line = F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit(""))
-    line = F.replace(line, F.lit("CC BY"), F.lit("CC-BY"))
-    docs = table(spark, sf, "documents").select(line.alias("line"))
-    return docs.groupBy(map_license(F.col("line")).alias("mapped")).agg(
-        F.count(F.lit(1)).alias("n_docs")
-    )
+    named = table(spark, sf, "documents").select(F.explode(lines).alias("line"))
+    mapped = map_license(F.replace("line", F.lit("CC BY"), F.lit("CC-BY")))
+    return named.groupBy(mapped.alias("mapped")).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 @query(

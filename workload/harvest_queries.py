@@ -51,10 +51,10 @@ def _json(**fields):
     return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
 
 
-def _accepted(landing, source, max_records=None):
+def _accepted(landing, source):
     harvest = READERS[source](landing, source)
     return accept(
-        harvest, policy_for(source), max_records, WEIGHTS, strict_terms=STRICT,
+        harvest, policy_for(source), None, WEIGHTS, strict_terms=STRICT,
         store=stored,
     )
 
@@ -106,19 +106,15 @@ def zenodo_landing(spark, sf):
 
 @query(
     "read_zenodo",
-    sql_walk(
-        f"SELECT 'zenodo' AS context_repository, recid, term_rank, doc_id AS place FROM {_HITS} WHERE score >= 10", 25
-    )
-    + f""" SELECT t.recid, d.source || '-' || t.recid AS project_identifier,
-                  CASE d.lang WHEN 'en' THEN 'cc-by' WHEN 'fr' THEN 'cc0' END AS license,
-                  'f' || t.recid || CASE d.lang WHEN 'en' THEN '.qdpx' ELSE '.csv' END || '|notes.txt' AS files,
-                  CASE d.lang WHEN 'en' THEN '1,2' ELSE '2,2' END AS tiers,
-                  d.source || '|' || d.lang AS creators, h.term AS query_string
-           FROM taken t JOIN documents d ON d.doc_id::VARCHAR = t.recid
-           JOIN {sql_terms().replace('t(', 'h(')} ON h.term_rank = t.term_rank""",
+    f"""SELECT recid, source || '-' || recid AS project_identifier,
+               CASE lang WHEN 'en' THEN 'cc-by' WHEN 'fr' THEN 'cc0' END AS license,
+               'f' || recid || CASE lang WHEN 'en' THEN '.qdpx' ELSE '.csv' END || '|notes.txt' AS files,
+               CASE lang WHEN 'en' THEN '1,2' ELSE '2,2' END AS tiers,
+               source || '|' || lang AS creators, term AS query_string
+        FROM {_sql_first('score >= 10', True)}""",
 )
 def read_zenodo(spark, sf):
-    kept = _accepted(zenodo_landing(spark, sf), "zenodo", 25)
+    kept = _accepted(zenodo_landing(spark, sf), "zenodo")
     return kept.select(
         "recid", "project_identifier", "license",
         _names().alias("files"),
@@ -232,11 +228,11 @@ def dataverse_landing(spark, sf):
                    CASE WHEN lang = 'en' THEN '' ELSE 'https://data.qdr.syr.edu/api/access/datafile/' || recid END
                      || '|https://data.qdr.syr.edu/api/access/datafile/' || recid AS urls,
                    CASE WHEN lang <> 'en' THEN '' WHEN n_chars > 500 THEN 'Embargoed until 2030-01-01' ELSE 'Restricted access' END AS reasons,
-                   term AS query_string, row_number() OVER (ORDER BY term_rank, doc_id) AS rn
-            FROM {_sql_first('is_strict OR score >= 10', True)}) WHERE rn <= 120""",
+                   term AS query_string
+            FROM {_sql_first('is_strict OR score >= 10', True)})""",
 )
 def read_dataverse(spark, sf):
-    kept = _accepted(dataverse_landing(spark, sf), "qdr", 120)
+    kept = _accepted(dataverse_landing(spark, sf), "qdr")
     return kept.select(
         "doi", "project_identifier",
         F.array_join("creators.name", "|").alias("creators"),

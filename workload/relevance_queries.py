@@ -97,6 +97,60 @@ def benchmark_phrase_hits(spark, sf):
     return phrase_join(docs, "text", items, "doc_id", "item_id", "phrase")
 
 
+_SQL_PAIRS = """SELECT DISTINCT d.doc_id, p.item_id FROM documents d
+    JOIN ({terms}) p ON contains(lower(d.text), p.phrase)"""
+
+# Every benchmark text twice under one id, once in capitals.
+_SQL_LONG = "SELECT item_id, lower(text) AS phrase FROM benchmark"
+# Short terms of the corpus: letters, pieces of words and pairs of words, some twice.
+_SQL_SHORT = """SELECT item_id, lower(substr(text, 1, 1)) AS phrase FROM benchmark
+    UNION ALL SELECT item_id + 1000, lower(split_part(text, ' ', 2)) FROM benchmark WHERE split_part(text, ' ', 2) <> ''
+    UNION ALL SELECT item_id + 2000, lower(split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2)) FROM benchmark
+        WHERE split_part(text, ' ', 2) <> ''"""
+
+
+def _long_terms(spark, sf):
+    items = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("phrase"))
+    return items.unionByName(items.withColumn("phrase", F.upper("phrase")))
+
+
+def _short_terms(spark, sf):
+    one, two = F.split_part("text", F.lit(" "), F.lit(1)), F.split_part("text", F.lit(" "), F.lit(2))
+    items = table(spark, sf, "benchmark")
+    letters = items.select("item_id", F.substring("text", 1, 1).alias("phrase"))
+    words = items.filter(two != "").select((F.col("item_id") + 1000).alias("item_id"), two.alias("phrase"))
+    pairs = items.filter(two != "").select(
+        (F.col("item_id") + 2000).alias("item_id"), F.concat(one, F.lit(" "), two).alias("phrase")
+    )
+    return letters.unionByName(letters).unionByName(words).unionByName(pairs)
+
+
+def _joined(spark, sf, terms, **bounds):
+    """Documents twice, and terms twice: the pairs are distinct whichever way is taken."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return phrase_join(docs.unionByName(docs), "text", terms, "doc_id", "item_id", "phrase", **bounds)
+
+
+@query("phrases_broadcast", _SQL_PAIRS.format(terms=_SQL_LONG))
+def phrases_broadcast(spark, sf):
+    return _joined(spark, sf, _long_terms(spark, sf))
+
+
+@query("phrases_by_rarest_word", _SQL_PAIRS.format(terms=_SQL_LONG))
+def phrases_by_rarest_word(spark, sf):
+    return _joined(spark, sf, _long_terms(spark, sf), max_broadcast_bytes=0)
+
+
+@query("phrases_folded", _SQL_PAIRS.format(terms=_SQL_SHORT))
+def phrases_folded(spark, sf):
+    return _joined(spark, sf, _short_terms(spark, sf), max_folded=10_000)
+
+
+@query("phrases_by_vocabulary", _SQL_PAIRS.format(terms=_SQL_SHORT))
+def phrases_by_vocabulary(spark, sf):
+    return _joined(spark, sf, _short_terms(spark, sf), max_folded=0)
+
+
 @query(
     "benchmark_sentence_hits",
     """WITH phrases AS (
