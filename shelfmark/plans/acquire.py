@@ -127,12 +127,15 @@ def accept(
     """
     keep = store or (lambda df: df)
     hits = mark_strict(harvest.hits, policy, strict_terms)
-    records = keep(harvest.records) if policy.by_license else harvest.records
-    candidates = score_records(with_files(records), "score_text", weights)
+    records = with_files(harvest.records)
+    if policy.by_license:
+        candidates = records.withColumn("score", F.lit(None).cast("int"))
+    else:
+        candidates = score_records(records, "score_text", weights)
     placed = candidates.join(first_places(hits), ["context_repository", "recid"])
     accepted = _decide(placed, policy, threshold)
     if policy.by_license:
-        accepted = fresh_file_urls(accepted, ["context_repository", "recid"], ["page", "pos"])
+        accepted = fresh_file_urls(keep(accepted), ["context_repository", "recid"], ["page", "pos"])
     if max_records is None:
         return accepted
     if policy.cap == "source":
@@ -160,6 +163,24 @@ def accepted_per_source(accepted: DataFrame) -> DataFrame:
     return accepted.groupBy("context_repository").agg(F.count(F.lit(1)).alias("n_records"))
 
 
+#: Words a search term needs at least, by source; sources not listed take every term.
+MIN_WORDS = {"zenodo": 3}
+#: Sources whose search takes no terms of ours.
+OWN_SEARCH = ("cessda", "sada", "ihsn")
+
+
+def terms_for(
+    source: str, strict: Sequence[str], broad: Sequence[str], user_query: str | None = None
+) -> list[str] | None:
+    """What to search a source for: the user's query split at `` OR ``, else the terms
+    that suit the source, None where its harvest brings its own."""
+    if user_query:
+        return [t.strip() for t in user_query.split(" OR ") if t.strip()]
+    if source in OWN_SEARCH:
+        return None
+    return search_terms(strict, broad, MIN_WORDS.get(source, 1))
+
+
 def search_terms(strict: Sequence[str], broad: Sequence[str], min_words: int = 1) -> list[str]:
     """The union of two term lists without repetitions, in order; ``min_words``
     keeps the longer phrases only, for repositories that match loosely."""

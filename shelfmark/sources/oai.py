@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.files import link_file_name
 from shelfmark.functions.once import once
 from shelfmark.functions.text import slugify, strip
+from shelfmark.session import stored
 from shelfmark.sources.landing import Harvest, as_records, entry, of_kind, or_default, slim_hits
 
 _DC = """struct<title array<string>, creator array<string>, rights array<string>,
@@ -90,7 +91,8 @@ def read_oai(
     landing: DataFrame, source: str, prefix: str = "oai_datacite", short_slugs: bool = False
 ) -> Harvest:
     """``short_slugs`` builds the identifier from two slugs of at most 40 characters."""
-    records = parse_records(landing).filter(F.col("recid") != "")
+    # the places and the records both come from here; the XML is parsed once
+    records = stored(parse_records(landing).filter(F.col("recid") != ""), "oai")
     hits = records.withColumns(
         {
             "context_repository": F.lit(source),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.files import file_ext
 from shelfmark.functions.once import once
 from shelfmark.functions.text import project_identifier
-from shelfmark.operators.filters import is_administrative
+from shelfmark.operators.filters import is_administrative, recent
 from shelfmark.sources.landing import (
     Harvest,
     as_records,
@@ -71,6 +71,18 @@ def _entries(files: Column) -> Column:
     return F.transform(kept, lambda f: entry(f["name"], f["url"], tier=tier(f["name"])))
 
 
+def recent_open(harvest: Harvest, run_date: str, days: int = 30) -> Harvest:
+    """Records created in the last ``days`` days before ``run_date`` whose access is open."""
+    raw = F.col("record_raw")
+    created = F.substring(F.get_json_object(raw, "$.created"), 1, 10)
+    access = F.coalesce(
+        F.get_json_object(raw, "$.metadata.access_right"),
+        F.get_json_object(raw, "$.metadata.access.record"),
+    )
+    kept = recent(created, F.to_date(F.lit(run_date)), days) & (F.lower(access) == "open")
+    return harvest._replace(records=harvest.records.filter(kept))
+
+
 def read_zenodo(landing: DataFrame, source: str = "zenodo") -> Harvest:
     items = search_items(
         landing, source, parse(F.col("body"), _PAGE)["hits"]["hits"], F.get_json_object("item", "$.id")

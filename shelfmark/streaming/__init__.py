@@ -7,9 +7,9 @@ from shelfmark.streaming.arrivals import (
     merge_log,
     read_stream,
 )
-from shelfmark.streaming.live import live_counts, telemetry_query
+from shelfmark.streaming.live import latest_telemetry, live_counts, telemetry_query
 
 __all__ = [
-    "append_log", "drain", "first_in_log", "live_counts", "merge_log", "read_stream",
+    "append_log", "drain", "first_in_log", "latest_telemetry", "live_counts", "merge_log", "read_stream",
     "telemetry_query",
 ]

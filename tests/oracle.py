@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -75,7 +76,7 @@ def main(argv: list[str]) -> int:
         folder, argv = argv[1], argv[2:]
     spark = get_session(
         "oracle", "local[8]", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__driver__memory="16g",
+        spark__driver__memory="16g", spark__checkpoint__dir=tempfile.mkdtemp(prefix="shelfmark-oracle-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import joins
@@ -21,7 +22,7 @@ from shelfmark.plans.tables import (
     quarantine,
     read_tables,
 )
-from shelfmark.schemas import LANDING, RECORD
+from shelfmark.schemas import LANDING, RECORD, conform
 from shelfmark.session import shared_folder
 from shelfmark.streaming import append_log, drain, first_in_log, merge_log, read_stream
 
@@ -243,5 +244,56 @@ def test_fold_is_partial(spark):
 
 
 def test_shared_folder_follows_the_session(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    assert base is None or shared_folder(spark, "x").startswith(base)
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert shared_folder(spark, "x").startswith(base)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    """Without the setting only a local session may use a folder of its own."""
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            getConf = staticmethod(Conf)
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(), "x")
+    Session.sparkContext.master = "local[4]"
+    assert "shelfmark-" in shared_folder(Session(), "x")
+
+
+def test_half_a_snapshot_is_refused(spark, tmp_path):
+    folder = str(tmp_path / "half")
+    for name, df in empty_tables(spark)._asdict().items():
+        df.write.parquet(f"{folder}/{name}")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_tables(spark, folder)
+
+
+def test_arrivals_of_one_project_in_one_log(spark):
+    """The later arrival wins, whatever the order of the rows; its children replace."""
+    files = "array<struct<file_key string, file_url string, tier int, is_qda boolean, " \
+            "is_required_qda boolean, restricted boolean, failure_reason string>>"
+    rows = [
+        (when, f"t-{when}", [(f"f-{when}", "", None, None, None, True, None), (None, "", None, None, None, True, None)])
+        for when in ("2024-02-01", "2024-01-01")
+    ]
+    log = spark.createDataFrame(rows, f"at string, title string, files {files}")
+    log = log.withColumns({"context_repository": F.lit("zenodo"), "project_identifier": F.lit("p")})
+    records = conform(log.withColumn("description", F.col("at")), RECORD).withColumn("query_string", F.lit(""))
+    none = spark.createDataFrame(
+        [], "context_repository string, project_identifier string, version string, file_name string, bytes bigint"
+    )
+    batch = arrivals(records, none, F.col("description"))
+    once = merge(empty_tables(spark), batch)
+    twice = merge(once, batch)
+    for done in (once, twice):
+        assert [r.title for r in done.projects.collect()] == ["t-2024-02-01"]
+        assert sorted(r.file_name for r in done.files.collect()) == ["f-2024-02-01", "unknown"]
+    assert {r.ingest_date for r in batch.projects.collect()} == {"2024-01-01", "2024-02-01"}

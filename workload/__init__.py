@@ -5,6 +5,7 @@ from workload.base import ORACLE, QUERIES
 
 from workload import (  # noqa: F401  (each module registers its queries)
     arrival_queries,
+    clean_queries,
     file_queries,
     field_queries,
     harvest_queries,

@@ -19,7 +19,8 @@ from shelfmark.plans.pipeline import stored
 from shelfmark.schemas import LANDING, conform
 from shelfmark.sources import READERS, archive_members
 from shelfmark.sources.oai import read_oai
-from workload.base import STRICT, TERMS, WEIGHTS, query, sql_score, sql_terms, sql_walk, table
+from shelfmark.sources.zenodo import recent_open
+from workload.base import STRICT, TERMS, WEIGHTS, query, sql_score, sql_terms, table
 
 PAGE = 50
 
@@ -51,10 +52,10 @@ def _json(**fields):
     return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
 
 
-def _accepted(landing, source):
+def _accepted(landing, source, user_query=False):
     harvest = READERS[source](landing, source)
     return accept(
-        harvest, policy_for(source), None, WEIGHTS, strict_terms=STRICT,
+        harvest, policy_for(source, user_query), None, WEIGHTS, strict_terms=STRICT,
         store=stored,
     )
 
@@ -98,7 +99,10 @@ def zenodo_landing(spark, sf):
         F.expr("substring(%s, 6, length(%s) - 6)" % ("_t", "_t")),
         F.lit(',"title":"'), "source", F.lit('","license":'), license,
         F.lit(',"creators":[{"name":"'), "source", F.lit('"},{"person_or_org":{"name":"'), "lang",
-        F.lit('"}},{"name":""}]},"files":'), files, F.lit("}"),
+        F.lit('"}},{"name":""}],"access_right":"'),
+        F.when(F.col("doc_id") % 3 == 0, "restricted").otherwise("open"),
+        F.lit('"},"created":"2024-0'), (F.col("doc_id") % 3 + 4).cast("string"),
+        F.lit('-20T10:00:00+00:00","files":'), files, F.lit("}"),
     )
     detail = _answers(docs.withColumn("_t", text), "detail", F.col("rec"), body)
     return search.unionByName(detail)
@@ -124,6 +128,17 @@ def read_zenodo(spark, sf):
     )
 
 
+@query(
+    "read_zenodo_recent",
+    f"""SELECT recid, term AS query_string FROM {_sql_first('score >= 10', True)} WHERE doc_id % 3 = 1""",
+)
+def read_zenodo_recent(spark, sf):
+    """Open records of the last thirty days only: created in May, read in June."""
+    harvest = recent_open(READERS["zenodo"](zenodo_landing(spark, sf), "zenodo"), "2024-06-01")
+    kept = accept(harvest, policy_for("zenodo"), None, WEIGHTS, strict_terms=STRICT, store=stored)
+    return kept.select("recid", "query_string")
+
+
 # --- Dryad --------------------------------------------------------------------
 
 
@@ -338,6 +353,33 @@ def read_nada(spark, sf):
     )
 
 
+def _wild(landing):
+    """The same responses, every listing once more as the answer to a wildcard."""
+    listed = landing.filter("kind = 'search'").withColumns({"term": F.lit("*"), "term_rank": F.lit(-1)})
+    return landing.unionByName(listed)
+
+
+@query(
+    "read_sada_wildcard",
+    f"""SELECT DISTINCT 'ID/' || recid AS recid, '*' AS query_string FROM {_HITS} WHERE lang <> 'es'""",
+)
+def read_sada_wildcard(spark, sf):
+    """A wildcard vouches for its hits in this catalog."""
+    kept = _accepted(_wild(nada_landing(spark, sf)), "sada")
+    return kept.select("recid", F.col("query_string"))
+
+
+@query(
+    "read_ihsn",
+    f"""SELECT DISTINCT 'ID/' || recid AS recid, 'IHSN-Standard-Terms' AS license_id, '*' AS query_string
+        FROM {_HITS} WHERE lang <> 'es' AND score >= 10""",
+)
+def read_ihsn(spark, sf):
+    """In this one it does not: the score decides, at the first listing."""
+    kept = _accepted(_wild(nada_landing(spark, sf)), "ihsn")
+    return kept.select("recid", "license_id", "query_string")
+
+
 # --- CESSDA -------------------------------------------------------------------
 
 
@@ -371,6 +413,17 @@ def read_cessda(spark, sf):
     )
 
 
+@query(
+    "read_cessda_user_query",
+    f"""SELECT CASE WHEN lang = 'en' THEN 'doi:1/' ELSE 'c' END || recid AS project_identifier, term AS query_string
+        FROM {_sql_first('true', False)}""",
+)
+def read_cessda_user_query(spark, sf):
+    """Whatever a query typed by the user lists is taken."""
+    kept = _accepted(cessda_landing(spark, sf), "cessda", user_query=True)
+    return kept.select("project_identifier", "query_string")
+
+
 # --- OAI-PMH ------------------------------------------------------------------
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from shelfmark.plans.tables import arrivals, empty_tables
@@ -13,6 +11,7 @@ from shelfmark.sources.landing import entry
 from shelfmark.streaming import (
     drain,
     first_in_log,
+    latest_telemetry,
     live_counts,
     merge_log,
     read_stream,
@@ -115,9 +114,9 @@ def stream_upsert(spark, sf):
 )
 def stream_telemetry(spark, sf):
     events = _events(spark, sf).withColumn("k", F.from_json("props", "struct<k bigint>")["k"])
-    name = f"telemetry_{uuid.uuid4().hex}"
+    folder = shared_folder(spark, "telemetry")
     running = telemetry_query(
-        live_counts(events, ["event_type"], "k"), name, shared_folder(spark, "telemetry"), once=True
+        live_counts(events, ["event_type"], "k"), f"{folder}/counts", f"{folder}/progress", once=True
     )
     running.awaitTermination()
-    return spark.table(name)
+    return latest_telemetry(spark, f"{folder}/counts")
