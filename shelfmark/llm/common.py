@@ -9,7 +9,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.session import shared_folder
+from shelfmark.session import stored
+
+__all__ = ["chunks", "map_chunks", "map_rows", "record_batch", "stored", "table", "utf8"]
 
 #: Bytes of text handled at once inside a task; longer texts are handled alone.
 CHUNK_BYTES = 1 << 20
@@ -19,17 +21,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read back.
-
-    What several jobs use is computed once, lineage ends here, and a lost executor
-    takes nothing with it.
-    """
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def utf8(column: str):
     """The text as UTF-8 bytes, null as no bytes."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
