@@ -15,9 +15,10 @@ BASE = [
     ("cc by nc", "cc-by-nc"),
 ]
 
-# label: the word that must be in the text, then the ways the license is named
+# label: what every match holds, then the ways the license is named; a way that does
+# not hold it has its own, in a pair
 NAMES = {
-    "mit": ("mit", "mit(?: x11)? licen[sc]e", "the mit licen[sc]e", "expat licen[sc]e"),
+    "mit": ("mit", "mit(?: x11)? licen[sc]e", "the mit licen[sc]e", ("expat", "expat licen[sc]e")),
     "apache-2": ("apache", "apache(?: software)? licen[sc]e(?: version)? 2(?: 0)?", "apache 2(?: 0)?(?: licen[sc]e)?"),
     "apache-1.1": ("apache", "apache(?: software)? licen[sc]e(?: version)? 1 1"),
     "apache": ("apache", "apache(?: software)? licen[sc]e"),
@@ -33,13 +34,13 @@ NAMES = {
     "gpl": ("general", "gnu general public licen[sc]e"),
     "gpl-2-short": ("gpl", "gpl ?v?2(?: 0)?(?: only| or later)?", "gplv2(?: 0)?"),
     "gpl-3-short": ("gpl", "gpl ?v?3(?: 0)?(?: only| or later)?", "gplv3(?: 0)?"),
-    "lgpl-2.1": ("lesser", "gnu lesser general public licen[sc]e(?: version)? v?2 1", "lgpl ?v?2 1"),
+    "lgpl-2.1": ("lesser", "gnu lesser general public licen[sc]e(?: version)? v?2 1", ("lgpl", "lgpl ?v?2 1")),
     "lgpl-3": ("lesser", "gnu lesser general public licen[sc]e(?: version)? v?3(?: 0)?"),
-    "lgpl": ("lesser", "gnu (?:lesser|library) general public licen[sc]e"),
+    "lgpl": ("general", "gnu (?:lesser|library) general public licen[sc]e"),
     "lgpl-short": ("lgpl", "lgpl(?: v?[23](?: [01])?)?"),
     "agpl-3": ("affero", "gnu affero general public licen[sc]e(?: version)?(?: v?3(?: 0)?)?"),
     "agpl-short": ("agpl", "agpl ?v?3?(?: 0)?"),
-    "mpl-2": ("mozilla", "mozilla public licen[sc]e(?: version)? v?2(?: 0)?", "mpl ?v?2(?: 0)?"),
+    "mpl-2": ("mozilla", "mozilla public licen[sc]e(?: version)? v?2(?: 0)?", ("mpl", "mpl ?v?2(?: 0)?")),
     "mpl-1.1": ("mozilla", "mozilla public licen[sc]e(?: version)? v?1 1"),
     "mpl": ("mozilla", "mozilla public licen[sc]e"),
     "epl-2": ("eclipse", "eclipse public licen[sc]e(?: version)? v?2(?: 0)?"),
@@ -50,12 +51,12 @@ NAMES = {
     "artistic-2": ("artistic", "artistic licen[sc]e(?: version)? v?2(?: 0)?"),
     "artistic": ("artistic", "artistic licen[sc]e"),
     "boost": ("boost", "boost software licen[sc]e(?: version)?(?: 1 0)?"),
-    "python": ("python", "python software foundation licen[sc]e(?: version)?(?: 2)?", "psf licen[sc]e"),
+    "python": ("python", "python software foundation licen[sc]e(?: version)?(?: 2)?", ("psf", "psf licen[sc]e")),
     "postgresql": ("postgresql", "postgresql licen[sc]e"),
     "openssl": ("openssl", "openssl licen[sc]e"),
     "php": ("php", "php licen[sc]e(?: version)?(?: 3 0[01]?)?"),
-    "ms-pl": ("microsoft", "microsoft public licen[sc]e", "ms pl"),
-    "ms-rl": ("microsoft", "microsoft reciprocal licen[sc]e", "ms rl"),
+    "ms-pl": ("microsoft", "microsoft public licen[sc]e", ("ms pl", "ms pl")),
+    "ms-rl": ("microsoft", "microsoft reciprocal licen[sc]e", ("ms rl", "ms rl")),
     "ofl": ("font", "(?:sil )?open font licen[sc]e(?: version)?(?: 1 [01])?"),
     "wtfpl": ("wtfpl", "wtfpl(?: version)?(?: 2)?"),
     "unlicense": ("unlicense", "(?:the )?unlicense"),
@@ -66,7 +67,7 @@ NAMES = {
     "gfdl": ("documentation", "gnu free documentation licen[sc]e(?: version)?(?: 1 [1-3])?"),
     "cc0": ("cc0", "cc0(?: 1 0)?(?: universal)?"),
     "cc-by": ("attribution", "creative commons attribution(?: licen[sc]e)?(?: (?:[1-4] 0|2 5))?(?: international| unported)?"),
-    "cc-by-sa": ("sharealike", "creative commons attribution share ?alike(?: licen[sc]e)?(?: [1-4] 0)?", "creative commons attribution sharealike"),
+    "cc-by-sa": ("attribution", "creative commons attribution share ?alike(?: licen[sc]e)?(?: [1-4] 0)?", "creative commons attribution sharealike"),
     "cc-by-nd": ("attribution", "creative commons attribution no ?deriv(?:s|atives)(?: licen[sc]e)?(?: [1-4] 0)?"),
     "cc-by-nc": ("attribution", "creative commons attribution non ?commercial(?: licen[sc]e)?(?: [1-4] 0)?"),
     "cc-by-nc-sa": ("attribution", "creative commons attribution non ?commercial share ?alike(?: licen[sc]e)?(?: [1-4] 0)?"),
@@ -135,7 +136,8 @@ def rules() -> list[Rule]:
     for rank, score, form in FORMS:
         for label, (keyword, *names) in NAMES.items():
             for name in names:
-                out.append((rank, score, label.removesuffix("-short"), keyword, form.format(f"(?:{name})")))
+                held, name = name if isinstance(name, tuple) else (keyword, name)
+                out.append((rank, score, label.removesuffix("-short"), held, form.format(f"(?:{name})")))
     out += [(3, score, label, keyword, pattern) for label, score, keyword, pattern in NOTICES]
     return [
         # looking around keeps the blank for the next match
