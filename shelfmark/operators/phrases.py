@@ -5,8 +5,10 @@ expression per row. :func:`phrase_join` takes terms as a DataFrame of any size
 and picks, by counting them, among ways that all give the same rows:
 
 * short terms, few: folded into one expression, like a known vocabulary;
-* short terms, many: looked up in the words of the corpus, whose number grows
-  far slower than the corpus;
+* short terms, many: their pieces are looked up in the words of the corpus, whose
+  number grows far slower than the corpus. Pieces that very many words hold, such as
+  single letters, are folded after all; the others meet the texts at the words that
+  hold them;
 * phrases of three or more words, of bounded size: broadcast. An inner word of
   the phrase stands alone in any text that holds it, so the text's words meet
   the phrases by an equi-join and the text is checked on the spot. One pass,
@@ -25,11 +27,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.session import stored
+
 GRAM = 3
-# Parts that the documents of one word are spread over, so that a word most texts
-# hold fills no single task; the terms are repeated for each part.
-SPREAD = 16
 MAX_FOLDED = 200
+# A piece that more words of the corpus hold is searched in the texts themselves, if it
+# is one of the MAX_FREQUENT most frequent.
+FEW_WORDS = 1000
+MAX_FREQUENT = 64
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 100
 _BLANKS = r"\s+"
@@ -67,15 +72,6 @@ def _doc_words(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """(document, word) rows with the part their document belongs to."""
-    return rows.withColumn("_part", F.pmod(F.xxhash64("record_id"), F.lit(SPREAD)).cast("int"))
-
-
-def _in_all_parts(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-
-
 def _longest(words: Column) -> Column:
     return F.aggregate(
         words, F.lit(""), lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best)
@@ -115,11 +111,9 @@ def _confirmed(docs: DataFrame, candidates: DataFrame) -> DataFrame:
 def _by_rarest_word(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     inner = phrases.select("term_id", "phrase", F.explode(F.array_distinct(_inner("_words"))).alias("word"))
     needed = inner.select("word").distinct()
-    # hints: exploded sides outgrow the size Spark expects of them
-    at = ["word", "_part"]
-    present = _spread(_doc_words(docs)).join(
-        _in_all_parts(needed).hint("shuffle_hash"), at, "left_semi"
-    )
+    # merge joins throughout: exploded sides outgrow the size Spark expects of them, a
+    # sort spills, and adaptive execution splits a word that most texts hold
+    present = _doc_words(docs).join(needed.hint("merge"), "word", "left_semi")
     counts = present.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
     anchors = (
         inner.join(counts.hint("merge"), "word", "left")
@@ -127,7 +121,7 @@ def _by_rarest_word(docs: DataFrame, phrases: DataFrame) -> DataFrame:
         # an inner word the corpus lacks settles the matter: no text holds the phrase
         .agg(F.min_by("word", F.struct(F.coalesce("n_docs", F.lit(0)), "word")).alias("word"))
     )
-    candidates = present.join(_in_all_parts(anchors).hint("shuffle_hash"), at).drop(*at)
+    candidates = _doc_words(docs).join(anchors.hint("merge"), "word").drop("word")
     return _confirmed(docs, candidates)
 
 
@@ -140,25 +134,43 @@ def _grams(word: Column) -> Column:
     return F.array_distinct(F.flatten(F.array(*runs)))
 
 
-def _by_vocabulary(docs: DataFrame, short: DataFrame) -> DataFrame:
-    """Terms of one or two words: the longer word lies inside a word of the text.
-    Which corpus words hold it is found once per distinct word."""
+def _holders(docs: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(piece, word) wherever a word of the corpus holds the piece: found once per
+    distinct piece and distinct word, by a gram they share."""
     vocabulary = _doc_words(docs).select("word").distinct()
     # a piece shorter than a gram is looked up as it is, so the grams of the
     # corpus words come in all lengths
-    pieces = short.select("term_id", "phrase", _longest(F.col("_words")).alias("_piece")).withColumn(
-        "_gram", F.substring("_piece", 1, GRAM)
-    )
-    corpus = vocabulary.select("word", F.explode(_grams(F.col("word"))).alias("_gram"))
-    holders = (
-        pieces.join(corpus.hint("merge"), "_gram")
-        .filter(F.contains(F.col("word"), F.col("_piece")))
-        .select("term_id", "phrase", "word")
+    grams = vocabulary.select("word", F.explode(_grams(F.col("word"))).alias("_gram"))
+    return (
+        pieces.withColumn("_gram", F.substring("piece", 1, GRAM))
+        .join(grams.hint("merge"), "_gram")
+        .filter(F.contains(F.col("word"), F.col("piece")))
+        .select("piece", "word")
     )
-    at = ["word", "_part"]
-    found = _spread(_doc_words(docs)).join(_in_all_parts(holders).hint("shuffle_hash"), at)
-    # many words of a text may hold one short term: it is one candidate
-    return _confirmed(docs, found.select("record_id", "term_id", "phrase").distinct())
+
+
+def _by_vocabulary(docs: DataFrame, short: DataFrame) -> DataFrame:
+    """Terms of one or two words: their longer word, the piece, lies inside a word of
+    the text.
+
+    The words that hold a piece are counted. The few pieces that very many words hold
+    would name nearly every text once per word; they are folded into one expression per
+    text. The others come by a merge join on the words that hold them. Texts meet pieces,
+    each once, before the terms come back; what is more than its piece is confirmed.
+    """
+    asked = short.select("term_id", "phrase", _longest(F.col("_words")).alias("piece"))
+    holders = stored(_holders(docs, asked.select("piece").distinct()), "holders")
+    counted = holders.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FEW_WORDS)
+    frequent = [r.piece for r in counted.orderBy(F.desc("n"), "piece").limit(MAX_FREQUENT).collect()]
+    rare = holders.filter(~F.col("piece").isin(frequent)) if frequent else holders
+    found = _doc_words(docs).join(rare.hint("merge"), "word").select("record_id", "piece")
+    if frequent:
+        known = [(p, F.struct(F.lit(p).alias("piece"))) for p in frequent]
+        found = found.unionByName(_folded(docs, known, ["record_id"]))
+    candidates = stored(found.distinct(), "pieces").join(asked.hint("merge"), "piece")
+    settled = candidates.filter(F.col("phrase") == F.col("piece")).select("record_id", "term_id")
+    open_ones = candidates.filter(F.col("phrase") != F.col("piece"))
+    return settled.unionByName(_confirmed(docs, open_ones.select("record_id", "term_id", "phrase")))
 
 
 def phrase_join(
@@ -175,7 +187,8 @@ def phrase_join(
 
     Rows are distinct whichever way is taken, also where ids repeat; rows and terms
     without an id are left out, and a blank phrase is no phrase. The terms are measured
-    when this is called, the texts are not touched before an action.
+    when this is called; with many short ones the words of the texts are, too, otherwise
+    the texts are not touched before an action.
     """
     docs = records.select(
         F.col(record_id).alias("record_id"), F.lower(text).alias("_lowered")

@@ -195,3 +195,30 @@ def test_profile(spark):
     got = {r.column_name: tuple(r)[2:] for r in quality.profile(df, "x", long_text=["s"], exact=True).collect()}
     assert got == {"s": (3, 0, 1, 2, 1), "n": (3, 1, 0, 2, 0)}
     assert quality.profile(df, "x").count() == 2
+
+
+@pytest.mark.parametrize("few", [0, 3, 10_000])
+def test_short_terms_by_vocabulary(spark, monkeypatch, few):
+    """Letters, pieces of words and pairs of words, whichever of them are folded; no
+    join builds a hash table over exploded rows."""
+    from shelfmark.operators import phrases
+
+    monkeypatch.setattr(phrases, "FEW_WORDS", few)
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("abcdé", k=rnd.randint(1, 7))) for _ in range(40)]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 20))) for _ in range(80)] + [None, ""]
+    terms = list("abcdéz") + rnd.choices(words, k=15)
+    terms += [f"{rnd.choice(words)} {rnd.choice(words)}" for _ in range(60)]
+    terms += [f"{w[-2:]} {v[:2]}" for w, v in zip(words, words[1:])] + ["  ", " a "]
+    got = phrase_join(
+        spark.createDataFrame([(i % 50, t) for i, t in enumerate(texts)], "d int, text string"),
+        "text", spark.createDataFrame(list(enumerate(terms)), "t int, phrase string"),
+        "d", "t", "phrase", max_folded=0,
+    )
+    want = {
+        (i % 50, j) for i, t in enumerate(texts) for j, p in enumerate(terms)
+        if t and p.strip() and p.lower() in t.lower()
+    }
+    assert {tuple(r) for r in got.collect()} == want
+    plan = got._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" not in plan
