@@ -151,3 +151,27 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return read_back(format_trees(chained(rows.unionByName(added))))
+
+
+@query(
+    "op11_exact_dedup",
+    r"""
+    WITH plain AS (
+        SELECT doc_id, length(coalesce(text, '')) AS n,
+               regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
+        FROM documents)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
+    FROM (SELECT doc_id, body,
+                 first_value(doc_id) OVER (PARTITION BY body ORDER BY n DESC, doc_id) AS keep_id,
+                 count(*) OVER (PARTITION BY body) AS group_size
+          FROM plain)
+    """,
+)
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.exact_dedup import decisions, ingest, landed
+    from shelfmark.session import shared_folder
+
+    documents = table(spark, folder, "documents")
+    store = shared_folder(spark, "exact-dedup")
+    ingest(landed(spark, f"{folder}/documents.parquet", documents.schema), store)
+    return decisions(documents, store).drop("file", "row")

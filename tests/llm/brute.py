@@ -140,3 +140,13 @@ AWKWARD = [
     (11, "under the MIT License, see CC-BY-NC and Apache License, Version 2.0"),
     (12, "under the MIT License, see CC-BY-NC and Apache License, Version 2.0"),
 ]
+
+
+def exact_dedup(docs):
+    """(doc_id, keep_id, group_size, sha) per row; which row of a group stays is told by
+    the longest text, then the smallest id."""
+    plain = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    held = defaultdict(list)
+    for i, t in docs:
+        held[plain(t)].append((-len(t or ""), i is None, i or 0, i))
+    return [(i, min(held[plain(t)])[3], len(held[plain(t)]), sha(plain(t))) for i, t in docs]
