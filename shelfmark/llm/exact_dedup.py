@@ -40,7 +40,8 @@ from shelfmark.llm.common import stored
 DIGEST_BYTES = 32
 #: Bits of the bitmap that names wanted rows, as a power of two: 16 MB.
 FILTER_BITS = 27
-BATCH_BYTES = 1 << 40
+#: Few large batches: each opens the whole state again.
+BATCH_BYTES = 1 << 43
 _PAGE = 15  # bits of a row of the bitmap, as a power of two (fixed by the aggregate)
 
 _STATE_SETTINGS = {
@@ -50,6 +51,9 @@ _STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # a database costs some MB of disk as soon as it is open, so only those of running
+    # tasks are; what they hold is in the shared folder, where the next batch finds it
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
