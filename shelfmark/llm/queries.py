@@ -175,3 +175,37 @@ def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     store = shared_folder(spark, "exact-dedup")
     ingest(landed(spark, f"{folder}/documents.parquet", documents.schema), store)
     return decisions(documents, store).drop("file", "row")
+
+
+@query(
+    "op12_ranked_search",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM documents),
+    asked AS (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark),
+    sizes AS (SELECT doc_id, count(*) AS n FROM docs GROUP BY doc_id),
+    totals AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM sizes),
+    tfs AS (SELECT doc_id, term, count(*) AS tf FROM docs GROUP BY doc_id, term),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM tfs, totals GROUP BY term),
+    scores AS (
+        SELECT item_id, doc_id,
+               CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+        FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+        GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+          FROM scores WHERE score > 0)
+    WHERE rank <= 20
+    """,
+)
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.ranked_search import search
+
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -150,3 +151,24 @@ def exact_dedup(docs):
     for i, t in docs:
         held[plain(t)].append((-len(t or ""), i is None, i or 0, i))
     return [(i, min(held[plain(t)])[3], len(held[plain(t)]), sha(plain(t))) for i, t in docs]
+
+
+def ranked_search(docs, items, k):
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+    held = [(i, Counter(terms(t))) for i, t in docs]
+    held = [(i, c, c.total()) for i, c in held if c]
+    n_docs, n_terms = len(held), sum(n for _, _, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, c, n in held:
+            m = 100 - 25 + (25 * n * n_docs) // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 12 * m))
+                for t in terms(text)
+            )
+            if score > 0 and i is not None:
+                scored.append((-score, i))
+        out += [(item, rank, i, -s) for rank, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return out
