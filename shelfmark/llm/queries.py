@@ -209,3 +209,63 @@ def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     from shelfmark.llm.ranked_search import search
 
     return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    "op13_prefix_trie",
+    r"""
+    WITH rows AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+               md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+        FROM conversations WHERE conv_id IS NOT NULL),
+    -- CRC-32, a byte at a time; its low two bits say how many turns are borrowed
+    crc AS (
+        SELECT list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda x, k: CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END)) AS t),
+    convs AS (
+        SELECT conv_id, conv_id - conv_id % 20 AS base,
+               xor(list_reduce(list_prepend(4294967295, list_transform(
+                       string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                   lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295) % 4 AS h
+        FROM (SELECT DISTINCT conv_id FROM rows), crc),
+    turns AS (
+        SELECT c.conv_id, 0 AS part, r.pos, r.id, r.words
+        FROM convs c JOIN rows r ON r.conv_id = c.base AND r.pos <= c.h
+        UNION ALL
+        SELECT c.conv_id, 1, r.pos, r.id, r.words
+        FROM convs c JOIN rows r ON r.conv_id = c.conv_id AND r.pos > c.h),
+    seqs AS (
+        SELECT conv_id, coalesce(ids, []) AS ids, coalesce(words, []) AS words
+        FROM convs LEFT JOIN (
+            SELECT conv_id, list(id ORDER BY part, pos) AS ids, list(words ORDER BY part, pos) AS words
+            FROM turns GROUP BY conv_id) USING (conv_id)),
+    prefixes AS (
+        SELECT conv_id, d, len(ids) = d AS ended, md5(array_to_string(ids[1 : d], ',')) AS node,
+               CASE WHEN d > 0 THEN md5(array_to_string(ids[1 : d - 1], ',')) END AS parent, ids,
+               CASE WHEN d > 0 THEN words[d] ELSE 0 END AS w
+        FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM seqs)),
+    nodes AS (
+        SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id,
+               count(*) AS n_convs, (count(*) - 1) * any_value(w) AS own, any_value(ids) AS ids,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), ''))
+                   AS ends_sha256
+        FROM prefixes GROUP BY node),
+    children AS (SELECT parent AS node, count(*) AS n_children FROM nodes GROUP BY parent),
+    above AS (
+        SELECT md5(array_to_string(ids[1 : a], ',')) AS node, own,
+               coalesce(n_children, 0) = 0 AS leaf
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM nodes LEFT JOIN children USING (node))),
+    sums AS (
+        SELECT node, count(*) FILTER (WHERE leaf) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved_tokens
+        FROM above GROUP BY node)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs,
+           coalesce(c.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+    FROM nodes n JOIN sums s USING (node) LEFT JOIN children c USING (node)
+    LEFT JOIN nodes p ON p.node = n.parent
+    """,
+)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.prefix_trie import prefix_trie, turns, with_borrowed_heads
+
+    return prefix_trie(*with_borrowed_heads(turns(table(spark, folder, "conversations"))))

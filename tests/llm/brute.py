@@ -172,3 +172,42 @@ def ranked_search(docs, items, k):
                 scored.append((-score, i))
         out += [(item, rank, i, -s) for rank, (s, i) in enumerate(sorted(scored)[:k], 1)]
     return out
+
+
+def rebuilt(rows):
+    """(conv_id, turn, role, text) rows to the turns of every conversation, borrowed ones
+    first."""
+    held = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            key = hashlib.md5(f"{len(role or '')}:{role or ''}{text or ''}".encode()).digest()
+            held[c].append((turn is not None, turn or 0, key, (role or "", text or "")))
+    own = {c: [t[3] for t in sorted(v)] for c, v in held.items()}
+    out = {}
+    for c, mine in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - int(math.fmod(c, 20))
+        out[c] = tuple(own.get(base, [])[:h] + mine[h:])
+    return out
+
+
+def prefix_trie(convs):
+    """The nodes of {conv_id: turns}, as the rows of the query."""
+    nodes = defaultdict(list)
+    for c, turns in sorted(convs.items()):
+        for d in range(len(turns) + 1):
+            nodes[turns[:d]].append(c)
+    children = Counter(k[:-1] for k in nodes if k)
+    leaves, saved = Counter(), Counter()
+    for k, members in nodes.items():
+        own = (len(members) - 1) * len(words(k[-1][1])) if k else 0
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += k not in children
+            saved[k[:d]] += own
+    return [
+        (
+            m[0], len(k), nodes[k[:-1]][0] if k else None, len(m), children[k], leaves[k], saved[k],
+            sha(",".join(str(c) for c in m if convs[c] == k)),
+        )
+        for k, m in nodes.items()
+    ]
