@@ -83,20 +83,31 @@ def fill_description(
     return df.withColumn(description, F.coalesce(*choices))
 
 
+#: What a link file is called, and what the reason of a placeholder says (fixed values).
+LINK_FILE = "external_study.url"
+_HOSTED = r"^Study hosted externally\.? Resource access: (\S+)"
+
+
+def external_link(reason: Column) -> Column:
+    """The address in the reason of a placeholder; null if the reason is another one."""
+    return F.when(reason.rlike(_HOSTED), F.regexp_extract(reason, _HOSTED, 1))
+
+
 def virtual_files(records: DataFrame, files: str = "files") -> DataFrame:
     """Turn placeholders of externally hosted studies into link files: a
     succeeded ``*.url`` entry instead of a failed placeholder."""
-    rows = F.transform(
-        files,
-        lambda f: F.when(
-            f["failure_reason"].startswith("Study hosted externally"),
-            f.withField("file_key", F.lit("external_study.url"))
-            .withField("file_url", F.regexp_extract(f["failure_reason"], r"Resource access: (\S+)", 1))
+
+    def linked(f: Column) -> Column:
+        link = external_link(f["failure_reason"])
+        changed = (
+            f.withField("file_key", F.lit(LINK_FILE))
+            .withField("file_url", link)
             .withField("restricted", F.lit(False))
-            .withField("failure_reason", F.lit("")),
-        ).otherwise(f),
-    )
-    return records.withColumn(files, rows)
+            .withField("failure_reason", F.lit(""))
+        )
+        return F.when(link.isNotNull(), changed).otherwise(f)
+
+    return records.withColumn(files, F.transform(files, linked))
 
 
 def profile(

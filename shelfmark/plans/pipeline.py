@@ -12,6 +12,7 @@ from shelfmark.plans.tables import (
     Arrivals,
     Tables,
     arrivals,
+    mark_newest,
     merge_folded,
     read_tables,
     rejected_children,
@@ -46,7 +47,7 @@ def merge_into(current: Tables, arrived: Arrivals, folder: str) -> None:
     lack a required column go to ``quarantine``, those of children as well.
     """
     folded, rejected = split_batch(arrived)
-    folded = stored(folded)
+    folded = stored(mark_newest(current.projects, folded))
     rejected.write.mode("append").parquet(f"{folder}/quarantine/projects")
     for name, rows in rejected_children(folded, arrived).items():
         rows.write.mode("append").parquet(f"{folder}/quarantine/{name}")

@@ -23,6 +23,7 @@ from shelfmark.operators.joins import repository_id
 from shelfmark.schemas import (
     PROJECT_KEPT,
     PROJECT_KEY,
+    PROJECT_ORDER,
     PROJECT_UPDATED,
     REQUIRED_COLUMNS,
     conform,
@@ -182,42 +183,71 @@ def arrivals(
     )
 
 
+def _place(df: DataFrame, seq: str) -> Column:
+    """The order of arrivals as text that sorts like it."""
+    if dict(df.dtypes)[seq] == "string":
+        return F.col(seq)
+    shifted = F.col(seq).cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    return F.lpad(shifted.cast("string"), 20, "0")
+
+
 def fold(projects: DataFrame, seq: str = "seq") -> DataFrame:
     """Arrivals of one project to one row, as if applied in ``seq`` order: kept
-    columns from the first arrival, refreshed ones and ``seq`` from the last."""
+    columns from the first arrival, refreshed ones and ``seq`` from the last, and the
+    places of both as ``first_seq`` and ``last_seq``."""
     updated = [c for c in PROJECT_UPDATED if c in projects.columns]
     kept = [c for c in PROJECT_KEPT if c in projects.columns]
+    placed = projects.withColumn("_place", _place(projects, seq))
     return (
-        projects.groupBy(*PROJECT_KEY)
+        placed.groupBy(*PROJECT_KEY)
         .agg(
             F.min_by(F.struct(*kept), F.col(seq)).alias("_kept"),
             F.max_by(F.struct(*updated), F.col(seq)).alias("_updated"),
             F.max(seq).alias(seq),
+            F.min("_place").alias("first_seq"),
+            F.max("_place").alias("last_seq"),
         )
-        .select(*PROJECT_KEY, seq, "_kept.*", "_updated.*")
+        .select(*PROJECT_KEY, seq, "first_seq", "last_seq", "_kept.*", "_updated.*")
     )
 
 
 def upsert(current: DataFrame, folded: DataFrame) -> DataFrame:
-    """Projects after the merge: refreshed columns from the batch, kept ones from
-    the table, unknown projects added. Both sides are unique by key."""
+    """Projects after the merge, as if all arrivals had been applied in their order,
+    however they were dealt to merges: kept columns from the earlier first arrival,
+    refreshed ones from the later last one, unknown projects added. Both sides are
+    unique by key. Table rows without a place are older than any arrival."""
     new = folded.withColumn("_touched", F.lit(True))
-    joined = current.alias("t").join(
+    placed = current
+    for c in PROJECT_ORDER:
+        if c not in current.columns:
+            placed = placed.withColumn(c, F.lit(None).cast("string"))
+    joined = placed.alias("t").join(
         new.alias("b"),
         [F.col(f"t.{c}") == F.col(f"b.{c}") for c in PROJECT_KEY],
         "full_outer",
     )
+    added = F.col("t.project_url").isNull()
+    touched = F.coalesce(F.col("b._touched"), F.lit(False))
+    earlier = added | (touched & F.coalesce(F.col("b.first_seq") < F.col("t.first_seq"), F.lit(False)))
+    later = added | (touched & F.coalesce(F.col("b.last_seq") >= F.col("t.last_seq"), F.lit(True)))
 
     def pick(c: str) -> Column:
-        if c in PROJECT_UPDATED:
-            return F.when(F.col("b._touched"), F.col(f"b.{c}")).otherwise(F.col(f"t.{c}"))
-        return F.when(F.col("t.project_url").isNotNull(), F.col(f"t.{c}")).otherwise(F.col(f"b.{c}"))
+        from_batch = later if c in PROJECT_UPDATED or c == "last_seq" else earlier
+        return F.when(from_batch, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}"))
 
-    columns = [c for c in schemas.PROJECTS.names if c in current.columns and c != "id"]
+    columns = [c for c in schemas.PROJECTS.names if c in placed.columns and c != "id"]
     merged = joined.select(*[pick(c).alias(c) for c in columns])
     return merged.withColumn("id", project_id(F.col("project_url"), F.col("version")))
 
 
+def mark_newest(current: DataFrame, folded: DataFrame) -> DataFrame:
+    """Folded projects with ``newest``: whether the table has no later arrival. Only
+    then do their children replace those of the table."""
+    known = current.select(*PROJECT_KEY, F.col("last_seq").alias("_known"))
+    newest = F.coalesce(F.col("last_seq") >= F.col("_known"), F.lit(True))
+    return folded.join(known, PROJECT_KEY, "left").withColumn("newest", newest).drop("_known")
+
+
 def replace_children(current: DataFrame, touched: DataFrame, fresh: DataFrame) -> DataFrame:
     """All children of the touched projects give way to the fresh ones."""
     ids = touched.select("project_id")
@@ -275,18 +305,24 @@ def rejected_children(folded: DataFrame, arrived: Arrivals) -> dict[str, DataFra
 
 
 def merge_folded(current: Tables, folded: DataFrame, arrived: Arrivals) -> Tables:
-    """The four tables after arrivals whose projects :func:`fold` has reduced."""
-    touched = folded.select(project_id(F.col("project_url"), F.col("version")).alias("project_id"))
+    """The four tables after arrivals whose projects :func:`fold` has reduced, and
+    :func:`mark_newest` marked, if that has been done before. An arrival that comes after
+    a later one of its project changes none of what the later one gave."""
+    if "newest" not in folded.columns:
+        folded = mark_newest(current.projects, folded)
+    newest = folded.where("newest")
+    touched = newest.select(project_id(F.col("project_url"), F.col("version")).alias("project_id"))
     children = {
         name: replace_children(getattr(current, name), touched, quarantine(rows, name)[0])
-        for name, rows in child_rows(folded, arrived).items()
+        for name, rows in child_rows(newest, arrived).items()
     }
-    projects = conform(upsert(current.projects, folded.drop("seq")), schemas.PROJECTS)
+    projects = conform(upsert(current.projects, folded.drop("seq", "newest")), schemas.PROJECTS)
     return Tables(projects, **children)
 
 
 def merge(current: Tables, arrived: Arrivals) -> Tables:
-    """The four tables after a batch of arrivals; a second time changes nothing.
+    """The four tables after a batch of arrivals; a second time changes nothing, and
+    batches may be merged in any order.
 
     Lazy; to write the result use ``pipeline.merge_into``, which folds once."""
     return merge_folded(current, split_batch(arrived)[0], arrived)

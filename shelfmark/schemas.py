@@ -70,13 +70,16 @@ PROJECT_KEPT = [
     "query_string", "repository_id", "repository_url", "language", "doi", "download_method",
 ]
 
+PROJECT_ORDER = ["first_seq", "last_seq"]
+
 PROJECTS = _struct(
     "id bigint, query_string string, repository_id int, repository_url string, "
     "project_url string, version string, title string, description string, "
     "language string, doi string, license string, upload_date string, "
     "download_date string, download_repository_folder string, "
     "download_project_folder string, download_version_folder string, "
-    "download_method string"
+    # the places of the first and the last arrival in the order of all arrivals
+    "download_method string, first_seq string, last_seq string"
 )
 FILES = _struct(
     "id bigint, project_id bigint, file_name string, file_type string, "

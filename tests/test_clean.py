@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.plans.acquire import terms_for
-from shelfmark.plans.clean import best_copies, clean
+from shelfmark.plans.clean import best_copies, clean, project_copies
 from shelfmark.plans.tables import Tables, empty_tables
 from shelfmark.schemas import conform
 
@@ -36,6 +36,29 @@ def test_best_copies(spark):
     assert got == {3: 3, 5: 2, 6: 1, 7: 1}
 
 
+def test_two_dois_are_two_projects(spark):
+    rows = [
+        (1, "Interview transcripts", "10.1/a", "zenodo", "d", None), (2, "Interview transcripts", "10.1/b", "zenodo", "d", None),
+        (3, "One title", "10.1/c", "cessda", "d", None), (4, "One tittle", "doi:10.1/C", "zenodo", "d", None),
+        (5, "interview transcripts!", None, "qdr", "d", None), (6, "one title", None, "qdr", "d", None),
+    ]
+    # 5 might be a copy of 1 or of 2 and stays; 6 can be a copy of one project only
+    got = {(r.id, r.n_versions) for r in best_copies(projects(spark, *rows)).collect()}
+    assert got == {(1, 1), (2, 1), (4, 3), (5, 1)}
+
+
+def test_chains_without_a_doi(spark):
+    """Links over titles and addresses join what shares neither directly, at any length;
+    a chain between two DOIs belongs to none of them."""
+    n = 40
+    rows = [(i, f"title {i // 2}", None, f"u{(i + 1) // 2}") for i in range(n)]
+    rows += [(100, "title 0", "10.1/a", "x"), (200, "other", "10.1/b", f"u{n // 2}"), (300, "title 0", "10.1/a", "y")]
+    for claimed, want in ((rows, {"i:0"}), ([r for r in rows if r[0] != 200], {"d:10.1/a"})):
+        df = spark.createDataFrame(claimed, "id bigint, title string, doi string, project_url string")
+        got = {r.id: r.copy_of for r in project_copies(conform(df, schemas.PROJECTS)).collect()}
+        assert {got[i] for i in range(n)} == want and got[100] == got[300] == "d:10.1/a"
+
+
 def test_clean(spark):
     empty = empty_tables(spark)
     files = conform(

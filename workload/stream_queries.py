@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfmark.plans import snapshots
 from shelfmark.plans.tables import arrivals, empty_tables
 from shelfmark.schemas import RECORD, conform
 from shelfmark.session import shared_folder, stored
@@ -55,9 +56,8 @@ def stream_dedupe(spark, sf):
     )
 
 
-@query(
-    "stream_upsert",
-    """WITH ranked AS (
+# What the first arrival of a project gave for good and the last one gave anew.
+_SQL_UPSERT = """WITH ranked AS (
             SELECT *, 'https://zenodo.org/record/user-' || user_id::VARCHAR AS url,
                    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS a,
                    row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS z
@@ -65,15 +65,12 @@ def stream_dedupe(spark, sf):
         SELECT f.url AS project_url, l.event_id::VARCHAR AS title, f.event_type AS language,
                CASE WHEN l.event_type = 'click' THEN 'file.csv' ELSE 'file.qdpx' END AS files,
                l.event_type AS keywords
-        FROM ranked f JOIN ranked l USING (user_id) WHERE f.a = 1 AND l.z = 1""",
-)
-def stream_upsert(spark, sf):
-    """Many arrivals of a project in one log, out of order: the table holds what the
-    first gave for good and the last gave anew, and the children of the last alone.
-    The merge runs twice, which changes nothing."""
-    log = first_in_log(drain(_landed(spark, sf), "upsert"), ["event_id"], ["ts"])
+        FROM ranked f JOIN ranked l USING (user_id) WHERE f.a = 1 AND l.z = 1"""
+
+
+def _arrivals(spark, log):
+    """Events as arrivals, with their moment; two of one moment follow each other by id."""
     name = F.when(F.col("event_type") == "click", "file.csv").otherwise("file.qdpx")
-    # two events of one moment follow each other by id
     moment = F.concat(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("#"),
         F.lpad(F.col("event_id").cast("string"), 12, "0"),
@@ -91,22 +88,48 @@ def stream_upsert(spark, sf):
         RECORD,
     ).withColumn("query_string", F.lit(""))
     none = spark.createDataFrame([], OUTCOMES)
-    batch = arrivals(stored(found, "log"), none, F.col("description"))
-    once = merge_log(empty_tables(spark), batch)
-    again = merge_log(once, batch, since="1970-01-01")
-    children = again.files.groupBy("project_id").agg(
+    return arrivals(stored(found, "log"), none, F.col("description"))
+
+
+def _with_children(tables):
+    children = tables.files.groupBy("project_id").agg(
         F.array_join(F.array_sort(F.collect_list("file_name")), "|").alias("files")
     ).join(
-        again.keywords.groupBy("project_id").agg(
+        tables.keywords.groupBy("project_id").agg(
             F.array_join(F.array_sort(F.collect_list("keyword")), "|").alias("keywords")
         ),
         "project_id",
     )
-    return again.projects.join(children, F.col("id") == F.col("project_id")).select(
+    return tables.projects.join(children, F.col("id") == F.col("project_id")).select(
         "project_url", "title", "language", "files", "keywords"
     )
 
 
+@query("stream_upsert", _SQL_UPSERT)
+def stream_upsert(spark, sf):
+    """Many arrivals of a project in one log, out of order: the table holds what the
+    first gave for good and the last gave anew, and the children of the last alone.
+    The merge runs twice, which changes nothing."""
+    log = first_in_log(drain(_landed(spark, sf), "upsert"), ["event_id"], ["ts"])
+    batch = _arrivals(spark, log)
+    once = merge_log(empty_tables(spark), batch)
+    return _with_children(merge_log(once, batch, since="1970-01-01"))
+
+
+@query("stream_upsert_late", _SQL_UPSERT)
+def stream_upsert_late(spark, sf):
+    """The same in two merges into tables in buckets, the later half of all events first:
+    what it gave is still there after the older half, which only adds what it knew
+    before. The first batch is offered again and not merged again."""
+    log = first_in_log(drain(_landed(spark, sf), "late"), ["event_id"], ["ts"])
+    late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    root = shared_folder(spark, "tables")
+    snapshots.create(spark, root, buckets=8)
+    for name, rows in (("later", log.where(late)), ("older", log.where(~late)), ("later", log.where(late))):
+        snapshots.merge_batch(spark, root, _arrivals(spark, rows), name)
+    return _with_children(snapshots.read(spark, root))
+
+
 @query(
     "stream_telemetry",
     """SELECT event_type, count(*)::BIGINT AS n, sum((props::JSON->>'$.k')::BIGINT)::BIGINT AS total
