@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,49 +22,76 @@ def _same(columns: Sequence[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """First ``n`` rows of every group by ``order``, which must be unique there. Nulls
-    come first in the order, and rows with a null group are a group.
+def _tie(df: DataFrame) -> Column:
+    """A hash of the whole row: it tells rows of one place apart, but for equal ones."""
+    return F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+
+
+def cap_per_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], n: int, limit: Column | None = None
+) -> DataFrame:
+    """First ``n`` rows of every group by ``order``. Nulls come first in the order, and
+    rows with a null group are a group. Rows of one place follow each other by a hash of
+    the row, so a group of more rows gives exactly ``n`` of them, and the same ones on
+    both ways. ``limit`` is a cap that differs by group, at most ``n``: an expression of
+    the group columns.
 
     A small ``n`` is cut before the shuffle, whatever the group sizes. For a large one
-    the places alone are dealt to ranges of (group, order), so a large group lies in
-    many ranges; the rows of each range are counted, running totals over the ranges tell
-    where the cap falls, and only that range is ranked row by row. The rows themselves
-    are compared with the last place inside the cap.
+    the places alone are counted and dealt to ranges of (group, order), so a large group
+    lies in many ranges; running totals over the ranges tell where the cap falls, and only
+    that range is looked at place by place. The rows themselves are compared with the last
+    place inside the cap.
     """
+    cap = F.lit(n) if limit is None else limit
     if n <= GROUP_LIMIT:
-        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-        return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
-    last = last_places(df, group, order, n)
-    joined = df.alias("d").join(last.alias("l"), _same(group, "d", "l"), "left")
-    place = F.struct(*[F.col(f"d.{c}") for c in order])
-    return joined.filter(F.col("l._last").isNull() | (place <= F.col("l._last"))).select("d.*")
+        ranked = df.withColumn("_tie", _tie(df))
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order, "_tie"))
+        kept = ranked.withColumn("_rank", rank).filter((F.col("_rank") <= n) & (F.col("_rank") <= cap))
+        return kept.select(*df.columns)
+    last = stored(last_places(df, group, order, cap), "last-places")
+    joined = df.withColumn("_tie", _tie(df)).alias("d").join(last.alias("l"), _same(group, "d", "l"), "left")
+    place = F.struct(*[F.col(f"d.{c}") for c in [*order, "_tie"]])
+    inside = joined.filter(F.col("l._last").isNull() | (place < F.col("l._last"))).select("d.*")
+    # equal rows at the last place: as many of them as are missing, whichever
+    ends = df.withColumn("_tie", _tie(df)).alias("d").join(last.alias("l"), _same(group, "d", "l"))
+    ends = ends.filter(place == F.col("l._last")).select("d.*", "l._left")
+    columns = [c for c in df.columns if c not in group]
+    equal = ends.groupBy(*group, "_tie").agg(
+        F.any_value(F.struct(*columns)).alias("_row"), F.any_value("_left").alias("_left")
+    )
+    copies = equal.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_left"))))
+    return inside.select(*df.columns).unionByName(copies.select(*group, "_row.*").select(*df.columns))
 
 
-def last_places(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """The ``n``-th place of every group that has more rows: the group columns and the
-    order columns as the struct ``_last``."""
+def last_places(df: DataFrame, group: Sequence[str], order: Sequence[str], cap: Column | int) -> DataFrame:
+    """The place at which every group of more rows reaches the cap: the group columns, the
+    order columns and the row's hash as the struct ``_last``, and ``_left``, the number of
+    rows there that are still inside."""
+    cap = cap if isinstance(cap, Column) else F.lit(cap)
+    by = [*order, "_tie"]
     places = stored(
-        df.select(*group, *order)
-        .repartitionByRange(*group, *order)
+        # counted first, so equal rows are one, however many
+        df.select(*group, *order, _tie(df).alias("_tie"))
+        .groupBy(*group, *by).agg(F.count(F.lit(1)).alias("_n"))
+        .repartitionByRange(*group, *by)
         .withColumn("_range", F.spark_partition_id()),
         "places",
     )
-    sizes = places.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = places.groupBy(*group, "_range").agg(F.sum("_n").alias("_size"))
     # one row per range that the group touches
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     border = (
         sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .filter((F.col("_before") < n) & (F.col("_before") + F.col("_size") >= n))
+        .filter((F.col("_before") < cap) & (F.col("_before") + F.col("_size") >= cap))
         .select(*group, "_range", "_before")
     )
     inside = places.alias("p").join(border.alias("b"), _same([*group, "_range"], "p", "b"))
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    so_far = F.sum("_n").over(Window.partitionBy(*group).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))
     return (
         inside.select("p.*", "b._before")
-        .withColumn("_rank", F.col("_before") + rank)
-        .filter(F.col("_rank") == n)
-        .select(*group, F.struct(*order).alias("_last"))
+        .withColumn("_rank", F.col("_before") + so_far)
+        .filter((F.col("_rank") >= cap) & (F.col("_rank") - F.col("_n") < cap))
+        .select(*group, F.struct(*by).alias("_last"), (cap - F.col("_rank") + F.col("_n")).cast("long").alias("_left"))
     )
 
 
@@ -84,27 +112,62 @@ def cap_per_term(
     record: str = "recid",
     order: Sequence[str] = ("page", "pos"),
 ) -> DataFrame:
-    """Walk the terms in rank order and take up to ``n`` records under each that no
-    earlier term took.
+    """Walk the terms in rank order and take up to ``n`` hits under each, of records that
+    no earlier term took.
 
     A record beyond the cap of one term may still enter under a later one, so this is
-    not a plain rank. There is one round per term, over the hits of that term only: those
-    taken before are left out by an anti join, the rest is capped. The ranks are those in
-    the hits, with whatever gaps they have; hits without a rank come first.
+    not a plain rank. But the terms before take no more than ``n`` records each, so under
+    the term at place ``t`` (from 0) only the first ``n * (t + 1)`` records of a source
+    can matter. The hits of others are left out by one cap; what remains is walked source
+    by source in sorted rows, holding no more than the ids taken so far. The number of
+    jobs does not grow with the terms. The ranks are those in the hits, with whatever gaps
+    they have; hits without a rank come first.
     """
-    slim = stored(hits.select(source, record, "term_rank", *order), "hits")
-    ranks = [r[0] for r in slim.select("term_rank").distinct().collect()]  # search terms
-    taken: list[DataFrame] = []
-    for rank in sorted(ranks, key=lambda r: (r is not None, r)):
-        under = slim.filter(F.col("term_rank").eqNullSafe(F.lit(rank)))
-        if taken:
-            gone = reduce(DataFrame.unionByName, taken).select(source, record)
-            under = under.alias("u").join(
-                gone.alias("g"), _same([source, record], "u", "g"), "left_anti"
-            )
-        taken.append(stored(cap_per_group(under, [source], list(order), n), "taken"))
-    if not taken:
+    hits_ = stored(hits.withColumn("_tie", _tie(hits)), "hits")
+    ranks = [r[0] for r in hits_.select("term_rank").distinct().collect()]  # search terms
+    if not ranks:
         return hits.limit(0)
-    chosen = reduce(DataFrame.unionByName, taken).select(source, record, "term_rank")
-    same = _same([source, record, "term_rank"], "h", "c")
-    return hits.alias("h").join(chosen.alias("c"), same, "left_semi")
+    ranked = F.array(*[F.lit(r) for r in sorted(r for r in ranks if r is not None)])
+    place = F.array_position(ranked.cast(f"array<{dict(hits.dtypes)['term_rank']}>"), F.col("term_rank"))
+    at = F.coalesce(place - int(None not in ranks), F.lit(0)).cast("int")
+    placed = hits_.withColumn("_at", at)
+    first = placed.groupBy(source, record, "_at").agg(F.min(F.struct(*order)).alias("_place"))
+    records = first.select(source, record, "_at", "_place.*")
+    matter = stored(
+        cap_per_group(records, [source, "_at"], list(order), n * len(ranks), F.lit(n) * (F.col("_at") + 1)),
+        "records",
+    )
+    rows = (
+        placed.alias("h").join(matter.alias("m"), _same([source, record, "_at"], "h", "m"), "left_semi")
+        .repartition(source).sortWithinPartitions(source, "_at", *order, "_tie")
+    )
+    names = placed.columns
+    walk = _walk(n, *[names.index(c) for c in (source, record, "_at")])
+    return rows.select(*names).mapInArrow(walk, placed.schema).select(*hits.columns)
+
+
+def _walk(
+    n: int, source: int, record: int, at: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows in order to those that are taken; the columns are given by their places. A
+    source is walked from its first to its last row; the ids taken, ``n`` per term, are
+    all that is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, taken, fresh, room = None, set(), set(), 0
+        for batch in batches:
+            keep = []
+            for now in zip(*(batch.column(c).to_pylist() for c in (source, at, record))):
+                if here is None or here[0] != now[0]:
+                    here, taken, fresh, room = now[:2], set(), set(), n
+                elif here != now[:2]:
+                    here, room = now[:2], n
+                    taken |= fresh
+                    fresh = set()
+                keep.append(room > 0 and now[2] not in taken)
+                if keep[-1]:
+                    fresh.add(now[2])
+                    room -= 1
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run

@@ -136,6 +136,35 @@ def test_cap_per_group_both_ways(spark, monkeypatch, limit):
     assert got == want
 
 
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_caps_hold_among_ties(spark, monkeypatch, limit):
+    """Ten rows to a place, and equal rows: exactly n rows stay, the same on both ways."""
+    rows = [(g, i // 10, i % 4) for g in ("a", "b") for i in range(60)] + [("c", 1, 1)] * 30 + [(None, None, None)] * 5
+    df = spark.createDataFrame(rows, "g string, place int, v int")
+    for n in (1, 9, 13, 25):
+        monkeypatch.setattr(limits, "GROUP_LIMIT", 1000)
+        plain = sorted(limits.cap_per_group(df, ["g"], ["place"], n).collect(), key=str)
+        monkeypatch.setattr(limits, "GROUP_LIMIT", limit)
+        got = limits.cap_per_group(df, ["g"], ["place"], n).collect()
+        assert sorted(got, key=str) == plain
+        for g, size in (("a", 60), ("b", 60), ("c", 30), (None, 5)):
+            mine = [r.place for r in got if r.g == g]
+            assert len(mine) == min(n, size)
+            assert sorted(map(str, mine)) == sorted(str(r[1]) for r in [r for r in rows if r[0] == g][:n])
+
+
+def test_jobs_do_not_grow_with_terms(spark):
+    jobs = []
+    for terms in (5, 145):
+        rows = [("s", f"r{i % 60}", i % terms, i, 0) for i in range(300)]
+        df = spark.createDataFrame(rows, HITS.replace(", ok boolean", ""))
+        spark.sparkContext.setJobGroup(f"terms-{terms}", "")
+        limits.cap_per_term(df, 2).collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"terms-{terms}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] > 0 and jobs[1] <= jobs[0] + 1
+
+
 def test_fresh_file_urls(spark):
     rows = [
         ("r1", 0, [("u1",), ("u1",), ("u2",)]),

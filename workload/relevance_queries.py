@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators import dedupe, limits
@@ -272,6 +275,31 @@ def cap_per_source_large(spark, sf):
     return limits.cap_per_source(_lines(spark, sf), 1500).drop("pos")
 
 
+@query(
+    "cap_ties",
+    """SELECT l_returnflag AS context_repository, n::INT AS n, count(*)::BIGINT AS n_kept,
+              max(l_quantity)::DOUBLE AS last_place
+       FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) AS rn FROM lineitem),
+            (VALUES (999), (1000), (1001), (1005), (50000)) AS t(n)
+       WHERE rn <= n GROUP BY 1, 2""",
+)
+def cap_ties(spark, sf):
+    """Every place is that of many rows, whole rows are there twice: the cap holds to the
+    row on both sides of the size up to which Spark cuts before the shuffle."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("context_repository"),
+        F.col("l_quantity").cast("double").alias("place"),
+        (F.col("l_orderkey") % 50).alias("recid"),
+    )
+    kept = [
+        limits.cap_per_group(lines, ["context_repository"], ["place"], n).withColumn("n", F.lit(n))
+        for n in (999, 1000, 1001, 1005, 50000)
+    ]
+    return reduce(DataFrame.unionByName, kept).groupBy("context_repository", "n").agg(
+        F.count(F.lit(1)).alias("n_kept"), F.max("place").alias("last_place")
+    )
+
+
 def _sql_walk_large(n: int) -> str:
     """The rounds of the walk, written out for the ranks in the lines."""
     steps = [f"hits AS ({_SQL_LINES} UNION ALL SELECT context_repository, recid, 35, page, pos FROM ({_SQL_LINES}) WHERE term_rank < 14)"]
