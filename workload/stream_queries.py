@@ -16,7 +16,9 @@ from shelfmark.streaming import (
     live_counts,
     merge_log,
     read_stream,
+    seen_rows,
     telemetry_query,
+    update_seen,
 )
 from workload.base import query, table
 
@@ -130,6 +132,27 @@ def stream_upsert_late(spark, sf):
     return _with_children(snapshots.read(spark, root))
 
 
+@query(
+    "stream_seen",
+    """SELECT user_id, event_id, event_type, value FROM (
+           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
+       WHERE rn = 1""",
+)
+def stream_seen(spark, sf):
+    """The first event of every user as the state of a stream. Most events land late; the
+    second run takes in what has landed since the first one only."""
+    events = table(spark, sf, "events")
+    landing, state = shared_folder(spark, "landed"), shared_folder(spark, "seen")
+    week = F.pmod(F.weekofyear("ts"), F.lit(3))
+    for parts in ((2,), (1, 0)):
+        for part in parts:
+            events.filter(week == part).write.mode("append").parquet(landing)
+        stream = read_stream(spark, landing, events.schema, files_per_trigger=1)
+        update_seen(stream, ["user_id"], ["ts", "event_id"], state).awaitTermination()
+    first = seen_rows(spark, events.schema, ["user_id"], state)
+    return first.select("user_id", "event_id", "event_type", "value")
+
+
 @query(
     "stream_telemetry",
     """SELECT event_type, count(*)::BIGINT AS n, sum((props::JSON->>'$.k')::BIGINT)::BIGINT AS total
