@@ -12,6 +12,9 @@ Batches are formed inside a task from its own stream of documents, so nothing is
 shuffled, memory is that of one batch, and a lost task is run again on its own. The
 last batch of a task is smaller; its last window may hold more padding.
 
+Strings that the vocabulary lists as added tokens have ids of their own wherever they
+stand in a text, as its tokenizer has it; ``added={}`` makes them ordinary text.
+
 Defined cases: a null text is empty and becomes the end id alone. Rows with equal or
 null ``doc_id`` are packed each on their own. Extra columns are not looked at.
 """
@@ -20,8 +23,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -56,9 +61,14 @@ class Tokens(dict):
     come again and again; their ids are remembered, up to ``memo`` of them.
     """
 
-    def __init__(self, ranks: str, pattern: str, memo: int = MEMO):
+    def __init__(self, ranks: str, pattern: str, memo: int = MEMO, added: Mapping[str, int] | None = None):
         import tiktoken
 
+        self._added = {t: np.array([i], "<u4").tobytes() for t, i in (added or {}).items()}
+        # of tokens that begin alike the longer one
+        tokens = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(tokens)})") if tokens else None
+
         with open(ranks, "rb") as lines:
             known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self._encode = tiktoken.Encoding(
@@ -76,6 +86,12 @@ class Tokens(dict):
         return np.array(self._encode(text), "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
+        if self._cut and any(t in text for t in self._added):
+            parts = [p for p in self._cut.split(text) if p]
+            return b"".join(self._added.get(p) or self._plain(p) for p in parts)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if "  " in text or any(b + " " in text for b in _BLANKS if b in text):
             return self._whole(text)
         first, *rest = text.split(" ")
@@ -84,6 +100,12 @@ class Tokens(dict):
         return self._whole(first) + b"".join(map(self.__getitem__, rest))
 
 
+def added_tokens(vocabulary: str) -> dict[str, int]:
+    """The added tokens that a vocabulary file of ``tokenizers`` lists."""
+    with open(vocabulary, encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
     """Deal items to windows by multiway differencing; returns item numbers."""
     heap = []
@@ -137,16 +159,22 @@ def pack(
     piece: int = PIECE,
     end: int = END,
     batch: int = BATCH,
+    added: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """One row per piece of a document (``SCHEMA``): where it lies in its document and
     in its sequence. ``ranks`` is a file of byte ranks, ``pattern`` what splits a text
-    before merges; by default those of the public byte-level vocabulary."""
+    before merges, ``added`` the ids of added tokens; by default those of the public
+    byte-level vocabulary."""
+    if added is None:
+        import public_tokenizers
+
+        added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers as public
 
         tokens = Tokens(
-            ranks or public.path("byte_bpe_50k.tiktoken"), pattern or public.PATTERN
+            ranks or public.path("byte_bpe_50k.tiktoken"), pattern or public.PATTERN, added=added
         )
         last = np.array([end], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 32

@@ -228,16 +228,15 @@ def tokenizer():
     import public_tokenizers as public
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public.path("byte_bpe_50k.json"))
 
 
 @pytest.fixture(scope="module")
 def tokens():
     import public_tokenizers as public
 
-    return packing.Tokens(public.path("byte_bpe_50k.tiktoken"), public.PATTERN, memo=50)
+    added = packing.added_tokens(public.path("byte_bpe_50k.json"))
+    return packing.Tokens(public.path("byte_bpe_50k.tiktoken"), public.PATTERN, memo=50, added=added)
 
 
 @settings(max_examples=300, deadline=None)
@@ -247,6 +246,14 @@ def test_ids_are_those_of_the_tokenizer(tokenizer, tokens, text):
     assert np.frombuffer(tokens.ids(text), "<u4").tolist() == want
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "a", "\n", "x.", "<|"]), max_size=8))
+def test_added_tokens_keep_their_ids(tokenizer, tokens, parts):
+    text = "".join(parts)
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(tokens.ids(text), "<u4").tolist() == want
+
+
 def check_packed(rows, docs, tokenizer, fill=0.0):
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -276,6 +283,7 @@ def test_packing_query(spark, tokenizer):
 
 def test_packing_awkward(spark, tokenizer):
     docs = {i: t for i, t in AWKWARD if i not in (None, 11)}
+    docs[30] = "a <|endoftext|> b<|endoftext|><|endoftext|>"
     rows = packing.pack(frame(spark, AWKWARD)).collect()
     check_packed(rows, {}, tokenizer)
     ids = {(r.doc_id, r.start) for r in rows}
