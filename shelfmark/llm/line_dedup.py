@@ -171,11 +171,12 @@ def drop_shared_lines(
 ) -> DataFrame:
     """``doc_id, text, n_lines, n_dropped, kept_sha256`` for every row of ``documents``;
     ``text`` is what is left of it. Columns named in ``carry`` follow unchanged."""
+    # a set, so rows of one id need no distinct on the hash, which would keep the join
+    # above from being split
     lost = (
         shared_lines(documents, min_chars, bits)
-        .distinct()
         .groupBy("doc_id")
-        .agg(F.collect_list("hash").alias("lost"))
+        .agg(F.collect_set("hash").alias("lost"))
     )
     rows = documents.select("doc_id", "text", *carry).join(lost, "doc_id", "left")
     schema = "doc_id long, text string, n_lines long, n_dropped long, kept_sha256 string"
