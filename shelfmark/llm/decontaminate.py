@@ -15,8 +15,14 @@ is broadcast; a larger benchmark is gone through block by block. Documents are r
 where they lie, nothing of them is shuffled. Texts longer than ``SLICE`` characters are
 searched in overlapping slices.
 
-Defined cases: a null or empty text holds no item. An item with fewer than ``q`` folded
-characters has no q-gram and is not searched; where ``RATE`` asks for more edits than
+Items with fewer than ``q`` folded characters have no q-gram. They are found where their
+folded words stand one after another, letter by letter.
+
+Shared q-grams are expanded to bands in runs of bounded size, counted first and kept
+after, so frequent words cost time and no memory.
+
+Defined cases: a null or empty text holds no item, and an item without letters and digits
+is nowhere; where ``RATE`` asks for more edits than
 the lemma can bear, the budget is the most it can. Items with equal folded texts are all
 reported. Rows that repeat a ``doc_id`` are each reported. Extra columns are not looked
 at.
@@ -24,6 +30,7 @@ at.
 
 from __future__ import annotations
 
+import re
 import sys
 from dataclasses import dataclass
 
@@ -41,6 +48,7 @@ SLICE = 1 << 20
 _BITS = 20
 _LOW = np.uint32((1 << _BITS) - 1)
 _SPREAD = 1 << 20
+_RUN = 1 << 21  # shared q-grams expanded at once
 
 SCHEMA = "doc_id long, item_id long, start long, end long, edits int, item_chars int"
 
@@ -71,6 +79,8 @@ class Index:
     item: np.ndarray
     position: np.ndarray
     q: int
+    short: dict[str, int]  # the number of each text without a q-gram
+    words: list[int]  # how many words such texts have
 
 
 def edit_budget(n: int, q: int, rate: float) -> int:
@@ -82,7 +92,7 @@ def build_index(items: list[tuple[int, str]], q: int = Q, rate: float = RATE) ->
     by_text: dict[bytes, list[int]] = {}
     for item_id, text in items:
         codes, _ = fold(text or "")
-        if len(codes) >= q:
+        if len(codes):
             by_text.setdefault(codes.tobytes(), []).append(item_id)
     if not by_text:
         return None
@@ -94,10 +104,12 @@ def build_index(items: list[tuple[int, str]], q: int = Q, rate: float = RATE) ->
     low = hashes & _LOW
     order = np.argsort(low, kind="stable")
     first = np.searchsorted(low[order], np.arange((1 << _BITS) + 1)).astype(np.int32)
+    short = {t.tobytes().decode("utf-32-le"): i for i, t in enumerate(texts) if len(t) < q}
     budget = np.array([edit_budget(len(t), q, rate) for t in texts])
     needed = np.array([len(t) for t in texts]) - q + 1 - q * budget
     return Index(list(by_text.values()), texts, budget, needed, first,
-                 hashes[order], item[order], position[order], q)
+                 hashes[order], item[order], position[order], q, short,
+                 sorted({t.count(" ") + 1 for t in short}))
 
 
 def banded_distances(
@@ -151,26 +163,59 @@ def _bands(codes: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
     if not len(at):
         return none, none
     left, size = left[at], size[at]
-    ends = np.cumsum(size)
-    rows = np.repeat(left - (ends - size), size) + np.arange(ends[-1])
-    at = np.repeat(at, size)
-    same = index.hashes[rows] == hashed[at]
-    rows, at = rows[same], at[same]
-    item = index.item[rows]
-    band = (at - index.position[rows]) // (index.budget[item] + 1)
+    def expanded():
+        """Items and bands of the shared q-grams, some ``_RUN`` at a time."""
+        run = (np.cumsum(size) - size) // _RUN
+        for k in range(int(run[-1]) + 1):
+            part = slice(*np.searchsorted(run, [k, k + 1]))
+            ends = np.cumsum(size[part])
+            if not len(ends):
+                continue
+            rows = np.repeat(left[part] - (ends - size[part]), size[part]) + np.arange(ends[-1])
+            here = np.repeat(at[part], size[part])
+            same = index.hashes[rows] == hashed[here]
+            rows, here = rows[same], here[same]
+            item = index.item[rows]
+            band = (here - index.position[rows]) // (index.budget[item] + 1)
+            # a gram counts for its band and for the one before, which overlaps
+            yield np.concatenate([item, item]), np.concatenate([band, band - 1])
+
+    def mixed(item, band):
+        return ((item * 0x9E3779B1 + band) * 0x85EBCA6B) & (_SPREAD - 1)
+
     # most bands hold a few grams only: drop them by a count over mixed keys
-    spread = ((item * 0x9E3779B1 + band) * 0x85EBCA6B) & (_SPREAD - 1)
-    near = ((item * 0x9E3779B1 + band - 1) * 0x85EBCA6B) & (_SPREAD - 1)
-    counts = np.bincount(spread, minlength=_SPREAD) + np.bincount(near, minlength=_SPREAD)
-    out = []
-    for b, key in ((band, spread), (band - 1, near)):
-        full = counts[key] >= index.needed[item]
-        out.append(np.stack([item[full], b[full]], axis=1))
-    keys, counts = np.unique(np.concatenate(out), axis=0, return_counts=True)
-    kept = counts >= index.needed[keys[:, 0]]
+    counts = np.zeros(_SPREAD, np.int64)
+    runs = expanded()
+    if size.sum() <= _RUN:
+        runs = list(runs)
+    for item, band in runs:
+        counts += np.bincount(mixed(item, band), minlength=_SPREAD)
+    keys, times = [np.empty((0, 2), np.int64)], [none]
+    for item, band in runs if isinstance(runs, list) else expanded():
+        full = counts[mixed(item, band)] >= index.needed[item]
+        key, n = np.unique(np.stack([item[full], band[full]], axis=1), axis=0, return_counts=True)
+        keys.append(key)
+        times.append(n)
+    # a band may lie in several runs
+    keys, inverse = np.unique(np.concatenate(keys), axis=0, return_inverse=True)
+    sums = np.bincount(inverse.reshape(-1), weights=np.concatenate(times), minlength=len(keys))
+    kept = sums >= index.needed[keys[:, 0]]
     return keys[kept, 0], keys[kept, 1]
 
 
+def _short_items(codes: np.ndarray, index: Index) -> dict[int, tuple[int, int]]:
+    """The first place of every item without a q-gram in a folded text."""
+    text = codes.astype(np.uint32).tobytes().decode("utf-32-le")
+    spans = [m.span() for m in re.finditer("[^ ]+", text)]
+    found: dict[int, tuple[int, int]] = {}
+    for n in index.words:
+        for first, last in zip(spans, spans[n - 1 :]):
+            item = index.short.get(text[first[0] : last[1]])
+            if item is not None:
+                found.setdefault(item, (first[0], last[1]))
+    return found
+
+
 def find_items(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int]]:
     """``text number, item, start, end, edits`` of the best region of each item in
     each text."""
@@ -199,6 +244,10 @@ def find_items(texts: list[str], index: Index) -> list[tuple[int, int, int, int,
                     if (text, i) not in best or (d, base + end) < best[text, i][:2]:
                         best[text, i] = (d, base + end, _begins(item, part, end, d) + base)
     out = []
+    if index.short:
+        for text, (codes, where) in enumerate(found):
+            for i, (begin, end) in sorted(_short_items(codes, index).items()):
+                out.append((text, i, int(where[begin]), int(where[end - 1]) + 1, 0))
     for (text, i), (edits, end, begin) in sorted(best.items()):
         where = found[text][1]
         begin, end = begin - offsets[text], min(end - offsets[text], len(where))

@@ -221,6 +221,32 @@ def test_range_numbers(spark):
     assert deal([(5, "a"), (4, "b"), (3, "c"), (3, "d")], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
 
 
+def test_short_items_are_found(spark):
+    """Items without a q-gram are found word by word; longer ones beside them as before."""
+    bench = spark.createDataFrame(
+        [(1, "cat"), (2, "A b"), (3, "...") , (4, "x" * 30), (5, None), (6, "Été"), (7, "CAT!")], "item_id long, text string"
+    )
+    docs = [
+        (1, "the cat, sat"), (2, "concatenate a bc"), (3, "cat"), (4, "so: a (b) c " + "x" * 30), (5, None), (6, "l'été, CAT"),
+    ]
+    got = decontaminate.leaked_items(frame(spark, docs), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (1, 7), (3, 1), (3, 7), (4, 2), (4, 4), (6, 1), (6, 6), (6, 7)]
+    texts = dict(docs)
+    assert {texts[r.doc_id][r.start : r.end] for r in got} == {"cat", "a (b", "x" * 30, "été", "CAT"}
+
+
+def test_frequent_grams_in_runs(monkeypatch):
+    """Bands are the same whether their grams are expanded in one run or in many."""
+    rng = random.Random(4)
+    words = ["common", "words", "again", "and"]
+    items = [(i, " ".join(rng.choices(words, k=40))) for i in range(30)]
+    index = decontaminate.build_index(items)
+    text = " ".join(rng.choices(words, k=300)) + " " + items[3][1]
+    whole = decontaminate.find_items([text], index)
+    monkeypatch.setattr(decontaminate, "_RUN", 500)
+    assert decontaminate.find_items([text], index) == whole and any(i == 3 for _, i, *_ in whole)
+
+
 # packing
 
 @pytest.fixture(scope="module")
