@@ -16,6 +16,7 @@ from shelfmark.functions.text import null_if_blank
 from shelfmark.operators.copies import copy_groups
 from shelfmark.operators.dedupe import best_versions
 from shelfmark.operators.joins import drop_orphans, ghost_folders, orphans
+from shelfmark.operators.language import LanguageModel, fill_language_by_model
 from shelfmark.operators.quality import (
     LINK_FILE,
     STOP_WORDS,
@@ -121,14 +122,20 @@ def clean(
     folders: DataFrame | None = None,
     aggregators: Sequence[str] = AGGREGATORS,
     stop_words: Mapping[str, Sequence[str]] = STOP_WORDS,
+    model: LanguageModel | None = None,
 ) -> Cleaned:
-    """Best copies with their children, missing descriptions and languages filled, link
-    files and file types repaired. Orphans and, given the listed ``folders``, ghost
+    """Best copies with their children, missing descriptions and languages filled (by a
+    fitted ``model`` where one is given, else by stop words), link files and file types
+    repaired. Orphans and, given the listed ``folders``, ghost
     folders are reported as the snapshot had them."""
     best = stored(best_copies(tables.projects, aggregators), "best")
     kept = tables.projects.join(best.select("id"), "id", "left_semi")
     described = _described(kept, tables.keywords)
-    filled = fill_language(described, stop_words=stop_words).select(*tables.projects.columns)
+    if model is None:
+        filled = fill_language(described, stop_words=stop_words)
+    else:
+        filled = fill_language_by_model(described, model)
+    filled = filled.select(*tables.projects.columns)
     lost = [
         orphans(rows, tables.projects).select(F.lit(name).alias("table_name"), "project_id", "n")
         for name, rows in tables._asdict().items() if name != "projects"

@@ -10,6 +10,7 @@ from workload import (  # noqa: F401  (each module registers its queries)
     field_queries,
     harvest_queries,
     integrity_queries,
+    language_queries,
     link_queries,
     quality_queries,
     record_queries,
