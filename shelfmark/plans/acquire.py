@@ -15,7 +15,9 @@ from shelfmark.operators.filters import passes, with_files
 from shelfmark.operators.limits import cap_per_source, cap_per_term
 from shelfmark.operators.relevance import score_records
 from shelfmark.sources.landing import Harvest
+from shelfmark.sources.zenodo import recent_open
 from shelfmark.taxonomy import (
+    BROAD_TERMS,
     DATAVERSE_HOSTS,
     PHRASE_WEIGHTS,
     RELEVANCE_THRESHOLD,
@@ -181,6 +183,39 @@ def terms_for(
     return search_terms(strict, broad, MIN_WORDS.get(source, 1))
 
 
+@dataclass(frozen=True)
+class Search:
+    """What a run asks the sources for.
+
+    ``strict`` and ``broad``: the terms, of which every source takes what suits it;
+    ``query``: a query of the user instead, alternatives with `` OR `` between them;
+    ``run_date``: the day of the run (ISO), which sources that are asked for new records
+    only count their ``days`` back from; without it all dates count.
+    """
+
+    strict: Sequence[str] = tuple(STRICT_TERMS)
+    broad: Sequence[str] = tuple(BROAD_TERMS)
+    query: str | None = None
+    run_date: str | None = None
+    days: int = 30
+
+
+#: Sources that are asked for open records of the last days.
+RECENT: dict[str, Callable[[Harvest, str, int], Harvest]] = {"zenodo": recent_open}
+
+
+def searched(harvest: Harvest, source: str, search: Search) -> Harvest:
+    """What ``search`` would have brought of a harvest that holds more: the hits of its
+    terms, and the records of its days. A term that is quoted is the same term."""
+    terms = terms_for(source, search.strict, search.broad, search.query)
+    if terms is not None:
+        asked = clean_term(F.col("term")).isin([t.strip('"') for t in terms])
+        harvest = harvest._replace(hits=harvest.hits.filter(asked))
+    if search.run_date and source in RECENT:
+        harvest = RECENT[source](harvest, search.run_date, search.days)
+    return harvest
+
+
 def search_terms(strict: Sequence[str], broad: Sequence[str], min_words: int = 1) -> list[str]:
     """The union of two term lists without repetitions, in order; ``min_words``
     keeps the longer phrases only, for repositories that match loosely."""

@@ -7,11 +7,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.plans.acquire import accept, policy_for
+from shelfmark.plans.acquire import Search, accept, policy_for, searched
 from shelfmark.plans.tables import (
     Arrivals,
     Tables,
     arrivals,
+    assign_ids,
     mark_newest,
     merge_folded,
     read_tables,
@@ -30,12 +31,16 @@ def acquire(
     max_records: int | None = None,
     user_query: bool = False,
     format: str = "parquet",
+    search: Search | None = None,
 ) -> DataFrame:
-    """Accepted records of all sources; ``landing`` has one folder per source."""
+    """Accepted records of all sources; ``landing`` has one folder per source. With a
+    ``search`` only what it asks a source for counts, of all that has landed."""
     accepted = []
     for source in sources:
-        policy = policy_for(source, user_query)
+        policy = policy_for(source, user_query or bool(search and search.query))
         harvest = read_source(spark, source, f"{landing}/{source}", format)
+        if search:
+            harvest = searched(harvest, source, search)
         accepted.append(accept(harvest, policy, max_records, store=stored))
     return reduce(DataFrame.unionByName, accepted)
 
@@ -47,7 +52,8 @@ def merge_into(current: Tables, arrived: Arrivals, folder: str) -> None:
     lack a required column go to ``quarantine``, those of children as well.
     """
     folded, rejected = split_batch(arrived)
-    folded = stored(mark_newest(current.projects, folded))
+    marked = stored(mark_newest(current.projects, folded))
+    folded = stored(assign_ids(current.projects, marked, stored))
     rejected.write.mode("append").parquet(f"{folder}/quarantine/projects")
     for name, rows in rejected_children(folded, arrived).items():
         rows.write.mode("append").parquet(f"{folder}/quarantine/{name}")

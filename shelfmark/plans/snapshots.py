@@ -14,7 +14,7 @@ batch that is offered again is not merged again.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
@@ -22,12 +22,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.plans.tables import (
+    ID_BITS,
     SCHEMAS,
     Arrivals,
     Tables,
+    assign_ids,
+    id_choice,
     mark_newest,
     merge_folded,
-    project_id,
     rejected_children,
     split_batch,
 )
@@ -51,7 +53,10 @@ def bucket_of(id_: Column, buckets: int) -> Column:
 
 def create(spark: SparkSession, root: str, buckets: int = BUCKETS) -> Version:
     """An empty version 0. At scale choose the buckets so that one holds some hundred
-    megabytes: too few are rewritten for little, too many are small files."""
+    megabytes: too few are rewritten for little, too many are small files. Their number
+    is a power of two, so a bucket is some low bits of an id."""
+    if buckets < 1 or buckets & (buckets - 1) or buckets > 1 << ID_BITS:
+        raise ValueError(f"buckets must be a power of two up to {1 << ID_BITS}")
     _commit(spark, root, Version(0, buckets), [], [])
     return Version(0, buckets)
 
@@ -114,21 +119,31 @@ def _write(df: DataFrame, root: str, table: str, buckets: int, write: str) -> li
     return [(table, r.bucket, write, r.n) for r in counts.collect()]
 
 
-def merge_batch(spark: SparkSession, root: str, arrived: Arrivals, batch: str) -> Version:
+def merge_batch(
+    spark: SparkSession,
+    root: str,
+    arrived: Arrivals,
+    batch: str,
+    choose_id: Callable[[Column, Column, int], Column] = id_choice,
+) -> Version:
     """Merge a named batch of arrivals into the last version and commit the next one.
-    A batch merged before changes nothing. Rejected rows go to ``root/quarantine``."""
+    A batch merged before changes nothing. Rejected rows go to ``root/quarantine``.
+
+    Projects whose hashes are equal get different ids. All choices of an id lie in one
+    bucket, so the ids in use that matter are those of the touched buckets."""
     version = latest(spark, root)
     if not _batches(spark, root, version).where(F.col("batch") == batch).isEmpty():
         return version
     manifest = _manifest(spark, root, version)
     folded, rejected = split_batch(arrived)
     folded = stored(folded, "folded")
-    id_ = project_id(F.col("project_url"), F.col("version"))
+    id_ = choose_id(F.col("project_url"), F.col("version"), 0)
     touched = {r[0] for r in folded.select(bucket_of(id_, version.buckets)).distinct().collect()}
     current = Tables(*[
         _load(spark, root, name, [row for row in manifest if row[1] in touched]) for name in Tables._fields
     ])
-    folded = stored(mark_newest(current.projects, folded), "folded")
+    marked = stored(mark_newest(current.projects, folded), "folded")
+    folded = stored(assign_ids(current.projects, marked, stored, choose_id), "folded")
     write = uuid.uuid4().hex
     bad = {"projects": rejected, **rejected_children(folded.where("newest"), arrived)}
     merged = merge_folded(current, folded, arrived)

@@ -64,6 +64,28 @@ def project_id(url: Column, version: Column) -> Column:
     return F.xxhash64(url, F.coalesce(version, F.lit("")))
 
 
+#: The low bits of an id, which no other choice of it changes.
+ID_BITS = 16
+
+
+def id_choice(url: Column, version: Column, attempt: int) -> Column:
+    """The id a project asks for: its hash, and where that belongs to another project,
+    a further hash with the same low bits, so the project stays in its bucket."""
+    first = project_id(url, version)
+    if not attempt:
+        return first
+    low = (1 << ID_BITS) - 1
+    again = F.xxhash64(url, F.coalesce(version, F.lit("")), F.lit(attempt))
+    return again.bitwiseAND(F.lit(~low)).bitwiseOR(first.bitwiseAND(F.lit(low)))
+
+
+def own_id(projects: DataFrame) -> Column:
+    """The id of folded projects: that in the table or the one given by
+    :func:`assign_ids`, else the hash."""
+    hashed = project_id(F.col("project_url"), F.col("version"))
+    return F.coalesce("id", hashed) if "id" in projects.columns else hashed
+
+
 ARRIVAL_KEY = [*PROJECT_KEY, "seq"]
 _ARRIVED = ["project_url", "seq", "ingest_date"]
 _RECORD_KEY = ["context_repository", "project_identifier", "version"]
@@ -236,18 +258,54 @@ def upsert(current: DataFrame, folded: DataFrame) -> DataFrame:
         return F.when(from_batch, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}"))
 
     columns = [c for c in schemas.PROJECTS.names if c in placed.columns and c != "id"]
-    merged = joined.select(*[pick(c).alias(c) for c in columns])
-    return merged.withColumn("id", project_id(F.col("project_url"), F.col("version")))
+    # a project keeps the id it has
+    ids = [F.col(f"{side}.id") for side, df in (("t", current), ("b", folded)) if "id" in df.columns]
+    merged = joined.select(*[pick(c).alias(c) for c in columns], F.coalesce(*ids, F.lit(None).cast("long")).alias("id"))
+    return merged.withColumn("id", own_id(merged))
 
 
 def mark_newest(current: DataFrame, folded: DataFrame) -> DataFrame:
     """Folded projects with ``newest``: whether the table has no later arrival. Only
-    then do their children replace those of the table."""
-    known = current.select(*PROJECT_KEY, F.col("last_seq").alias("_known"))
+    then do their children replace those of the table. ``id`` is that of the table, null
+    for new projects."""
+    known = current.select(*PROJECT_KEY, "id", F.col("last_seq").alias("_known"))
     newest = F.coalesce(F.col("last_seq") >= F.col("_known"), F.lit(True))
     return folded.join(known, PROJECT_KEY, "left").withColumn("newest", newest).drop("_known")
 
 
+def assign_ids(
+    current: DataFrame,
+    marked: DataFrame,
+    store: Callable[[DataFrame], DataFrame],
+    choose: Callable[[Column, Column, int], Column] = id_choice,
+) -> DataFrame:
+    """Marked projects with an ``id`` that no other project has, in the table or the batch.
+
+    Two projects may have one hash. The one in the table keeps it; of several new ones the
+    first in the order of their keys takes it, and the others ask for their next choice,
+    until all have one. Every attempt is one anti join with the ids in use and one
+    aggregate, both over keys alone; almost always the first is the last.
+    """
+    key = [F.col(c) for c in PROJECT_KEY]
+    waiting = marked.where(F.col("id").isNull()).select(*PROJECT_KEY)
+    taken, given = current.select("id"), None
+    attempt = 0
+    while True:
+        asked = waiting.select(*PROJECT_KEY, choose(*key, attempt).alias("id"))
+        free = asked.join(taken, "id", "left_anti")
+        first = free.groupBy("id").agg(F.min(F.struct(*PROJECT_KEY)).alias("first"))
+        won = store(first.select("first.*", "id"))
+        given = won if given is None else given.unionByName(won)
+        waiting = store(waiting.join(won, PROJECT_KEY, "left_anti"))
+        if waiting.isEmpty():
+            break
+        taken = taken.unionByName(won.select("id"))
+        attempt += 1
+    new = given.withColumnRenamed("id", "_given")
+    joined = marked.join(new, PROJECT_KEY, "left")
+    return joined.withColumn("id", F.coalesce("id", "_given")).drop("_given")
+
+
 def replace_children(current: DataFrame, touched: DataFrame, fresh: DataFrame) -> DataFrame:
     """All children of the touched projects give way to the fresh ones."""
     ids = touched.select("project_id")
@@ -257,12 +315,11 @@ def replace_children(current: DataFrame, touched: DataFrame, fresh: DataFrame) -
 def child_rows(folded: DataFrame, arrived: Arrivals) -> dict[str, DataFrame]:
     """Children of the last arrival of every folded project; those of earlier
     arrivals and of rejected projects drop out."""
-    last = folded.select(*ARRIVAL_KEY)
+    last = folded.select(*ARRIVAL_KEY, own_id(folded).alias("project_id"))
     rows = {}
     for name in ("files", "keywords", "person_role"):
-        kept = _null_safe(getattr(arrived, name)).join(last, ARRIVAL_KEY, "left_semi")
-        ids = kept.withColumn("project_id", project_id(F.col("project_url"), F.col("version")))
-        rows[name] = _with_id(ids, name)
+        # folded projects are unique, so no child is met twice
+        rows[name] = _with_id(_null_safe(getattr(arrived, name)).join(last, ARRIVAL_KEY), name)
     return rows
 
 
@@ -311,7 +368,7 @@ def merge_folded(current: Tables, folded: DataFrame, arrived: Arrivals) -> Table
     if "newest" not in folded.columns:
         folded = mark_newest(current.projects, folded)
     newest = folded.where("newest")
-    touched = newest.select(project_id(F.col("project_url"), F.col("version")).alias("project_id"))
+    touched = newest.select(own_id(newest).alias("project_id"))
     children = {
         name: replace_children(getattr(current, name), touched, quarantine(rows, name)[0])
         for name, rows in child_rows(newest, arrived).items()

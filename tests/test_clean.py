@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
-from shelfmark.plans.acquire import terms_for
+from shelfmark.plans.acquire import Search, searched, terms_for
 from shelfmark.plans.clean import best_copies, clean, project_copies
 from shelfmark.plans.tables import Tables, empty_tables
 from shelfmark.schemas import conform
+from shelfmark.sources.landing import Harvest
 
 
 def projects(spark, *rows):
@@ -95,3 +96,26 @@ def test_clean(spark):
 )
 def test_terms_for_a_source(source, query, want):
     assert terms_for(source, ['"one two three"', "NVivo"], ["x", "NVivo"], query) == want
+
+
+def test_a_search_leaves_what_it_did_not_ask_for(spark):
+    hits = spark.createDataFrame(
+        [("1", '"one two three"'), ("2", "NVivo"), ("3", "x"), ("4", None)], "recid string, term string"
+    )
+    day = '{"created": "2024-05-%s", "metadata": {"access_right": "%s"}}'
+    records = spark.createDataFrame(
+        [("1", day % ("20", "open")), ("2", day % ("01", "open")), ("3", day % ("20", "closed")), ("4", None)],
+        "recid string, record_raw string",
+    )
+    whole = Harvest(hits, records)
+
+    def left(source, **options):
+        kept = searched(whole, source, Search(['"one two three"'], ["NVivo"], **options))
+        return [sorted(r.recid for r in df.collect()) for df in kept]
+
+    every = ["1", "2", "3", "4"]
+    assert left("zenodo") == [["1"], every]
+    assert left("zenodo", run_date="2024-06-01") == [["1"], ["1"]]
+    assert left("dryad", run_date="2024-06-01") == [["1", "2"], every]
+    assert left("cessda") == [every, every]
+    assert left("cessda", query="x OR NVivo") == [["2", "3"], every]

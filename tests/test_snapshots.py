@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
 from test_tables import arrival, batch
 
 from shelfmark.operators import joins
 from shelfmark.plans import snapshots
-from shelfmark.plans.tables import empty_tables, merge
+from shelfmark.plans.tables import empty_tables, id_choice, merge
 from shelfmark.session import shared_folder
 
 
@@ -90,3 +92,37 @@ def test_late_rejected_and_repeated_batches(spark):
     snapshots._write(snapshots.read(spark, root).projects, root, "projects", 16, "stray")
     assert content(snapshots.read(spark, root)) == want
     assert snapshots.latest(spark, root) == snapshots.Version(2, 16)
+
+
+def test_projects_of_one_hash_keep_their_own_children(spark):
+    """With ids of two bits at first, in one merge and in two, both give every project
+    its own id, and a project keeps its id when it arrives again."""
+
+    def crowded(url, version, attempt):
+        choice = id_choice(url, version, attempt)
+        return choice if attempt else choice.bitwiseAND(F.lit(3))
+
+    def children(root):
+        tables = snapshots.read(spark, root)
+        ids = {r.id: r.project_url for r in tables.projects.collect()}
+        assert len(ids) == tables.projects.count()
+        found = {}
+        for r in tables.files.collect():
+            found.setdefault(ids[r.project_id], set()).add(r.file_name)
+        return {url: i for i, url in ids.items()}, found
+
+    one = [arrival(f"p{i}", 1, f"t{i}", files=(f"{i}.txt", f"{i}.csv")) for i in range(12)]
+    two = [arrival(f"p{i}", 2, f"t{i}", files=(f"{i}.pdf",)) for i in range(8, 20)]
+    root = new_root(spark)
+    snapshots.merge_batch(spark, root, batch(spark, *one), "one", crowded)
+    before, found = children(root)
+    assert found == {f"p{i}": {f"{i}.txt", f"{i}.csv"} for i in range(12)}
+    snapshots.merge_batch(spark, root, batch(spark, *two), "two", crowded)
+    after, found = children(root)
+    assert {url: after[url] for url in before} == before
+    assert found == {f"p{i}": {f"{i}.txt", f"{i}.csv"} if i < 8 else {f"{i}.pdf"} for i in range(20)}
+
+
+def test_buckets_are_a_power_of_two(spark):
+    with pytest.raises(ValueError):
+        snapshots.create(spark, shared_folder(spark, "tables"), buckets=12)

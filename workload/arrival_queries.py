@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfmark.plans.tables import ARRIVAL_KEY, Arrivals, child_rows, fold, upsert
+from shelfmark.plans import snapshots
+from shelfmark.plans.tables import ARRIVAL_KEY, Arrivals, child_rows, fold, id_choice, upsert
+from shelfmark.session import shared_folder
 from workload.base import query, table
 
 _SPLIT = "2024-01-16"
@@ -86,3 +88,34 @@ def arrival_children(spark, sf):
     }
     parts = [df.select(F.lit(kind).alias("child"), "name") for kind, df in named.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _crowded(url, version, attempt):
+    """Ids of ten bits at the first attempt, so most projects meet another one's."""
+    choice = id_choice(url, version, attempt)
+    return choice if attempt else choice.bitwiseAND(F.lit(1023))
+
+
+@query(
+    "ids_of_equal_hash",
+    """WITH last AS (SELECT 'https://r/' || user_id::VARCHAR AS project_url, event_type AS version,
+                            max(event_id)::VARCHAR AS e FROM events GROUP BY 1, 2)
+       SELECT project_url, version, 't' || e || '.qdpx' AS file_name, 1::BIGINT AS n_projects FROM last""",
+)
+def ids_of_equal_hash(spark, sf):
+    """Two merges with a hash that many projects share: every file is still that of its
+    own project's last arrival, and no id stands for two projects."""
+    batch = arrived(spark, sf)
+    root = shared_folder(spark, "tables")
+    snapshots.create(spark, root, buckets=8)
+    late = F.col("seq") % 3 == 0
+    for name, part in (("first", ~late), ("second", late)):
+        rows = Arrivals(*[df.where(part) for df in batch])
+        snapshots.merge_batch(spark, root, rows, name, _crowded)
+    tables = snapshots.read(spark, root)
+    ids = tables.projects.groupBy("id").agg(F.count(F.lit(1)).alias("n_projects"))
+    named = tables.projects.select(F.col("id").alias("project_id"), "project_url", "version")
+    return (
+        tables.files.join(named, "project_id").join(ids.withColumnRenamed("id", "project_id"), "project_id")
+        .select("project_url", "version", "file_name", "n_projects")
+    )

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from shelfmark.operators.phrases import term_hits
-from shelfmark.plans.acquire import accept, accepted_per_source, policy_for
+from shelfmark.plans.acquire import Search, accept, accepted_per_source, policy_for, searched
 from shelfmark.plans.pipeline import stored
 from shelfmark.schemas import LANDING, conform
 from shelfmark.sources import READERS, archive_members
@@ -139,6 +139,22 @@ def read_zenodo_recent(spark, sf):
     return kept.select("recid", "query_string")
 
 
+@query(
+    "searched_zenodo",
+    f"""SELECT recid, min_by(term, term_rank) AS query_string
+        FROM {_HITS} WHERE score >= 10 AND doc_id % 3 = 1 AND term = 'MIT License' GROUP BY recid""",
+)
+def searched_zenodo(spark, sf):
+    """What a run of one day asks for: this source takes longer phrases only, here the
+    user's, and open records of the last days."""
+    harvest = READERS["zenodo"](zenodo_landing(spark, sf), "zenodo")
+    search = Search(query='"MIT License" OR no such term', run_date="2024-06-01")
+    kept = accept(
+        searched(harvest, "zenodo", search), policy_for("zenodo"), None, WEIGHTS, strict_terms=STRICT, store=stored
+    )
+    return kept.select("recid", "query_string")
+
+
 # --- Dryad --------------------------------------------------------------------
 
 
