@@ -186,12 +186,16 @@ def repeated_places(
 ) -> DataFrame:
     """``doc_id, place`` of the paths and edges that started earlier elsewhere."""
     every = paths(documents, window, anchor)
-    again = every.groupBy("anchor").count().where("count > 1").select("anchor")
+    # what is counted is stored before it is joined: a join whose side is an aggregate
+    # on the same key could not be split where one anchor holds a third of all paths
+    again = stored(every.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     met = stored(every.join(again, "anchor"), "paths")
     whole = _later(met, "path", "first-paths")
 
-    kinds = met.groupBy("anchor", "path").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-    branching = kinds.groupBy("anchor").count().where("count > 1").select("anchor")
+    kinds = stored(
+        met.groupBy("anchor", "path").agg(F.min(F.struct("doc_id", "place")).alias("first")), "kinds"
+    )
+    branching = stored(kinds.groupBy("anchor").count().where("count > 1").select("anchor"), "branching")
     places = kinds.join(branching, "anchor").select("first.doc_id", "first.place")
     edges = stored(_opened(packed, places, window, anchor), "edges")
     return whole.unionByName(_later(edges, "edge", "first-edges"))
