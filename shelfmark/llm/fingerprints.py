@@ -44,14 +44,18 @@ from shelfmark.llm.arrays import (
     span_hashes,
     word_spans,
 )
-from shelfmark.llm.common import CHUNK_BYTES, map_chunks, record_batch, utf8
+from shelfmark.llm.common import CHUNK_BYTES, map_chunks, record_batch, stored, utf8
 from shelfmark.llm.sharding import range_number
 
 LANES = 2
 WORD_WEIGHT = 1
 PAIR_WEIGHT = 3
 RADIUS = 6
-RANGES = 1024
+
+# A range of ids is read by one task, row after row. There are more of them the more rows
+# there are; their first ids are known to the driver, which bounds their number.
+RANGE_ROWS = 50_000
+RANGES = (1024, 16_384)
 
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
@@ -121,9 +125,11 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def edited_fingerprints(documents: DataFrame, ranges: int = RANGES) -> DataFrame:
+def edited_fingerprints(documents: DataFrame, ranges: int | None = None) -> DataFrame:
     """``SCHEMA`` for every row: its fingerprint, that of its edited text, and how like
     its fingerprint is to that one and to the next row's."""
+    if ranges is None:
+        ranges = min(max(documents.count() // RANGE_ROWS, RANGES[0]), RANGES[1])
     # descending ids as ascending keys; rows without an id come last
     key = F.bitwise_not(F.col("doc_id"))
     cuts = documents.agg(
@@ -219,11 +225,32 @@ def _rows(ids: list[int], texts: list[bytes]) -> pa.RecordBatch:
     )
 
 
-def _lanes(fingerprint: Column, bits: int) -> list[Column]:
-    return [
-        F.conv(F.substring(fingerprint, 1 + 8 * i, 8), 16, 10).cast("long")
-        for i in range(bits // 32)
-    ]
+def _lanes(fingerprint: str, bits: int) -> list[Column]:
+    """The digits of a fingerprint as numbers of 64 bits."""
+
+    def half(i: int) -> Column:
+        return F.conv(F.substring(fingerprint, 1 + 8 * i, 8), 16, 10).cast("long")
+
+    return [F.shiftleft(half(2 * i), 32).bitwiseOR(half(2 * i + 1)) for i in range(bits // 64)]
+
+
+def _digits(lanes: list[Column]) -> Column:
+    return F.concat(*[F.lower(F.lpad(F.hex(lane), 16, "0")) for lane in lanes])
+
+
+def _blocks(lanes: list[Column], blocks: int) -> list[list[Column]]:
+    """The bits of each block; one that reaches over a lane's end comes in pieces."""
+    bits = 64 * len(lanes)
+    out = []
+    for begin, end in ((bits * i // blocks, bits * (i + 1) // blocks) for i in range(blocks)):
+        pieces = []
+        for lane, column in enumerate(lanes):
+            a, b = max(begin, 64 * lane), min(end, 64 * lane + 64)
+            if a < b:
+                up = F.shiftleft(column, a - 64 * lane)
+                pieces.append(F.shiftrightunsigned(up, 64 - (b - a)))
+        out.append(pieces)
+    return out
 
 
 def within(
@@ -234,33 +261,68 @@ def within(
     agree: int = 2,
 ) -> DataFrame:
     """``query, fingerprint, distance, rows``: every distinct fingerprint within
-    ``radius`` bits of a distinct query, and how many rows carry it."""
-    blocks = radius + agree
-    edges = [bits * i // blocks for i in range(blocks + 1)]
-    distinct = fingerprints.groupBy("fingerprint").agg(F.count("*").alias("rows"))
+    ``radius`` bits of a distinct query, and how many rows carry it.
 
-    def prefixes(df: DataFrame, name: str) -> DataFrame:
-        digits = F.concat(
-            *[F.lpad(F.conv(F.substring(name, i + 1, 1), 16, 2), 4, "0") for i in range(bits // 4)]
+    What is moved is a key and the bits, once for each table. A pair that meets in several
+    tables counts in the first of them, so pairs need not be made distinct afterwards.
+    """
+    blocks = radius + agree
+    tables = list(combinations(range(blocks), agree))
+    lanes = range(bits // 64)
+
+    def keyed(df: DataFrame, name: str, *others: str) -> DataFrame:
+        parts = _blocks([F.col(f"{name}{i}") for i in lanes], blocks)
+        keys = F.array(*[
+            F.xxhash64(F.lit(k), *(piece for i in chosen for piece in parts[i]))
+            for k, chosen in enumerate(tables)
+        ])
+        return df.select(F.posexplode(keys).alias("table", "key"), *[f"{name}{i}" for i in lanes], *others)
+
+    def split(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[lane.alias(f"{name}{i}") for i, lane in enumerate(_lanes("fingerprint", bits))])
+
+    held = split(fingerprints, "b").groupBy(*[f"b{i}" for i in lanes]).agg(F.count("*").alias("rows"))
+    asked = split(queries, "a").distinct()
+    apart = [F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")) for i in lanes]
+    same = []
+    for pieces in _blocks(apart, blocks):
+        equal = F.lit(True)
+        for piece in pieces:
+            equal = equal & (piece == 0)
+        same.append(equal)
+
+    def together(chosen: tuple[int, ...]) -> Column:
+        all_of = F.lit(True)
+        for i in chosen:
+            all_of = all_of & same[i]
+        return all_of
+
+    first = F.coalesce(*[F.when(together(chosen), k) for k, chosen in enumerate(tables)])
+    distance = sum((F.bit_count(x) for x in apart), F.lit(0)).cast("int")
+    return (
+        keyed(held, "b", "rows").drop("table").join(keyed(asked, "a"), "key")
+        .where((distance <= radius) & (first == F.col("table")))
+        .select(
+            _digits([F.col(f"a{i}") for i in lanes]).alias("query"),
+            _digits([F.col(f"b{i}") for i in lanes]).alias("fingerprint"),
+            distance.alias("distance"), "rows",
         )
-        parts = [F.substring("_bits", a + 1, b - a) for a, b in zip(edges, edges[1:])]
-        tables = [
-            F.struct(F.lit(k).alias("table"), F.concat(*(parts[i] for i in chosen)).alias("prefix"))
-            for k, chosen in enumerate(combinations(range(blocks), agree))
-        ]
-        return df.withColumn("_bits", digits).select(
-            *df.columns, F.explode(F.array(*tables)).alias("_t")
-        ).select(*df.columns, "_t.table", "_t.prefix")
-
-    asked = queries.select(F.col("fingerprint").alias("query")).distinct()
-    apart = sum(
-        (F.bit_count(a.bitwiseXOR(b)) for a, b in
-         zip(_lanes(F.col("query"), bits), _lanes(F.col("fingerprint"), bits))),
-        F.lit(0),
     )
-    return (
-        prefixes(distinct, "fingerprint").join(prefixes(asked, "query"), ["table", "prefix"])
-        .select("query", "fingerprint", "rows", apart.cast("int").alias("distance"))
-        .where(F.col("distance") <= radius)
-        .distinct()
+
+
+def with_neighbours(rows: DataFrame, asked: Column, radius: int = RADIUS) -> DataFrame:
+    """``rows`` with ``n_within``: for a row that is ``asked`` how many rows have a
+    fingerprint within ``radius`` bits of its own, itself included; null for others.
+
+    Equal fingerprints are searched for once, whatever number of rows carry them."""
+    held = stored(rows, "fingerprints")
+    asked = F.coalesce(asked, F.lit(False))
+    queries = held.where(asked)
+    # stored, so that a fingerprint of very many rows can be split in the join
+    counts = stored(
+        within(held, queries, radius).groupBy(F.col("query").alias("fingerprint"))
+        .agg(F.sum("rows").alias("n_within")),
+        "neighbours",
     )
+    found = queries.join(counts, "fingerprint").select(*rows.columns, "n_within")
+    return found.unionByName(held.where(~asked).withColumn("n_within", F.lit(None).cast("long")))

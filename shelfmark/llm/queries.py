@@ -135,9 +135,10 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_fingerprints")
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    from shelfmark.llm.fingerprints import edited_fingerprints
+    from shelfmark.llm.fingerprints import edited_fingerprints, with_neighbours
 
-    return edited_fingerprints(table(spark, folder, "documents"))
+    rows = edited_fingerprints(table(spark, folder, "documents"))
+    return with_neighbours(rows, F.col("doc_id") % 50 == 0)
 
 
 @query("op9_chat_format")

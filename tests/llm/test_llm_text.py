@@ -17,7 +17,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfmark.llm import chat, decontaminate, packing, queries, toxicity
-from shelfmark.llm.fingerprints import edited_fingerprints, edited_text, fingerprints, within
+from shelfmark.llm.fingerprints import (
+    edited_fingerprints,
+    edited_text,
+    fingerprints,
+    with_neighbours,
+    within,
+)
 from shelfmark.llm.folding import fold
 from shelfmark.llm.license_rules import BASE, rules
 from shelfmark.llm.licenses import scan_licenses
@@ -360,6 +366,36 @@ def test_edited_query(spark):
         prints[dict(docs)[r.doc_id]].add(r.fingerprint)
     assert all(len(p) == 1 for p in prints.values())
     assert sum(r.near_edited > r.near_next for r in rows) > 0.95 * len(rows)
+    check_neighbours(rows)
+
+
+def check_neighbours(rows):
+    values = [int(r.fingerprint, 16) for r in rows]
+    for r, v in zip(rows, values):
+        near = sum((v ^ w).bit_count() <= 6 for w in values)
+        assert r.n_within == (near if r.doc_id is not None and r.doc_id % 50 == 0 else None)
+
+
+def test_neighbours_of_awkward_rows(spark):
+    docs = [*AWKWARD, (None, "none"), (100, "a b c"), (100, "a b c"), (150, None), (151, "A b c"), (50, "a b c")]
+    rows = with_neighbours(fingerprints(frame(spark, docs)), F.col("doc_id") % 50 == 0).collect()
+    assert len(rows) == len(docs)
+    check_neighbours(rows)
+    assert with_neighbours(fingerprints(frame(spark, [])), F.col("doc_id") % 50 == 0).count() == 0
+
+
+@pytest.mark.parametrize("radius", [1, 3, 5])
+def test_blocks_over_the_ends_of_lanes(spark, radius):
+    """128 bits in 3, 5 and 7 blocks, some of them in two lanes."""
+    rng = random.Random(radius)
+    values = []
+    for _ in range(30):
+        v = rng.getrandbits(128)
+        values += [v] + [v ^ (1 << rng.randrange(50, 80)) ^ (1 << rng.randrange(128)) for _ in range(5)]
+    df = spark.createDataFrame([(f"{v:032x}",) for v in values], "fingerprint string")
+    got = [(r["query"], r.fingerprint, r.distance) for r in within(df, df, radius).collect()]
+    want = {(f"{a:032x}", f"{b:032x}", (a ^ b).bit_count()) for a in values for b in values if (a ^ b).bit_count() <= radius}
+    assert len(got) == len(want) and set(got) == want
 
 
 @pytest.mark.parametrize("ranges", [2, 5, 1024])
