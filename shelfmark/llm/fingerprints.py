@@ -284,20 +284,21 @@ def within(
     held = split(fingerprints, "b").groupBy(*[f"b{i}" for i in lanes]).agg(F.count("*").alias("rows"))
     asked = split(queries, "a").distinct()
     apart = [F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")) for i in lanes]
-    same = []
-    for pieces in _blocks(apart, blocks):
-        equal = F.lit(True)
-        for piece in pieces:
-            equal = equal & (piece == 0)
-        same.append(equal)
-
-    def together(chosen: tuple[int, ...]) -> Column:
-        all_of = F.lit(True)
-        for i in chosen:
-            all_of = all_of & same[i]
-        return all_of
-
-    first = F.coalesce(*[F.when(together(chosen), k) for k, chosen in enumerate(tables)])
+    # the blocks a pair agrees in as bits of a number, and the first table for each such
+    # number: one small expression, where a case for every table would be a large one
+    agreed = F.lit(0)
+    for i, pieces in enumerate(_blocks(apart, blocks)):
+        differs = pieces[0]
+        for piece in pieces[1:]:
+            differs = differs.bitwiseOR(piece)
+        agreed = agreed + F.when(differs == 0, 1 << i).otherwise(0)
+    masks = [sum(1 << i for i in chosen) for chosen in tables]
+    first = F.element_at(
+        F.array(*[
+            F.lit(next((k for k, m in enumerate(masks) if m & own == m), -1)) for own in range(1 << blocks)
+        ]),
+        agreed + 1,
+    )
     distance = sum((F.bit_count(x) for x in apart), F.lit(0)).cast("int")
     return (
         keyed(held, "b", "rows").drop("table").join(keyed(asked, "a"), "key")
