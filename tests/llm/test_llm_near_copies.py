@@ -12,6 +12,7 @@ import pytest
 from brute import AWKWARD, LOWER, frame
 
 from shelfmark.llm.near_copies import near_copies, shingle_sets, similar_forest
+from shelfmark.llm.simhash_dups import fingerprints_of
 
 
 def shingles(text):
@@ -74,6 +75,21 @@ def test_recall_on_documents(spark):
     assert kept == {i for i, _ in wanted(docs)}
 
 
+def test_fingerprints_name_candidates(spark):
+    """Without the keys of minima the fingerprint operator alone finds what it can reach,
+    and what it puts together is still compared as a whole."""
+    docs = edited()
+    sets = [shingles(t) for _, t in docs]
+    prints = fingerprints_of([t.encode() for _, t in docs], 5).tolist()
+    near = brute.groups(prints, lambda a, b: (a ^ b).bit_count() <= 3)
+    roots = brute.groups(list(zip(near, sets)), lambda a, b: a[0] == b[0] and similar(a[1], b[1]))
+    rows, named = near_copies(frame(spark, docs).select("doc_id", "text"), bands=0)
+    got = {r.doc_id: r.component for r in rows.join(named, "row").collect()}
+    pairs = {(got[i], r) for (i, _), r in zip(docs, roots)}
+    assert len(pairs) == len({g for g, _ in pairs}) == len(set(roots))
+    assert len(set(roots)) < len(set(sets))
+
+
 def test_threshold_is_inclusive():
     a = np.arange(9, dtype=np.uint64)
     assert similar_forest([a, np.append(a[:8], np.uint64(50))]) == [(0, 1)]  # 8 of 10
