@@ -4,7 +4,8 @@
 expression per row. :func:`phrase_join` takes terms as a DataFrame of any size
 and picks, by counting them, among ways that all give the same rows:
 
-* short terms, few: folded into one expression, like a known vocabulary;
+* short terms, few: folded into one search per row, with one bit for each phrase, so what
+  is shuffled is one row of bits per record;
 * short terms, many: their pieces are looked up in the words of the corpus, whose
   number grows far slower than the corpus. Pieces that very many words hold, such as
   single letters, are folded after all; the others meet the texts at the words that
@@ -14,19 +15,26 @@ and picks, by counting them, among ways that all give the same rows:
   the phrases by an equi-join and the text is checked on the spot. One pass,
   nothing is shuffled;
 * phrases beyond that bound: the same join shuffled by word, with the rarest
-  inner word as the meeting point, and the candidates checked against the texts.
+  inner word as the meeting point, and the candidates checked against the texts. A bitmap
+  of fixed size keeps back the words and the texts that no phrase can meet; where it is
+  full, all move.
 
-No way compares every text with every phrase.
+No way compares every text with every phrase. A phrase is searched once, however many
+terms it has: terms come in at the end, to records that hold their phrase.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from operator import or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.once import once
 from shelfmark.session import stored
 
 GRAM = 3
@@ -36,14 +44,67 @@ MAX_FOLDED = 200
 FEW_WORDS = 1000
 MAX_FREQUENT = 64
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Phrases that share a number, a bit each.
+BITS = 64
+# Bits of the map of words or records, 128 kB.
+MAP_BITS = 1 << 20
 _ROW_OVERHEAD = 100
 _BLANKS = r"\s+"
 
 
-def _folded(docs: DataFrame, found: Sequence[tuple[str, Column]], keep: Sequence[str]) -> DataFrame:
-    """``keep`` + the fields of each struct whose phrase the text holds."""
-    hits = [F.when(F.contains(F.col("_lowered"), F.lit(p)), struct) for p, struct in found]
-    return docs.select(*keep, F.inline(F.array_compact(F.array(*hits))))
+def _search(phrases: Sequence[str]) -> Callable[[bytes], int]:
+    """A function from a text to the bits of the phrases it holds. A phrase of several
+    words is searched only where those of its words that are phrases have been found."""
+    alone = {p.encode(): 1 << i for i, p in enumerate(phrases) if len(p.encode().split()) == 1}
+    longer = [
+        (1 << i, p.encode(), reduce(or_, [alone.get(w, 0) for w in p.encode().split()], 0))
+        for i, p in enumerate(phrases) if p.encode() not in alone
+    ]
+
+    def run(text: bytes) -> int:
+        found = 0
+        for phrase, bit in alone.items():
+            if phrase in text:
+                found |= bit
+        for bit, phrase, needed in longer:
+            if found & needed == needed and phrase in text:
+                found |= bit
+        return found
+
+    return run
+
+
+def _folded(docs: DataFrame, known: Sequence[tuple[str, Sequence]], id_type: str) -> DataFrame:
+    """(record_id, id), distinct: the ids of each phrase that a text of the record holds."""
+    phrases = [p for p, _ in known]
+    names = [f"_b{k}" for k in range(-(-len(known) // BITS))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search, width = _search(phrases), 8 * len(names)
+        for batch in batches:
+            found = [0 if t is None else search(t) for t in batch.column(1).to_pylist()]
+            flat = b"".join(f.to_bytes(width, "little") for f in found)
+            bits = np.frombuffer(flat, np.int64).reshape(len(found), len(names))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(bits[:, k]) for k in range(len(names)))],
+                names=["record_id", *names],
+            )
+
+    own = docs.schema["record_id"].dataType.simpleString()
+    marked = docs.select("record_id", F.col("_lowered").cast("binary").alias("text")).mapInArrow(
+        run, ", ".join([f"record_id {own}", *(f"{n} long" for n in names)])
+    )
+    held = (
+        marked.filter(reduce(or_, [F.col(n) != 0 for n in names]))
+        .groupBy("record_id").agg(*[F.bit_or(n).alias(n) for n in names])
+    )
+    places = F.filter(
+        F.sequence(F.lit(0), F.lit(len(known) - 1)),
+        lambda i: F.getbit(F.get(F.array(*names), F.floor(i / BITS).cast("int")), i % BITS) == 1,
+    )
+    ids = F.array(*[F.array(*[F.lit(t) for t in own]) for _, own in known]).cast(f"array<array<{id_type}>>")
+    found = F.array_distinct(F.flatten(F.transform(places, lambda i: F.get(ids, i))))
+    return held.select("record_id", F.explode(found).alias("id"))
 
 
 def term_hits(
@@ -54,22 +115,48 @@ def term_hits(
     first_rank: int = 0,
 ) -> DataFrame:
     """One row per (record, term in its text): ``keep`` + ``term_rank, term``."""
-    lowered = records.select(*keep, F.lower(text).alias("_lowered"))
-    ranked = [
-        (t.lower(), F.struct(F.lit(first_rank + i).alias("term_rank"), F.lit(t).alias("term")))
+    lowered = once(records.select(*keep, F.col(text).alias("_text")), _lowered=F.lower("_text"))
+    hits = [
+        F.when(
+            F.contains(F.col("_lowered"), F.lit(t.lower())),
+            F.struct(F.lit(first_rank + i).alias("term_rank"), F.lit(t).alias("term")),
+        )
         for i, t in enumerate(terms)
     ]
-    return _folded(lowered, ranked, keep)
+    return lowered.select(*keep, F.inline(F.array_compact(F.array(*hits))))
 
 
 def _words(lowered: Column) -> Column:
     return F.filter(F.split(lowered, _BLANKS), lambda w: w != "")
 
 
-def _doc_words(docs: DataFrame, *more: str) -> DataFrame:
-    return docs.select(
-        "record_id", *more, F.explode(F.array_distinct(_words(F.col("_lowered")))).alias("word")
+def _doc_words(docs: DataFrame, *more: str, asked: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The distinct words of every text, or those that ``asked`` lets through."""
+    words = F.array_distinct(_words(F.col("_lowered")))
+    return docs.select("record_id", *more, F.explode(F.filter(words, asked) if asked else words).alias("word"))
+
+
+def _map_of(df: DataFrame, column: str) -> Callable[[Column], Column]:
+    """Whether a value may be in the column: never false for one that is. The map has
+    ``MAP_BITS`` bits, however many values there are."""
+    place = F.pmod(F.xxhash64(column), F.lit(MAP_BITS))
+    # 32 bits a number: the sign is left alone
+    bit = F.expr("shiftleft(1L, cast(_place % 32 AS int))")
+    rows = (
+        df.select(place.alias("_place")).groupBy(F.floor(F.col("_place") / 32).alias("at"))
+        .agg(F.bit_or(bit).alias("bits")).collect()
     )
+    numbers = [0] * (MAP_BITS // 32)
+    for r in rows:
+        numbers[r["at"]] = r["bits"]
+    # one constant, not one for each number
+    held = F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+
+    def may_hold(value: Column) -> Column:
+        at = F.pmod(F.xxhash64(value), F.lit(MAP_BITS))
+        return F.getbit(F.get(held, F.floor(at / 32).cast("int")), (at % 32).cast("int")) == 1
+
+    return may_hold
 
 
 def _longest(words: Column) -> Column:
@@ -83,46 +170,70 @@ def _inner(words: str) -> Column:
     return F.slice(words, F.lit(2), F.size(words) - 2)
 
 
-def _by_broadcast(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Phrases whose total size has been checked: each meets the texts at its
-    longest inner word. The text is only referred to, not copied, per word."""
-    anchored = phrases.select("term_id", "phrase", _longest(_inner("_words")).alias("word"))
+def _fits(sizes: tuple[int, int], bound: int) -> bool:
+    """Whether rows of this number and these bytes may be broadcast."""
+    return sizes[1] + sizes[0] * _ROW_OVERHEAD <= bound
+
+
+def _sizes(df: DataFrame, *columns: str) -> tuple[int, int]:
+    """Rows and bytes of the columns."""
+    each = reduce(lambda a, b: a + b, [F.octet_length(F.col(c).cast("string")) for c in columns])
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(each), F.lit(0))).first())
+
+
+def _met_by_broadcast(docs: DataFrame, anchored: DataFrame) -> DataFrame:
+    """Phrases whose total size has been checked: each meets the texts at a word of theirs,
+    ``word``. The text is only referred to, not copied, per word."""
+    holds = F.contains("word", "phrase") | F.contains("_lowered", "phrase")
     return (
-        _doc_words(docs, "_lowered")
-        .join(F.broadcast(anchored), "word")
-        .filter(F.contains(F.col("_lowered"), F.col("phrase")))
-        .select("record_id", "term_id")
+        _doc_words(docs, "_lowered").join(F.broadcast(anchored), "word").filter(holds)
+        .select("record_id", "phrase").distinct()
     )
 
 
+def _met_by_merge(docs: DataFrame, anchored: DataFrame) -> DataFrame:
+    """The same, however many the phrases are."""
+    words = _doc_words(docs, asked=_map_of(anchored, "word"))
+    found = words.join(anchored.hint("merge"), "word").select("record_id", "phrase")
+    return _confirmed(docs, stored(found, "candidates"))
+
+
 def _confirmed(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """Candidates whose text does hold the phrase. The check is part of the join,
     so no (text, phrase) pair is built; the join has already split its output by
-    record, which serves the distinct as well."""
+    record, which serves the distinct as well. Texts of records without a candidate stay
+    where they are."""
     asked = candidates.withColumnRenamed("record_id", "_record_id")
     holds = F.contains(F.col("_lowered"), F.col("phrase"))
     return (
-        docs.join(asked, (F.col("record_id") == F.col("_record_id")) & holds)
-        .select("record_id", "term_id")
+        docs.filter(_map_of(candidates, "record_id")(F.col("record_id")))
+        .join(asked, (F.col("record_id") == F.col("_record_id")) & holds)
+        .select("record_id", "phrase")
         .distinct()
     )
 
 
+def _by_broadcast(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Each phrase at its longest inner word."""
+    return _met_by_broadcast(docs, phrases.select("phrase", _longest(_inner("_words")).alias("word")))
+
+
 def _by_rarest_word(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    inner = phrases.select("term_id", "phrase", F.explode(F.array_distinct(_inner("_words"))).alias("word"))
-    needed = inner.select("word").distinct()
+    inner = stored(
+        phrases.select("phrase", F.explode(F.array_distinct(_inner("_words"))).alias("word")), "inner-words"
+    )
     # merge joins throughout: exploded sides outgrow the size Spark expects of them, a
-    # sort spills, and adaptive execution splits a word that most texts hold
-    present = _doc_words(docs).join(needed.hint("merge"), "word", "left_semi")
+    # sort spills, and adaptive execution splits a word that most texts hold. Words are
+    # counted before they move
+    present = _doc_words(docs, asked=_map_of(inner, "word"))
     counts = present.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
     anchors = (
         inner.join(counts.hint("merge"), "word", "left")
-        .groupBy("term_id", "phrase")
+        .groupBy("phrase")
         # an inner word the corpus lacks settles the matter: no text holds the phrase
         .agg(F.min_by("word", F.struct(F.coalesce("n_docs", F.lit(0)), "word")).alias("word"))
     )
-    candidates = _doc_words(docs).join(anchors.hint("merge"), "word").drop("word")
-    return _confirmed(docs, candidates)
+    return _met_by_merge(docs, stored(anchors, "anchors"))
 
 
 def _grams(word: Column) -> Column:
@@ -137,40 +248,47 @@ def _grams(word: Column) -> Column:
 def _holders(docs: DataFrame, pieces: DataFrame) -> DataFrame:
     """(piece, word) wherever a word of the corpus holds the piece: found once per
     distinct piece and distinct word, by a gram they share."""
-    vocabulary = _doc_words(docs).select("word").distinct()
+    # stored: neither the words nor their grams are made again
+    vocabulary = stored(_doc_words(docs).select("word").distinct(), "vocabulary")
+    starts = stored(pieces.withColumn("_gram", F.substring("piece", 1, GRAM)), "piece-starts")
     # a piece shorter than a gram is looked up as it is, so the grams of the
-    # corpus words come in all lengths
-    grams = vocabulary.select("word", F.explode(_grams(F.col("word"))).alias("_gram"))
+    # corpus words come in all lengths; grams that start no piece are left out
+    grams = F.filter(_grams(F.col("word")), _map_of(starts, "_gram"))
     return (
-        pieces.withColumn("_gram", F.substring("piece", 1, GRAM))
-        .join(grams.hint("merge"), "_gram")
+        starts.join(vocabulary.select("word", F.explode(grams).alias("_gram")).hint("merge"), "_gram")
         .filter(F.contains(F.col("word"), F.col("piece")))
         .select("piece", "word")
     )
 
 
-def _by_vocabulary(docs: DataFrame, short: DataFrame) -> DataFrame:
-    """Terms of one or two words: their longer word, the piece, lies inside a word of
+def _by_vocabulary(docs: DataFrame, short: DataFrame, max_broadcast_bytes: int) -> DataFrame:
+    """Phrases of one or two words: their longer word, the piece, lies inside a word of
     the text.
 
     The words that hold a piece are counted. The few pieces that very many words hold
-    would name nearly every text once per word; they are folded into one expression per
-    text. The others come by a merge join on the words that hold them. Texts meet pieces,
-    each once, before the terms come back; what is more than its piece is confirmed.
+    would name nearly every text once per word; what has them is folded into one
+    search per text. The others come by a join on the words that hold them; what is
+    more than its piece is confirmed.
     """
-    asked = short.select("term_id", "phrase", _longest(F.col("_words")).alias("piece"))
+    asked = stored(short.select("phrase", _longest(F.col("_words")).alias("piece")), "pieces")
     holders = stored(_holders(docs, asked.select("piece").distinct()), "holders")
     counted = holders.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FEW_WORDS)
     frequent = [r.piece for r in counted.orderBy(F.desc("n"), "piece").limit(MAX_FREQUENT).collect()]
     rare = holders.filter(~F.col("piece").isin(frequent)) if frequent else holders
-    found = _doc_words(docs).join(rare.hint("merge"), "word").select("record_id", "piece")
-    if frequent:
-        known = [(p, F.struct(F.lit(p).alias("piece"))) for p in frequent]
-        found = found.unionByName(_folded(docs, known, ["record_id"]))
-    candidates = stored(found.distinct(), "pieces").join(asked.hint("merge"), "piece")
-    settled = candidates.filter(F.col("phrase") == F.col("piece")).select("record_id", "term_id")
-    open_ones = candidates.filter(F.col("phrase") != F.col("piece"))
-    return settled.unionByName(_confirmed(docs, open_ones.select("record_id", "term_id", "phrase")))
+    anchored = stored(rare.join(asked.hint("merge"), "piece").select("word", "phrase"), "anchors")
+    small = _fits(_sizes(anchored, "word", "phrase"), max_broadcast_bytes)
+    found = (_met_by_broadcast if small else _met_by_merge)(docs, anchored)
+    if not frequent:
+        return found
+    theirs = asked.filter(F.col("piece").isin(frequent))
+    few = [r.phrase for r in theirs.select("phrase").limit(MAX_FOLDED + 1).collect()]
+    if len(few) <= MAX_FOLDED:
+        return found.unionByName(_folded(docs, [(p, [p]) for p in few], "string").withColumnRenamed("id", "phrase"))
+    pieces = stored(_folded(docs, [(p, [p]) for p in frequent], "string"), "pieces")
+    candidates = pieces.withColumnRenamed("id", "piece").join(theirs.hint("merge"), "piece")
+    settled = candidates.filter(F.col("phrase") == F.col("piece")).select("record_id", "phrase")
+    open_ones = candidates.filter(F.col("phrase") != F.col("piece")).select("record_id", "phrase")
+    return found.unionByName(settled).unionByName(_confirmed(docs, stored(open_ones, "candidates")))
 
 
 def phrase_join(
@@ -187,38 +305,48 @@ def phrase_join(
 
     Rows are distinct whichever way is taken, also where ids repeat; rows and terms
     without an id are left out, and a blank phrase is no phrase. The terms are measured
-    when this is called; with many short ones the words of the texts are, too, otherwise
-    the texts are not touched before an action.
+    when this is called; with many short ones or phrases beyond the bound the words of the
+    texts are, too, otherwise the texts are not touched before an action.
     """
-    docs = records.select(
-        F.col(record_id).alias("record_id"), F.lower(text).alias("_lowered")
-    ).filter(F.col("record_id").isNotNull())
-    asked = (
+    docs = once(
+        records.select(F.col(record_id).alias("record_id"), F.col(text).alias("_text"))
+        .filter(F.col("record_id").isNotNull()),
+        _lowered=F.lower("_text"),
+    ).drop("_text")
+    asked = stored(
         terms.select(F.col(term_id).alias("term_id"), F.lower(phrase).alias("phrase"))
         .withColumn("_words", _words(F.col("phrase")))
         .filter((F.size("_words") > 0) & F.col("term_id").isNotNull())
+        .dropDuplicates(["term_id", "phrase"]),
+        "terms",
     )
     short, long = asked.filter(F.size("_words") <= 2), asked.filter(F.size("_words") > 2)
     id_type = asked.schema["term_id"].dataType
-    parts = []
+    parts, found = [], []
 
     few = short.select("term_id", "phrase").limit(max_folded + 1).collect()
     if len(few) > max_folded:
-        parts.append(_by_vocabulary(docs, short))
+        found.append(_by_vocabulary(docs, short.dropDuplicates(["phrase"]), max_broadcast_bytes))
     elif few:
-        known = [(r.phrase, F.struct(F.lit(r.term_id).cast(id_type).alias("term_id"))) for r in few]
-        parts.append(_folded(docs, known, ["record_id"]))
-
-    size = long.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(
-            F.sum(2 * F.octet_length("phrase") + F.octet_length(F.col("term_id").cast("string"))), F.lit(0)
-        ).alias("bytes"),
-    ).first()
-    if size.n and size.bytes + size.n * _ROW_OVERHEAD <= max_broadcast_bytes:
-        parts.append(_by_broadcast(docs, long))
-    elif size.n:
-        parts.append(_by_rarest_word(docs, long))
-
+        known = {}
+        for r in few:
+            known.setdefault(r.phrase, []).append(r.term_id)
+        parts.append(_folded(docs, list(known.items()), id_type.simpleString()).withColumnRenamed("id", "term_id"))
+
+    n, size = _sizes(long, "phrase", "phrase", "term_id")
+    if n:
+        by = _by_broadcast if _fits((n, size), max_broadcast_bytes) else _by_rarest_word
+        found.append(by(docs, long.dropDuplicates(["phrase"])))
+
+    if found:
+        small = _fits(_sizes(asked, "phrase", "term_id"), max_broadcast_bytes)
+        own = asked.select("phrase", "term_id").hint("broadcast" if small else "merge")
+        # phrases of a record are distinct, and so are terms of one phrase each
+        named = reduce(DataFrame.unionByName, found).join(own, "phrase").select("record_id", "term_id")
+        alone = asked.groupBy("term_id").count().filter("count > 1").isEmpty()
+        parts.append(named if alone else named.distinct())
     if not parts:
         parts.append(docs.select("record_id", F.lit(None).cast(id_type).alias("term_id")).limit(0))
-    return reduce(DataFrame.unionByName, parts).distinct().toDF(record_id, term_id)
+    joined = reduce(DataFrame.unionByName, parts)
+    # a term may have a short and a long phrase
+    return (joined if len(parts) == 1 else joined.distinct()).toDF(record_id, term_id)

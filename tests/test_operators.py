@@ -251,3 +251,19 @@ def test_short_terms_by_vocabulary(spark, monkeypatch, few):
     assert {tuple(r) for r in got.collect()} == want
     plan = got._jdf.queryExecution().toString()
     assert "ShuffledHashJoin" not in plan
+
+
+def test_folded_terms_share_records(spark):
+    """More phrases than one number has bits, over texts of one id; what moves is a row of
+    bits per record and no (record, term) pair."""
+    from shelfmark.operators.phrases import _folded, _search
+
+    words = [f"w{i}x" for i in range(150)]
+    terms = [*words, "w1x w2x", " w3x"]
+    texts = [(i % 20, " ".join(words[i % 150 : i % 150 + 3]) + " ") for i in range(60)]
+    docs = spark.createDataFrame(texts, "record_id int, _lowered string")
+    got = _folded(docs, [(t, [i, i + 1000]) for i, t in enumerate(terms)], "int")
+    want = {(d, k) for d, x in texts for i, t in enumerate(terms) if t in x for k in (i, i + 1000)}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    assert _search(["a", "b c", "c", "the "])(b"xa b the c") == 0b1101
