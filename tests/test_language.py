@@ -6,6 +6,7 @@ import math
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import quality
@@ -87,3 +88,29 @@ def test_better_than_stop_words_on_rows_not_fitted_to(spark):
     total = held.count()
     print("held-out rows", total, "model", trained, "stop words", voted)
     assert trained >= voted and trained >= 0.95 * total
+
+
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_grams_are_those_of_the_words(spark, n, monkeypatch):
+    """Counts and sums made by pieces of texts are those of the words taken one by one."""
+    from shelfmark.operators import language
+
+    monkeypatch.setattr(language, "CHUNK", 12)
+    texts = ["der die das", "", "a é bb", "ñandú 𝒳y a", "x"]
+    want = Counter(g for t in texts for w in t.split() for g in language.grams_of(w, n))
+    got = Counter()
+    for piece in language._pieces(texts):
+        for gram, k in language._counts(texts[piece], n):
+            got[gram] += k
+    assert got == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").withColumn("lang", F.lit("de"))
+    model = language.fit_languages(docs, "text", "lang", ["de", "en"], n=n)
+    weights = {r.gram: (r.w0, r.w1) for r in model.weights.collect()}
+    assert set(weights) == set(want)
+    wanted = {}
+    for i, t in enumerate(texts):
+        own = [weights[g] for w in t.split() for g in language.grams_of(w, n)]
+        if own:
+            s = [sum(w[k] for w in own) for k in (0, 1)]
+            wanted[i] = ("de" if s[0] >= s[1] else "en", abs(s[0] - s[1]) // len(own))
+    assert {r.id: (r.guess, r.margin) for r in language.score_languages(docs, "id", "text", model).collect()} == wanted
