@@ -14,6 +14,8 @@ from shelfmark.session import stored
 # Up to this many rows per group Spark limits every group before the shuffle
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
+# One of so many records tells how far the rows of a term can matter.
+SLICES = 32
 
 
 def _same(columns: Sequence[str], left: str, right: str) -> Column:
@@ -118,7 +120,8 @@ def cap_per_term(
     A record beyond the cap of one term may still enter under a later one, so this is
     not a plain rank. But the terms before take no more than ``n`` records each, so under
     the term at place ``t`` (from 0) only the first ``n * (t + 1)`` records of a source
-    can matter. The hits of others are left out by one cap; what remains is walked source
+    can matter. One slice of the records bounds where these can lie, so that hits beyond
+    do not move; the hits of others are left out by one cap; what remains is walked source
     by source in sorted rows, holding no more than the ids taken so far. The number of
     jobs does not grow with the terms. The ranks are those in the hits, with whatever gaps
     they have; hits without a rank come first.
@@ -130,9 +133,8 @@ def cap_per_term(
     ranked = F.array(*[F.lit(r) for r in sorted(r for r in ranks if r is not None)])
     place = F.array_position(ranked.cast(f"array<{dict(hits.dtypes)['term_rank']}>"), F.col("term_rank"))
     at = F.coalesce(place - int(None not in ranks), F.lit(0)).cast("int")
-    placed = hits_.withColumn("_at", at)
-    first = placed.groupBy(source, record, "_at").agg(F.min(F.struct(*order)).alias("_place"))
-    records = first.select(source, record, "_at", "_place.*")
+    placed = _within_reach(hits_.withColumn("_at", at), n, source, record, order)
+    records = _records(placed, source, record, order)
     matter = stored(
         cap_per_group(records, [source, "_at"], list(order), n * len(ranks), F.lit(n) * (F.col("_at") + 1)),
         "records",
@@ -146,6 +148,27 @@ def cap_per_term(
     return rows.select(*names).mapInArrow(walk, placed.schema).select(*hits.columns)
 
 
+def _records(placed: DataFrame, source: str, record: str, order: Sequence[str]) -> DataFrame:
+    """Every record of a source and term at its first place."""
+    first = placed.groupBy(source, record, "_at").agg(F.min(F.struct(*order)).alias("_place"))
+    return first.select(source, record, "_at", "_place.*")
+
+
+def _within_reach(
+    placed: DataFrame, n: int, source: str, record: str, order: Sequence[str], slices: int = SLICES
+) -> DataFrame:
+    """Hits at or before a place up to which ``n * (t + 1)`` records lie: where one slice of
+    the records, chosen by hash, has that many already, all of them have no fewer. ``n`` of
+    these records no earlier term took, so no hit beyond is taken. Terms of which the slice
+    has fewer records keep all hits."""
+    part = placed.filter(F.pmod(F.xxhash64(record), F.lit(slices)) == 0)
+    records = stored(_records(part, source, record, order), "slice")
+    reach = stored(last_places(records, [source, "_at"], order, F.lit(n) * (F.col("_at") + 1)), "reach")
+    beyond = F.struct(*[F.col(f"h.{c}") for c in order]) > F.struct(*[F.col(f"r._last.{c}") for c in order])
+    joined = placed.alias("h").join(reach.alias("r"), _same([source, "_at"], "h", "r"), "left")
+    return joined.filter(F.col("r._last").isNull() | ~beyond).select("h.*")
+
+
 def _walk(
     n: int, source: int, record: int, at: int
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -267,3 +267,28 @@ def test_folded_terms_share_records(spark):
     rows = [tuple(r) for r in got.collect()]
     assert len(rows) == len(want) and set(rows) == want
     assert _search(["a", "b c", "c", "the "])(b"xa b the c") == 0b1101
+
+
+def test_hits_out_of_reach_do_not_move(spark):
+    """Hits beyond the bound of a slice are left out, and never one that is taken."""
+    rnd = random.Random(5)
+    rows = [
+        (rnd.choice("ab"), rnd.randrange(300), rnd.choice([0, 1, 2]), rnd.choice([None, *range(40)]), i)
+        for i in range(1500)
+    ]
+    hits = spark.createDataFrame(rows, "context_repository string, recid int, term_rank int, page int, pos int")
+    placed = hits.withColumn("_at", F.col("term_rank"))
+    order = ("page", "pos")
+    near = limits._within_reach(placed, 4, "context_repository", "recid", order, slices=4)
+    left = {tuple(r)[:5] for r in near.collect()}
+    assert len(left) < len(rows)
+    want, first = set(), lambda r: (r[3] is not None, r[3] or 0, r[4])
+    for source in "ab":
+        taken = set()
+        for rank in (0, 1, 2):
+            own = sorted((r for r in rows if r[0] == source and r[2] == rank), key=first)
+            fresh = [r for r in own if r[1] not in taken][:4]
+            taken |= {r[1] for r in fresh}
+            want |= set(fresh)
+    assert want <= left
+    assert {tuple(r) for r in limits.cap_per_term(hits, 4).collect()} == want
