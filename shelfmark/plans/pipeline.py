@@ -12,12 +12,12 @@ from shelfmark.plans.tables import (
     Arrivals,
     Tables,
     arrivals,
-    assign_ids,
-    mark_newest,
     merge_folded,
+    place,
     read_tables,
     rejected_children,
     split_batch,
+    write_all,
     write_tables,
 )
 from shelfmark.session import stored
@@ -48,16 +48,14 @@ def acquire(
 def merge_into(current: Tables, arrived: Arrivals, folder: str) -> None:
     """Merge arrivals into ``current`` and write the result as snapshot ``folder``.
 
-    The folded projects feed all writes, so they are stored before them. Rows that
+    The places of the projects feed all writes, so they are stored before them. Rows that
     lack a required column go to ``quarantine``, those of children as well.
     """
     folded, rejected = split_batch(arrived)
-    marked = stored(mark_newest(current.projects, folded))
-    folded = stored(assign_ids(current.projects, marked, stored))
-    rejected.write.mode("append").parquet(f"{folder}/quarantine/projects")
-    for name, rows in rejected_children(folded, arrived).items():
-        rows.write.mode("append").parquet(f"{folder}/quarantine/{name}")
-    write_tables(merge_folded(current, folded, arrived), folder)
+    placed = place(current.projects, folded, stored)
+    bad = {"projects": rejected, **rejected_children(placed, arrived)}
+    write_all({f"{folder}/quarantine/{name}": rows for name, rows in bad.items()}, "append")
+    write_tables(merge_folded(current, folded, arrived, placed), folder)
 
 
 def run(

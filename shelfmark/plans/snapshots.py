@@ -22,14 +22,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.plans.tables import (
+    ARRIVAL_KEY,
     ID_BITS,
     SCHEMAS,
     Arrivals,
     Tables,
-    assign_ids,
     id_choice,
-    mark_newest,
     merge_folded,
+    no_rows,
+    place,
     rejected_children,
     split_batch,
 )
@@ -91,7 +92,7 @@ def _commit(spark: SparkSession, root: str, version: Version, manifest: list[tup
 def _load(spark: SparkSession, root: str, table: str, manifest: Iterable[tuple]) -> DataFrame:
     paths = [f"{root}/{table}/write={w}/bucket={b}" for t, b, w, _ in manifest if t == table]
     if not paths:
-        return spark.createDataFrame([], SCHEMAS[table])
+        return no_rows(spark, SCHEMAS[table])
     reader = spark.read.schema(SCHEMAS[table]).option("basePath", f"{root}/{table}")
     return reader.parquet(*paths).select(*SCHEMAS[table].names)
 
@@ -136,17 +137,16 @@ def merge_batch(
         return version
     manifest = _manifest(spark, root, version)
     folded, rejected = split_batch(arrived)
-    folded = stored(folded, "folded")
     id_ = choose_id(F.col("project_url"), F.col("version"), 0)
-    touched = {r[0] for r in folded.select(bucket_of(id_, version.buckets)).distinct().collect()}
+    keys = stored(folded.select(*ARRIVAL_KEY, "last_seq"), "folded")
+    touched = {r[0] for r in keys.select(bucket_of(id_, version.buckets)).distinct().collect()}
     current = Tables(*[
         _load(spark, root, name, [row for row in manifest if row[1] in touched]) for name in Tables._fields
     ])
-    marked = stored(mark_newest(current.projects, folded), "folded")
-    folded = stored(assign_ids(current.projects, marked, stored, choose_id), "folded")
+    placed = place(current.projects, keys, stored, choose_id)
     write = uuid.uuid4().hex
-    bad = {"projects": rejected, **rejected_children(folded.where("newest"), arrived)}
-    merged = merge_folded(current, folded, arrived)
+    bad = {"projects": rejected, **rejected_children(placed.where("newest"), arrived)}
+    merged = merge_folded(current, folded, arrived, placed)
     after = [row for row in manifest if row[1] not in touched]
     # the writes are jobs of their own; side by side they fill the cluster
     with ThreadPoolExecutor(len(Tables._fields) + len(bad)) as pool:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark import schemas
 from shelfmark.functions.files import (
@@ -87,6 +89,16 @@ def own_id(projects: DataFrame) -> Column:
 
 
 ARRIVAL_KEY = [*PROJECT_KEY, "seq"]
+
+#: The hash of a project's key, put before the key in groupings and joins: addresses begin
+#: alike, so sorting by them compares whole texts, and a number tells them apart at once.
+KEY_HASH = "_key_hash"
+
+
+def _hashed(df: DataFrame) -> DataFrame:
+    if KEY_HASH in df.columns:
+        return df
+    return df.withColumn(KEY_HASH, F.xxhash64(*PROJECT_KEY))
 _ARRIVED = ["project_url", "seq", "ingest_date"]
 _RECORD_KEY = ["context_repository", "project_identifier", "version"]
 
@@ -94,7 +106,7 @@ _RECORD_KEY = ["context_repository", "project_identifier", "version"]
 def transferred_files(
     wanted: DataFrame, outcomes: DataFrame, members: DataFrame | None = None
 ) -> DataFrame:
-    """The files of ``wanted`` that arrived: its columns, one row per file name.
+    """The files of ``wanted`` that arrived: its columns, every row once.
 
     ``wanted`` has the record key and ``file_name``. ``outcomes`` is the transfer
     manifest: the same and ``bytes``. A readable archive gives way to its
@@ -103,14 +115,17 @@ def transferred_files(
     moved = outcomes.filter(F.col("bytes") > 0).select(*_RECORD_KEY, "file_name").distinct()
     arrived = wanted.join(moved, [*_RECORD_KEY, "file_name"], "left_semi")
     if members is None:
-        return arrived
+        return arrived.distinct()
     inner = members.filter(
         F.col("member").isNotNull() & is_archive(file_ext(F.col("archive")))
     ).select(*_RECORD_KEY, F.col("archive").alias("file_name"), "member")
     at = [*_RECORD_KEY, "file_name"]
-    closed = arrived.join(inner.select(*at).distinct(), at, "left_anti")
+    # files that are no archives have no members to look for
+    archive = is_archive(file_ext(F.col("file_name")))
+    plain, archives = arrived.filter(~archive), arrived.filter(archive)
+    closed = plain.unionByName(archives.join(inner.select(*at).distinct(), at, "left_anti"))
     # an inner join, so that the members of one huge archive can be split up
-    opened = arrived.join(inner, at).withColumn("file_name", F.col("member")).drop("member")
+    opened = archives.join(inner, at).withColumn("file_name", F.col("member")).drop("member")
     # a file of the same name out of two archives is one file on disk
     return closed.unionByName(opened).distinct()
 
@@ -129,8 +144,9 @@ def arrivals(
     A record counts with a transferred or a restricted file; in strict mode
     only with a transferred analysis-project file, and only those are listed.
     ``legacy`` ignores the license and people that some sources deliver under
-    other names. ``store`` keeps the file rows, which are used twice. ``download_date``
-    is the time of the whole batch, or a column with that of each record (as ISO text):
+    other names. ``store`` keeps the file rows, which are used more than once, and the
+    records that only a look at them lets count; it spares the others (in strict mode none)
+    the join with the file rows. ``download_date`` is the time of the whole batch, or a column with that of each record (as ISO text):
     a log may hold several arrivals of one project.
     """
     if isinstance(download_date, dt.datetime):
@@ -151,10 +167,8 @@ def arrivals(
     records = records.withColumn("ingest_date", F.substring("_when", 1, 10))
     listed = records.select(*_RECORD_KEY, *_ARRIVED, F.explode("files").alias("f"))
     restricted = F.coalesce(F.col("f.restricted"), F.lit(False))
-    wanted = (
-        listed.filter(~restricted & (F.coalesce(F.col("f.file_url"), F.lit("")) != ""))
-        .select(*_RECORD_KEY, *_ARRIVED, safe_filename(F.col("f.file_key")).alias("file_name"))
-        .distinct()
+    wanted = listed.filter(~restricted & (F.coalesce(F.col("f.file_url"), F.lit("")) != "")).select(
+        *_RECORD_KEY, *_ARRIVED, safe_filename(F.col("f.file_key")).alias("file_name")
     )
     there = transferred_files(wanted, outcomes, members)
     if strict:
@@ -173,9 +187,23 @@ def arrivals(
     if store:
         files = store(files)
     evidence = files.filter(F.col("status") == "SUCCEEDED") if strict else files
-    shown = records.join(evidence.select(*ARRIVAL_KEY).distinct(), ARRIVAL_KEY, "left_semi")
+    evidence = evidence.select(*ARRIVAL_KEY).distinct()
     if strict:
-        files = files.join(evidence.select(*ARRIVAL_KEY).distinct(), ARRIVAL_KEY, "left_semi")
+        evidence = store(evidence) if store else evidence
+        files = files.join(evidence, ARRIVAL_KEY, "left_semi")
+    if store and not strict:
+        # a record with a restricted file counts by itself; its text need not move
+        restricts = F.coalesce(F.array_contains("files.restricted", True), F.lit(False))
+        itself = restricts & F.col("project_url").isNotNull()
+        rest = records.filter(~itself)
+        waiting = store(rest.select(*ARRIVAL_KEY).distinct())
+        if waiting.isEmpty():
+            shown = records
+        else:
+            found = store(waiting.join(evidence, ARRIVAL_KEY, "left_semi"))
+            shown = records.filter(itself).unionByName(rest.join(found, ARRIVAL_KEY, "left_semi"))
+    else:
+        shown = records.join(evidence, ARRIVAL_KEY, "left_semi")
 
     given = F.when(F.col("license") != "", F.col("license"))
     projects = shown.select(
@@ -216,12 +244,13 @@ def _place(df: DataFrame, seq: str) -> Column:
 def fold(projects: DataFrame, seq: str = "seq") -> DataFrame:
     """Arrivals of one project to one row, as if applied in ``seq`` order: kept
     columns from the first arrival, refreshed ones and ``seq`` from the last, and the
-    places of both as ``first_seq`` and ``last_seq``."""
+    places of both as ``first_seq`` and ``last_seq``. Rows come dealt by :data:`KEY_HASH`
+    and the key."""
     updated = [c for c in PROJECT_UPDATED if c in projects.columns]
     kept = [c for c in PROJECT_KEPT if c in projects.columns]
-    placed = projects.withColumn("_place", _place(projects, seq))
+    placed = _hashed(projects.withColumn("_place", _place(projects, seq)))
     return (
-        placed.groupBy(*PROJECT_KEY)
+        placed.groupBy(KEY_HASH, *PROJECT_KEY)
         .agg(
             F.min_by(F.struct(*kept), F.col(seq)).alias("_kept"),
             F.max_by(F.struct(*updated), F.col(seq)).alias("_updated"),
@@ -229,7 +258,7 @@ def fold(projects: DataFrame, seq: str = "seq") -> DataFrame:
             F.min("_place").alias("first_seq"),
             F.max("_place").alias("last_seq"),
         )
-        .select(*PROJECT_KEY, seq, "first_seq", "last_seq", "_kept.*", "_updated.*")
+        .select(KEY_HASH, *PROJECT_KEY, seq, "first_seq", "last_seq", "_kept.*", "_updated.*")
     )
 
 
@@ -238,14 +267,14 @@ def upsert(current: DataFrame, folded: DataFrame) -> DataFrame:
     however they were dealt to merges: kept columns from the earlier first arrival,
     refreshed ones from the later last one, unknown projects added. Both sides are
     unique by key. Table rows without a place are older than any arrival."""
-    new = folded.withColumn("_touched", F.lit(True))
-    placed = current
+    new = _hashed(folded).withColumn("_touched", F.lit(True))
+    placed = _hashed(current)
     for c in PROJECT_ORDER:
         if c not in current.columns:
             placed = placed.withColumn(c, F.lit(None).cast("string"))
     joined = placed.alias("t").join(
         new.alias("b"),
-        [F.col(f"t.{c}") == F.col(f"b.{c}") for c in PROJECT_KEY],
+        [F.col(f"t.{c}") == F.col(f"b.{c}") for c in (KEY_HASH, *PROJECT_KEY)],
         "full_outer",
     )
     added = F.col("t.project_url").isNull()
@@ -315,11 +344,12 @@ def replace_children(current: DataFrame, touched: DataFrame, fresh: DataFrame) -
 def child_rows(folded: DataFrame, arrived: Arrivals) -> dict[str, DataFrame]:
     """Children of the last arrival of every folded project; those of earlier
     arrivals and of rejected projects drop out."""
-    last = folded.select(*ARRIVAL_KEY, own_id(folded).alias("project_id"))
+    last = _hashed(folded.select(*ARRIVAL_KEY, own_id(folded).alias("project_id")))
     rows = {}
     for name in ("files", "keywords", "person_role"):
         # folded projects are unique, so no child is met twice
-        rows[name] = _with_id(_null_safe(getattr(arrived, name)).join(last, ARRIVAL_KEY), name)
+        of_all = _hashed(_null_safe(getattr(arrived, name)))
+        rows[name] = _with_id(of_all.join(last, [KEY_HASH, *ARRIVAL_KEY]), name)
     return rows
 
 
@@ -356,22 +386,50 @@ def split_batch(arrived: Arrivals) -> tuple[DataFrame, DataFrame]:
     return fold(good), bad
 
 
+def _split_children(arrived: Arrivals) -> tuple[Arrivals, Arrivals]:
+    """The arrivals with their good children and with their bad ones. Told apart before
+    they meet their projects, so that each side moves only its own rows; equal rows are on
+    one side, so they get the ids they would get together."""
+    split = {name: quarantine(getattr(arrived, name), name) for name in ("files", "keywords", "person_role")}
+    good, bad = ({name: both[side] for name, both in split.items()} for side in (0, 1))
+    return arrived._replace(**good), arrived._replace(**bad)
+
+
 def rejected_children(folded: DataFrame, arrived: Arrivals) -> dict[str, DataFrame]:
     """Child rows of accepted projects that lack a required column."""
-    return {name: quarantine(rows, name)[1] for name, rows in child_rows(folded, arrived).items()}
+    return child_rows(folded, _split_children(arrived)[1])
 
 
-def merge_folded(current: Tables, folded: DataFrame, arrived: Arrivals) -> Tables:
-    """The four tables after arrivals whose projects :func:`fold` has reduced, and
-    :func:`mark_newest` marked, if that has been done before. An arrival that comes after
-    a later one of its project changes none of what the later one gave."""
-    if "newest" not in folded.columns:
-        folded = mark_newest(current.projects, folded)
-    newest = folded.where("newest")
+def place(
+    current: DataFrame,
+    folded: DataFrame,
+    store: Callable[[DataFrame], DataFrame],
+    choose: Callable[[Column, Column, int], Column] = id_choice,
+) -> DataFrame:
+    """The keys of folded projects with ``newest`` (:func:`mark_newest`) and ``id``
+    (:func:`assign_ids`). Neither needs another column, so the texts stay where they are:
+    they move once, when the merged projects are written."""
+    keys = folded.select(*ARRIVAL_KEY, "last_seq")
+    return store(assign_ids(current, store(mark_newest(current, keys)), store, choose))
+
+
+def merge_folded(
+    current: Tables, folded: DataFrame, arrived: Arrivals, placed: DataFrame | None = None
+) -> Tables:
+    """The four tables after arrivals whose projects :func:`fold` has reduced. With
+    ``placed`` what :func:`place` found out about them. An arrival that comes after a later
+    one of its project changes none of what the later one gave."""
+    if placed is None:
+        placed = folded = mark_newest(current.projects, folded)
+    else:
+        # folding has dealt the rows by this key, so only the ids move
+        ids = _hashed(placed.select(*PROJECT_KEY, "id"))
+        folded = _hashed(folded).join(ids, [KEY_HASH, *PROJECT_KEY])
+    newest = placed.where("newest")
     touched = newest.select(own_id(newest).alias("project_id"))
     children = {
-        name: replace_children(getattr(current, name), touched, quarantine(rows, name)[0])
-        for name, rows in child_rows(newest, arrived).items()
+        name: replace_children(getattr(current, name), touched, rows)
+        for name, rows in child_rows(newest, _split_children(arrived)[0]).items()
     }
     projects = conform(upsert(current.projects, folded.drop("seq", "newest")), schemas.PROJECTS)
     return Tables(projects, **children)
@@ -385,8 +443,13 @@ def merge(current: Tables, arrived: Arrivals) -> Tables:
     return merge_folded(current, split_batch(arrived)[0], arrived)
 
 
+def no_rows(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows, known as such when a query is planned: a join with them costs no job."""
+    return spark.createDataFrame([], schema).where("false")
+
+
 def empty_tables(spark: SparkSession) -> Tables:
-    return Tables(*[spark.createDataFrame([], SCHEMAS[name]) for name in Tables._fields])
+    return Tables(*[no_rows(spark, SCHEMAS[name]) for name in Tables._fields])
 
 
 def read_tables(spark: SparkSession, folder: str) -> Tables:
@@ -405,12 +468,19 @@ def _mark(spark: SparkSession, folder: str, mode: str) -> None:
     spark.sql("SELECT 'complete' AS value").write.mode(mode).text(f"{folder}/{_COMPLETE}")
 
 
+def write_all(rows: dict[str, DataFrame], mode: str) -> None:
+    """Write rows to their folders. The writes are jobs of their own; side by side they
+    fill the cluster."""
+    with ThreadPoolExecutor(len(rows)) as pool:
+        for job in [pool.submit(df.write.mode(mode).parquet, folder) for folder, df in rows.items()]:
+            job.result()
+
+
 def write_tables(tables: Tables, folder: str) -> None:
     """Write a snapshot into a new folder; never the one being read. Parquet has
     no row update, so a merge writes the next snapshot and readers move on. A mark
     comes last, so half a snapshot is never read."""
-    for name, df in tables._asdict().items():
-        df.write.mode("errorifexists").parquet(f"{folder}/{name}")
+    write_all({f"{folder}/{name}": df for name, df in tables._asdict().items()}, "errorifexists")
     _mark(tables.projects.sparkSession, folder, "errorifexists")
 
 

@@ -17,7 +17,7 @@ from shelfmark.plans.tables import (
     split_batch,
 )
 from shelfmark.schemas import PROJECT_ORDER, RECORD, conform
-from shelfmark.session import shared_folder
+from shelfmark.session import shared_folder, stored
 from shelfmark.sources.landing import entry
 from workload.base import query, table
 
@@ -188,7 +188,7 @@ def created_tables(spark, sf):
     folder = shared_folder(spark, "tables")
     create_tables(spark, folder)
     empty = read_tables(spark, folder)
-    batch = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf))
+    batch = arrivals(records(spark, sf), outcomes(spark, sf), _DATE, members(spark, sf), store=stored)
     merged = shared_folder(spark, "tables")
     merge_into(empty, batch, merged)
     create_tables(spark, merged)
