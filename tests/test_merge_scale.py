@@ -77,3 +77,16 @@ def test_no_rows_cost_no_job(spark):
     met = rows.join(empty_tables(spark).files, "project_id", "left_anti")
     assert "Join" not in met._jdf.queryExecution().optimizedPlan().toString()
     assert no_rows(spark, OUTCOMES).count() == 0
+
+
+def test_the_log_is_read_and_kept_once(spark, monkeypatch):
+    from workload import stream_queries
+
+    kept = []
+    monkeypatch.setattr(
+        stream_queries, "stored", lambda df, purpose="stored": kept.append(purpose) or stored(df, purpose)
+    )
+    rows = stream_queries.stream_upsert_late(spark, "/root/testdata/sf0.001")
+    assert kept.count("log") == 1
+    users = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id").distinct()
+    assert rows.count() == users.count()

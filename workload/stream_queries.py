@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfmark.plans import snapshots
-from shelfmark.plans.tables import arrivals, empty_tables
+from shelfmark.plans.tables import arrivals, empty_tables, no_rows
 from shelfmark.schemas import RECORD, conform
 from shelfmark.session import shared_folder, stored
 from shelfmark.sources.landing import entry
@@ -70,14 +70,15 @@ _SQL_UPSERT = """WITH ranked AS (
         FROM ranked f JOIN ranked l USING (user_id) WHERE f.a = 1 AND l.z = 1"""
 
 
-def _arrivals(spark, log):
-    """Events as arrivals, with their moment; two of one moment follow each other by id."""
+def _found(log):
+    """Events as records, with their moment; two of one moment follow each other by id.
+    Kept, as the merges read them many times."""
     name = F.when(F.col("event_type") == "click", "file.csv").otherwise("file.qdpx")
     moment = F.concat(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("#"),
         F.lpad(F.col("event_id").cast("string"), 12, "0"),
     )
-    found = conform(
+    rows = conform(
         log.select(
             F.lit("zenodo").alias("context_repository"),
             F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("project_identifier"),
@@ -89,8 +90,12 @@ def _arrivals(spark, log):
         ),
         RECORD,
     ).withColumn("query_string", F.lit(""))
-    none = spark.createDataFrame([], OUTCOMES)
-    return arrivals(stored(found, "log"), none, F.col("description"))
+    return stored(rows, "log")
+
+
+def _arrivals(spark, found):
+    none = no_rows(spark, OUTCOMES)
+    return arrivals(found, none, F.col("description"), store=stored)
 
 
 def _with_children(tables):
@@ -113,7 +118,7 @@ def stream_upsert(spark, sf):
     first gave for good and the last gave anew, and the children of the last alone.
     The merge runs twice, which changes nothing."""
     log = first_in_log(drain(_landed(spark, sf), "upsert"), ["event_id"], ["ts"])
-    batch = _arrivals(spark, log)
+    batch = _arrivals(spark, _found(log))
     once = merge_log(empty_tables(spark), batch)
     return _with_children(merge_log(once, batch, since="1970-01-01"))
 
@@ -124,11 +129,14 @@ def stream_upsert_late(spark, sf):
     what it gave is still there after the older half, which only adds what it knew
     before. The first batch is offered again and not merged again."""
     log = first_in_log(drain(_landed(spark, sf), "late"), ["event_id"], ["ts"])
-    late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    found = _found(log)
+    # the moment is text that sorts like time
+    late = F.col("description") >= "2024-01-16"
+    later, older = (_arrivals(spark, found.where(half)) for half in (late, ~late))
     root = shared_folder(spark, "tables")
     snapshots.create(spark, root, buckets=8)
-    for name, rows in (("later", log.where(late)), ("older", log.where(~late)), ("later", log.where(late))):
-        snapshots.merge_batch(spark, root, _arrivals(spark, rows), name)
+    for name, batch in (("later", later), ("older", older), ("later", later)):
+        snapshots.merge_batch(spark, root, batch, name)
     return _with_children(snapshots.read(spark, root))
 
 
