@@ -6,10 +6,10 @@ and picks, by counting them, among ways that all give the same rows:
 
 * short terms, few: folded into one search per row, with one bit for each phrase, so what
   is shuffled is one row of bits per record;
-* short terms, many: their pieces are looked up in the words of the corpus, whose
-  number grows far slower than the corpus. Pieces that very many words hold, such as
-  single letters, are folded after all; the others meet the texts at the words that
-  hold them;
+* short terms, many: their pieces are looked up in the distinct words of the corpus and
+  the words that hold each are counted. Pieces that many words hold, such as single
+  letters, are folded after all; the others meet the texts at the words that hold them,
+  a bounded number for each piece, however large the corpus is;
 * phrases of three or more words, of bounded size: broadcast. An inner word of
   the phrase stands alone in any text that holds it, so the text's words meet
   the phrases by an equi-join and the text is checked on the spot. One pass,
@@ -40,9 +40,13 @@ from shelfmark.session import stored
 GRAM = 3
 MAX_FOLDED = 200
 # A piece that more words of the corpus hold is searched in the texts themselves, if it
-# is one of the MAX_FREQUENT most frequent.
+# is one of the MAX_FREQUENT most frequent. The larger the corpus, the more pieces are.
 FEW_WORDS = 1000
-MAX_FREQUENT = 64
+MAX_FREQUENT = 1024
+# Phrases of such pieces that are searched as they are, not piece first.
+MAX_FREQUENT_PHRASES = 2048
+# Distinct words that a task holds before it gives them out.
+WORDS_HELD = 1 << 19
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # Phrases that share a number, a bit each.
 BITS = 64
@@ -130,10 +134,10 @@ def _words(lowered: Column) -> Column:
     return F.filter(F.split(lowered, _BLANKS), lambda w: w != "")
 
 
-def _doc_words(docs: DataFrame, *more: str, asked: Callable[[Column], Column] | None = None) -> DataFrame:
-    """The distinct words of every text, or those that ``asked`` lets through."""
+def _doc_words(docs: DataFrame, asked: Callable[[Column], Column]) -> DataFrame:
+    """The distinct words of every text that ``asked`` lets through."""
     words = F.array_distinct(_words(F.col("_lowered")))
-    return docs.select("record_id", *more, F.explode(F.filter(words, asked) if asked else words).alias("word"))
+    return docs.select("record_id", F.explode(F.filter(words, asked)).alias("word"))
 
 
 def _map_of(df: DataFrame, column: str) -> Callable[[Column], Column]:
@@ -183,17 +187,43 @@ def _sizes(df: DataFrame, *columns: str) -> tuple[int, int]:
 
 def _met_by_broadcast(docs: DataFrame, anchored: DataFrame) -> DataFrame:
     """Phrases whose total size has been checked: each meets the texts at a word of theirs,
-    ``word``. The text is only referred to, not copied, per word."""
-    holds = F.contains("word", "phrase") | F.contains("_lowered", "phrase")
-    return (
-        _doc_words(docs, "_lowered").join(F.broadcast(anchored), "word").filter(holds)
-        .select("record_id", "phrase").distinct()
-    )
+    ``word``. Every task has them all, and a text is split and searched where it is: no
+    row is made per word."""
+    at = {}
+    for r in anchored.select("word", "phrase").collect():
+        at.setdefault(r.word.encode(), []).append(r.phrase.encode())
+    schema = f"record_id {docs.schema['record_id'].dataType.simpleString()}, phrase string"
+    if not at:
+        return docs.sparkSession.createDataFrame([], schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = frozenset(at)
+        for batch in batches:
+            places, phrases = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                # bytes are split at the blanks of _BLANKS
+                met = words.intersection(text.split()) if text else ()
+                held = {p for w in met for p in at[w] if p in text}
+                places += [i] * len(held)
+                phrases += held
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(places, pa.int64())), *_strings(phrase=phrases).columns],
+                names=["record_id", "phrase"],
+            )
+
+    texts = docs.select("record_id", F.col("_lowered").cast("binary").alias("text"))
+    return texts.mapInArrow(run, schema).distinct()
+
+
+def _strings(**columns) -> pa.RecordBatch:
+    """A batch of strings given as bytes."""
+    arrays = [pa.array(list(c), pa.binary()).cast(pa.string()) for c in columns.values()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
 def _met_by_merge(docs: DataFrame, anchored: DataFrame) -> DataFrame:
     """The same, however many the phrases are."""
-    words = _doc_words(docs, asked=_map_of(anchored, "word"))
+    words = _doc_words(docs, _map_of(anchored, "word"))
     found = words.join(anchored.hint("merge"), "word").select("record_id", "phrase")
     return _confirmed(docs, stored(found, "candidates"))
 
@@ -225,7 +255,7 @@ def _by_rarest_word(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     # merge joins throughout: exploded sides outgrow the size Spark expects of them, a
     # sort spills, and adaptive execution splits a word that most texts hold. Words are
     # counted before they move
-    present = _doc_words(docs, asked=_map_of(inner, "word"))
+    present = _doc_words(docs, _map_of(inner, "word"))
     counts = present.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
     anchors = (
         inner.join(counts.hint("merge"), "word", "left")
@@ -245,11 +275,93 @@ def _grams(word: Column) -> Column:
     return F.array_distinct(F.flatten(F.array(*runs)))
 
 
-def _holders(docs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(piece, word) wherever a word of the corpus holds the piece: found once per
-    distinct piece and distinct word, by a gram they share."""
-    # stored: neither the words nor their grams are made again
-    vocabulary = stored(_doc_words(docs).select("word").distinct(), "vocabulary")
+def _vocabulary(docs: DataFrame) -> DataFrame:
+    """The distinct words of all texts. Texts are split inside the tasks, and a word that
+    many texts of a task hold leaves it once, not once per text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = set()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                words.update(text.split())  # of bytes: at the blanks of _BLANKS
+                if len(words) >= WORDS_HELD:
+                    yield _strings(word=words)
+                    words = set()
+        if words:
+            yield _strings(word=words)
+
+    texts = docs.filter(F.col("_lowered").isNotNull()).select(F.col("_lowered").cast("binary").alias("text"))
+    return texts.mapInArrow(run, "word string").distinct()
+
+
+def _lookup(pieces: Sequence[str]) -> Callable[[list[bytes]], Iterator[tuple[int, np.ndarray]]]:
+    """A function from words to the places of those that hold a piece, for each piece that
+    one of them holds. Pieces are found by their first ``GRAM`` bytes at every place of
+    the words, so the work does not grow with the pieces that no word holds."""
+    known = [p.encode() for p in pieces]
+    starts = {n: {} for n in range(1, GRAM + 1)}
+    for i, p in enumerate(known):
+        n = min(len(p), GRAM)
+        starts[n].setdefault(int.from_bytes(p[:n], "big"), []).append(i)
+    asked = {n: np.zeros(1 << 8 * n, bool) for n in starts if starts[n]}
+    for n, flags in asked.items():
+        flags[list(starts[n])] = True
+    longest = max(map(len, known), default=0)
+
+    def run(words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+        # neither words nor pieces have a line break, so nothing is found across words
+        buf = np.frombuffer(b"\n".join(words) + b"\n" * (longest + 1), np.uint8)
+        ends = np.cumsum(np.fromiter((len(w) + 1 for w in words), np.int64, len(words)))
+        for n, flags in asked.items():
+            codes = buf[: len(buf) - n + 1].astype((np.uint8, np.uint16, np.uint32)[n - 1])
+            for k in range(1, n):
+                codes = (codes << 8) | buf[k : len(buf) - n + 1 + k]
+            at = np.flatnonzero(flags[codes])
+            order = at[np.argsort(codes[at], kind="stable")]
+            cuts = np.flatnonzero(np.diff(codes[order])) + 1
+            for same in np.split(order, cuts) if len(order) else []:
+                for i in starts[n][int(codes[same[0]])]:
+                    hits = same
+                    for k in range(n, len(known[i])):
+                        hits = hits[buf[hits + k] == known[i][k]]
+                    if len(hits):
+                        yield i, np.unique(np.searchsorted(ends, hits, "right"))
+
+    return run
+
+
+def _counted(vocabulary: DataFrame, pieces: Sequence[str]) -> DataFrame:
+    """(piece, n): how many words hold it. What leaves a task are its counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look, counts = _lookup(pieces), np.zeros(len(pieces), np.int64)
+        for batch in batches:
+            for i, held in look(batch.column(0).to_pylist()):
+                counts[i] += len(held)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([pieces[i] for i in at], pa.string()), pa.array(counts[at])], names=["piece", "n"]
+        )
+
+    words = vocabulary.select(F.col("word").cast("binary"))
+    return words.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+
+
+def _holding(vocabulary: DataFrame, pieces: Sequence[str]) -> DataFrame:
+    """(piece, word) wherever a word of the corpus holds one of the pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = _lookup(pieces)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            for i, held in look(words):
+                yield _strings(piece=[pieces[i].encode()] * len(held), word=[words[k] for k in held])
+
+    return vocabulary.select(F.col("word").cast("binary")).mapInArrow(run, "piece string, word string")
+
+
+def _holders(vocabulary: DataFrame, pieces: DataFrame) -> DataFrame:
+    """The same, however many the pieces are: found by a gram they share."""
     starts = stored(pieces.withColumn("_gram", F.substring("piece", 1, GRAM)), "piece-starts")
     # a piece shorter than a gram is looked up as it is, so the grams of the
     # corpus words come in all lengths; grams that start no piece are left out
@@ -265,24 +377,36 @@ def _by_vocabulary(docs: DataFrame, short: DataFrame, max_broadcast_bytes: int)
     """Phrases of one or two words: their longer word, the piece, lies inside a word of
     the text.
 
-    The words that hold a piece are counted. The few pieces that very many words hold
-    would name nearly every text once per word; what has them is folded into one
-    search per text. The others come by a join on the words that hold them; what is
-    more than its piece is confirmed.
+    The words that hold a piece are counted. Pieces that many words hold would name nearly
+    every text once per word; what has them is folded into one search per text. The
+    others come by a join on the words that hold them, ``FEW_WORDS`` at most for each
+    piece unless more than ``MAX_FREQUENT`` pieces have more; what is more than its piece
+    is confirmed.
     """
     asked = stored(short.select("phrase", _longest(F.col("_words")).alias("piece")), "pieces")
-    holders = stored(_holders(docs, asked.select("piece").distinct()), "holders")
-    counted = holders.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FEW_WORDS)
-    frequent = [r.piece for r in counted.orderBy(F.desc("n"), "piece").limit(MAX_FREQUENT).collect()]
-    rare = holders.filter(~F.col("piece").isin(frequent)) if frequent else holders
+    pieces = asked.select("piece").distinct()
+    # stored: neither the words nor what is found in them is made again
+    vocabulary = stored(_vocabulary(docs), "vocabulary")
+    if _fits(_sizes(pieces, "piece"), max_broadcast_bytes):
+        known, holders = [r.piece for r in pieces.collect()], None
+        counted = _counted(vocabulary, known)
+    else:
+        holders = stored(_holders(vocabulary, pieces), "holders")
+        counted = holders.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    most = counted.filter(F.col("n") > FEW_WORDS).orderBy(F.desc("n"), "piece").limit(MAX_FREQUENT)
+    frequent = [r.piece for r in most.collect()]
+    if holders is None:
+        rare = _holding(vocabulary, sorted({*known}.difference(frequent)))
+    else:
+        rare = holders.filter(~F.col("piece").isin(frequent)) if frequent else holders
     anchored = stored(rare.join(asked.hint("merge"), "piece").select("word", "phrase"), "anchors")
     small = _fits(_sizes(anchored, "word", "phrase"), max_broadcast_bytes)
     found = (_met_by_broadcast if small else _met_by_merge)(docs, anchored)
     if not frequent:
         return found
     theirs = asked.filter(F.col("piece").isin(frequent))
-    few = [r.phrase for r in theirs.select("phrase").limit(MAX_FOLDED + 1).collect()]
-    if len(few) <= MAX_FOLDED:
+    few = [r.phrase for r in theirs.select("phrase").limit(MAX_FREQUENT_PHRASES + 1).collect()]
+    if len(few) <= MAX_FREQUENT_PHRASES:
         return found.unionByName(_folded(docs, [(p, [p]) for p in few], "string").withColumnRenamed("id", "phrase"))
     pieces = stored(_folded(docs, [(p, [p]) for p in frequent], "string"), "pieces")
     candidates = pieces.withColumnRenamed("id", "piece").join(theirs.hint("merge"), "piece")

@@ -253,6 +253,50 @@ def test_short_terms_by_vocabulary(spark, monkeypatch, few):
     assert "ShuffledHashJoin" not in plan
 
 
+@pytest.mark.parametrize(("few_phrases", "max_bytes"), [(2048, 64 << 20), (5, 64 << 20), (5, 0)])
+def test_words_that_hold_a_term_are_few(spark, monkeypatch, few_phrases, max_bytes):
+    """However many pieces are held by many words, texts meet phrases at no more than
+    ``FEW_WORDS`` words of each piece; the other phrases are searched in the texts."""
+    from shelfmark.operators import phrases
+
+    monkeypatch.setattr(phrases, "FEW_WORDS", 3)
+    monkeypatch.setattr(phrases, "MAX_FREQUENT_PHRASES", few_phrases, raising=False)
+    joined = []
+    for name in ("_met_by_broadcast", "_met_by_merge"):
+        plain = getattr(phrases, name)
+        monkeypatch.setattr(
+            phrases, name, lambda docs, anchored, plain=plain: joined.append(anchored) or plain(docs, anchored)
+        )
+    pieces = [a + b for a in "abcdefghij" for b in "klmnopqrsé"]
+    words = [f"{x}{p}{y}" for p in pieces for x in "xy" for y in ("u", "", "vé")]
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choices(words, k=30)) for _ in range(50)] + [" ".join(words), "rare one", None]
+    terms = [*pieces, *(f"{v} y{p}" for v, p in zip(words, pieces)), "rare", "re on", "none"]
+    got = phrase_join(
+        spark.createDataFrame(list(enumerate(texts)), "d int, text string"), "text",
+        spark.createDataFrame(list(enumerate(terms)), "t int, phrase string"),
+        "d", "t", "phrase", max_folded=0, max_broadcast_bytes=max_bytes,
+    )
+    want = {(i, j) for i, t in enumerate(texts) for j, p in enumerate(terms) if t and p in t}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    assert len(joined) == 1
+    counts = {r["phrase"]: r["count"] for r in joined[0].groupBy("phrase").count().collect()}
+    assert {"rare", "re on"} <= set(counts) and max(counts.values()) <= 3
+
+
+def test_pieces_are_looked_up_in_words():
+    from shelfmark.operators.phrases import _lookup
+
+    rnd = random.Random(9)
+    words = ["".join(rnd.choices("abé学", k=rnd.randint(1, 9))) for _ in range(300)]
+    pieces = sorted({*"abcé学", *("".join(rnd.choices("abé学", k=rnd.randint(1, 6))) for _ in range(200))})
+    got = [(i, held.tolist()) for i, held in _lookup(pieces)([w.encode() for w in words])]
+    want = {i: held for i, p in enumerate(pieces) if (held := [k for k, w in enumerate(words) if p in w])}
+    assert len(got) == len(want) and dict(got) == want
+    assert not list(_lookup([])([b"a"])) and not list(_lookup(["a"])([]))
+
+
 def test_folded_terms_share_records(spark):
     """More phrases than one number has bits, over texts of one id; what moves is a row of
     bits per record and no (record, term) pair."""
