@@ -90,6 +90,23 @@ def test_fingerprints_name_candidates(spark):
     assert len(set(roots)) < len(set(sets))
 
 
+def test_stage_drops_what_the_operator_links(spark):
+    """A text within the radius of another goes even if it shares too few shingles; a text
+    without words puts no other out, whatever fingerprint that has."""
+    rng = random.Random(40)
+    words = [f"w{rng.randint(0, 500)}" for _ in range(60)]
+    for _ in range(19):
+        edit = list(words)
+        edit[rng.randrange(10, 25)], edit[rng.randrange(35, 50)] = "v1", "v2"
+    a, b = " ".join(words), " ".join(edit)
+    short = "51448 b c d e 51455"
+    prints = [int(p) for p in fingerprints_of([t.encode() for t in (a, b, short)], 5)]
+    assert (prints[0] ^ prints[1]).bit_count() <= 3 and prints[2].bit_count() <= 3
+    assert not similar(shingles(a), shingles(b))
+    docs = [(1, ""), (2, a), (3, b), (4, short), (5, None), (6, " ".join(words[:30])), (7, b)]
+    assert stayed(spark, docs) == Counter([docs[0], docs[1], docs[3], docs[5]])
+
+
 def test_threshold_is_inclusive():
     a = np.arange(9, dtype=np.uint64)
     assert similar_forest([a, np.append(a[:8], np.uint64(50))]) == [(0, 1)]  # 8 of 10
